@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The mart is a batch job over bookings tables: the questions, the results
+table and the extract-load copies have no stream source, watermark,
+streaming window or state. Nothing here is built, by design.
+"""
