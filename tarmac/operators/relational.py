@@ -30,12 +30,14 @@ def extreme_rows(df: DataFrame, column: str, largest: bool = True) -> DataFrame:
     """Rows whose ``column`` equals its maximum (or minimum) over ``df``.
 
     Ties are all kept; NULL never wins (NULL = x is not true), and an input
-    with only NULLs yields no row. The extreme is a scalar subquery: a
-    partial/final aggregate produces one value that Spark evaluates once and
-    inlines into the filter, so rows never leave their partitions.
+    with only NULLs yields no row. The extreme is a global partial/final
+    aggregate — exactly one row, so broadcasting it is bounded — and the
+    rows are kept by a semi join on equality: rows never leave their
+    partitions, and because both sides share one plan, the grouped input is
+    shuffled once and read twice (exchange reuse) instead of recomputed.
     """
-    extreme = F.max(column) if largest else F.min(column)
-    return df.where(F.col(column) == df.agg(extreme).scalar())
+    extreme = (F.max(column) if largest else F.min(column)).alias(column)
+    return df.join(F.broadcast(df.agg(extreme)), column, "left_semi")
 
 
 def top_value(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -40,7 +40,9 @@ from tarmac.operators import (
 )
 from tarmac.sources.tables import DAY_PARTITION_COLUMN, BookingTables
 
-SEP = F.lit(K.RESPONSE_SEPARATOR)
+
+def _sep():
+    return F.lit(K.RESPONSE_SEPARATOR)
 
 
 def _on_day(flights_v: DataFrame, first: str, last: str | None = None) -> DataFrame:
@@ -95,7 +97,7 @@ def q04_contacts_bookings_of_three(t: BookingTables, size: int = K.Q04_BOOKING_S
     rows = t.tickets.join(keys, "book_ref", "left_semi")
     return answer(
         rows, 4,
-        concat_strict("book_ref", SEP, "passenger_id", SEP, "passenger_name", SEP, "contact_data"),
+        concat_strict("book_ref", _sep(), "passenger_id", _sep(), "passenger_name", _sep(), "contact_data"),
     )
 
 
@@ -140,7 +142,7 @@ def q08_min_spend_passengers(t: BookingTables) -> DataFrame:
     cheapest = extreme_rows(totals, "total", largest=False)
     return answer(
         cheapest, 8,
-        concat_empty("passenger_id", SEP, "passenger_name", SEP, "contact_data", SEP, "total"),
+        concat_empty("passenger_id", _sep(), "passenger_name", _sep(), "contact_data", _sep(), "total"),
     )
 
 
@@ -156,7 +158,7 @@ def q09_max_airtime_passengers(t: BookingTables) -> DataFrame:
     longest = extreme_rows(totals, "total")
     return answer(
         longest, 9,
-        concat_strict("passenger_id", SEP, "passenger_name", SEP, "contact_data", SEP, hms("total")),
+        concat_strict("passenger_id", _sep(), "passenger_name", _sep(), "contact_data", _sep(), hms("total")),
     )
 
 
@@ -191,7 +193,7 @@ def q12_unconnected_city_pairs(t: BookingTables) -> DataFrame:
     pairs = missing_pairs(
         t.airports, "city", t.flights_v, "departure_city", "arrival_city", "c1", "c2"
     )
-    return answer(pairs, 12, concat_strict("c1", SEP, "c2"))
+    return answer(pairs, 12, concat_strict("c1", _sep(), "c2"))
 
 
 def q13_unreachable_from_city(t: BookingTables, origin: str = K.CITY_MOSCOW) -> DataFrame:

@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import datetime as dt
+import os
+import sys
+import tempfile
+from decimal import Decimal
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+if ROOT not in sys.path:
+    sys.path.insert(0, ROOT)
+
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql.types import (  # noqa: E402
+    DecimalType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
+
+from tarmac.sources.tables import BookingTables  # noqa: E402
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("tarmac-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.adaptive.enabled", "true")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    # Tests only: name a checkpoint folder when the session names none.
+    if not session.sparkContext.getCheckpointDir():
+        configured = session.conf.get("spark.checkpoint.dir", None)
+        session.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tarmac-test-ckpt-"))
+    yield session
+
+
+S = StringType()
+L = LongType()
+TS = TimestampNTZType()
+
+SCHEMAS = {
+    "tickets": StructType([StructField(n, t) for n, t in [
+        ("book_ref", S), ("ticket_no", L), ("passenger_id", S), ("passenger_name", S), ("contact_data", S)]]),
+    "ticket_flights": StructType([StructField(n, t) for n, t in [
+        ("ticket_no", L), ("flight_id", L), ("amount", DecimalType(12, 2))]]),
+    "flights_v": StructType([StructField(n, t) for n, t in [
+        ("flight_id", L), ("departure_city", S), ("arrival_city", S), ("aircraft_code", S), ("status", S),
+        ("scheduled_departure", TS), ("scheduled_arrival", TS), ("actual_departure", TS),
+        ("actual_arrival", TS)]]),
+    "airports": StructType([StructField("airport_code", L), StructField("city", S)]),
+    "aircrafts": StructType([StructField("aircraft_code", S), StructField("model", S)]),
+    "seats": StructType([StructField("aircraft_code", S), StructField("seat_no", L)]),
+}
+
+
+def ts(text: str | None):
+    return None if text is None else dt.datetime.fromisoformat(text)
+
+
+def money(text: str | None):
+    return None if text is None else Decimal(text)
+
+
+def flight(fid, dep="A", arr="B", code="C1", status="Arrived", sd="2016-09-01 10:00:00",
+           sa=None, ad=None, aa=None):
+    """A flights_v row; scheduled arrival defaults to one hour after departure."""
+    sd_t = ts(sd)
+    sa_t = ts(sa) if sa else (sd_t + dt.timedelta(hours=1) if sd_t else None)
+    return (fid, dep, arr, code, status, sd_t, sa_t, ts(ad), ts(aa))
+
+
+def make_tables(spark, tickets=(), ticket_flights=(), flights_v=(), airports=(), aircrafts=(),
+                seats=()) -> BookingTables:
+    def df(name, rows):
+        return spark.createDataFrame(list(rows), SCHEMAS[name])
+
+    fv = df("flights_v", flights_v)
+    return BookingTables(
+        tickets=df("tickets", tickets),
+        ticket_flights=df("ticket_flights", ticket_flights),
+        flights=fv.select("flight_id", "status"),
+        flights_v=fv,
+        airports=df("airports", airports),
+        aircrafts=df("aircrafts", aircrafts),
+        routes=fv.select("departure_city", "arrival_city", "aircraft_code").distinct(),
+        seats=df("seats", seats),
+    )
+
+
+def responses(df) -> list:
+    return sorted((r["response"] for r in df.collect()), key=lambda v: (v is None, v or ""))

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tarmac.functions import (
+    concat_empty,
+    concat_strict,
+    day,
+    duration_seconds,
+    hms,
+    int_div,
+    shifted_day,
+    span_seconds,
+)
+
+
+def test_hms_pads_and_grows_hours(spark):
+    df = spark.createDataFrame([(0,), (59,), (3600,), (363785,), (36000000,)], "s bigint")
+    got = [r[0] for r in df.select(hms("s")).collect()]
+    assert got == ["00:00:00", "00:00:59", "01:00:00", "101:03:05", "10000:00:00"]
+
+
+def test_span_seconds_whole_seconds_and_nulls(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2016, 9, 1, 0, 0, 0), dt.datetime(2016, 9, 2, 1, 0, 30, 900000)),
+         (dt.datetime(2016, 9, 1, 0, 0, 0), None)],
+        "a timestamp_ntz, b timestamp_ntz",
+    )
+    assert [r[0] for r in df.select(span_seconds("a", "b")).collect()] == [90030, None]
+
+
+def test_int_div_truncates_toward_zero(spark):
+    df = spark.createDataFrame([(61,), (59,), (-61,), (None,)], "n bigint")
+    assert [r[0] for r in df.select(int_div("n", 30)).collect()] == [2, 1, -2, None]
+
+
+def test_duration_seconds_parses_long_durations(spark):
+    df = spark.createDataFrame([("03:00:00",), ("25:00:01",), ("101:03:05",), ("bad",), ("1:61:00",), (None,)],
+                               "d string")
+    got = [r[0] for r in df.select(duration_seconds("d")).collect()]
+    assert got == [10800, 90001, 363785, None, None, None]
+
+
+def test_concat_null_semantics(spark):
+    df = spark.createDataFrame([("a", None, "c")], "x string, y string, z string")
+    row = df.select(
+        concat_strict("x", F.lit("|"), "y").alias("strict"),
+        concat_empty("x", F.lit("|"), "y", F.lit("|"), "z").alias("empty"),
+    ).first()
+    assert row["strict"] is None
+    assert row["empty"] == "a||c"
+
+
+def test_day_and_shifted_day(spark):
+    df = spark.createDataFrame([(dt.datetime(2016, 9, 14, 1, 0, 0),)], "t timestamp_ntz")
+    row = df.select(day("t").alias("d"), shifted_day("t", "Europe/Moscow").alias("s")).first()
+    assert row["d"] == dt.date(2016, 9, 14)
+    assert row["s"] == dt.date(2016, 9, 13)
