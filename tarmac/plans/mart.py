@@ -1,10 +1,11 @@
 """The results mart: every answer in one ``(id INT, response STRING)`` table.
 
 All answers are one ``unionByName`` plan written with a single overwrite,
-so a second run replaces the table instead of appending to it (idempotent),
-and a failed run leaves the previous table intact. Shared sub-plans of the
-questions (the per-ticket leg aggregates, the flight views) appear once in
-the physical plan thanks to exchange reuse.
+so a second run replaces the table instead of appending to it (idempotent);
+re-running after a failure converges to the same table. Task failures
+inside the write are retried by Spark's commit protocol. Shared sub-plans
+of the questions (the per-ticket leg aggregates, the flight views) appear
+once in the physical plan thanks to exchange reuse.
 """
 
 from __future__ import annotations

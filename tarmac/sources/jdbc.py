@@ -73,7 +73,7 @@ def split_bounds(spark: SparkSession, source: JdbcSource, table: str, column: st
         .option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}")
         .load().first()
     )
-    lo, hi = (row["lo"], row["hi"]) if row is not None else (None, None)
+    lo, hi = (row[0], row[1]) if row is not None else (None, None)
     if lo is None or hi is None:
         lo = hi = 0
     return Split(column, lo, hi, num_partitions)
