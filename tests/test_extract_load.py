@@ -49,3 +49,31 @@ def test_jdbc_options():
                      "numPartitions": "32"}
     with pytest.raises(ValueError):
         Split("x", 0, 1, 0).options()
+
+
+def test_calc_job_from_parquet_root_matches_registry(spark, tmp_path):
+    from dataclasses import fields
+
+    from tarmac.jobs import run_calc
+    from tarmac.plans.registry import BOUND_PARAMS, bound_mart
+    from tarmac.sources.tables import from_parquet
+
+    views = from_star_schema(spark, SF001)
+    root = tmp_path / "bookings"
+    for f in fields(views):
+        getattr(views, f.name).write.parquet(str(root / f.name))
+    stored = run_calc(spark, from_parquet(spark, str(root)), "job_results",
+                      str(tmp_path / "results"), BOUND_PARAMS)
+    assert sorted(stored.collect()) == sorted(bound_mart(spark, SF001).collect())
+
+
+def test_job_arguments():
+    from tarmac.jobs import _parse
+
+    a = _parse(["extract-load", "--url", "jdbc:x", "--target-root", "/t", "--split", "flights_v=flight_id",
+                "--partitions", "8"])
+    assert a.split == ["flights_v=flight_id"] and a.partitions == 8
+    c = _parse(["calc", "--catalog-db", "school", "--param", "q13_unreachable_from_city.origin=Казань"])
+    assert c.catalog_db == "school" and c.table == "results"
+    from tarmac.jobs import _params
+    assert _params(c.param) == {"q13_unreachable_from_city": {"origin": "Казань"}}
