@@ -7,8 +7,8 @@ Scale rules followed throughout:
 * Aggregates over ``ticket_flights`` (the fact table) are computed per
   ticket or per flight *before* joining dimensions, so the join input is
   dimension-sized, not fact-sized.
-* "Rows equal to the extreme value" is a filter against a scalar subquery:
-  no global single-partition window, no collect to the driver.
+* "Rows equal to the extreme value" is a semi join against a one-row global
+  aggregate: no global single-partition window, no collect to the driver.
 * No cross join: missing pairs are enumerated output-sensitively.
 """
 
@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarmac.session import ensure_checkpoint_dir
+
 
 def answer(df: DataFrame, qid: int, response: Column | str) -> DataFrame:
     """Shape a result as rows of the results mart: ``(id INT, response STRING)``."""
@@ -96,6 +98,7 @@ def dense_index(df: DataFrame, column: str, index: str) -> DataFrame:
     partition, a bound set by the partition count — give each partition's
     starting offset.
     """
+    ensure_checkpoint_dir(df.sparkSession)
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
     placed = (
         values.repartitionByRange(column)

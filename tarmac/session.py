@@ -1,15 +1,13 @@
 """Session settings and the shared storage root.
 
-Jobs never pick a machine-local temporary folder: written tables go under the
-shared folder the cluster names in ``spark.checkpoint.dir`` (falling back to
-the catalog warehouse). Only local runs (tests, bench) create their own
-folder, and only when the session names none.
+Jobs never pick a machine-local temporary folder: written tables and
+checkpoints go under the shared folder the cluster names in
+``spark.checkpoint.dir``, falling back to the catalog warehouse only when the
+session names none.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every job of the mart relies on. AQE re-plans joins from runtime
@@ -49,15 +47,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint directory; a fresh local one only if unset."""
+    """The session's checkpoint directory. When the session names none, a
+    folder under the catalog warehouse (shared storage on a cluster) is set."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tarmac-ckpt-")
-        sc.setCheckpointDir(current)
-    elif not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tarmac_checkpoints"
+    sc.setCheckpointDir(named)
+    return sc.getCheckpointDir() or named
 
 
 def storage_root(spark: SparkSession) -> str:
