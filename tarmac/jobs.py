@@ -22,7 +22,7 @@ from tarmac.constants import RESULTS_TABLE
 from tarmac.plans.extract_load import copy_by_day, copy_table
 from tarmac.plans.mart import run_mart
 from tarmac.session import apply_job_conf, storage_root
-from tarmac.sources.jdbc import JdbcSource, read_table, split_bounds
+from tarmac.sources.jdbc import JdbcSource, ModuloSplit, read_table, split_bounds
 from tarmac.sources.tables import BookingTables, from_catalog, from_parquet
 
 
@@ -51,7 +51,8 @@ def run_calc(spark: SparkSession, tables: BookingTables, table: str = RESULTS_TA
 def run_extract_load(spark: SparkSession, source: JdbcSource, schema: str | None,
                      target_db: str | None, target_root: str,
                      splits: dict[str, str] | None = None, partitions: int = 1,
-                     copies: tuple[CopySpec, ...] = DEFAULT_COPIES) -> dict[str, DataFrame]:
+                     copies: tuple[CopySpec, ...] = DEFAULT_COPIES,
+                     modulo: bool = False) -> dict[str, DataFrame]:
     apply_job_conf(spark)
     splits = splits or {}
     out = {}
@@ -59,7 +60,9 @@ def run_extract_load(spark: SparkSession, source: JdbcSource, schema: str | None
         qualified = f"{schema}.{spec.source}" if schema else spec.source
         split = None
         if spec.source in splits and partitions > 1:
-            split = split_bounds(spark, source, qualified, splits[spec.source], partitions)
+            column = splits[spec.source]
+            split = (ModuloSplit(column, partitions) if modulo
+                     else split_bounds(spark, source, qualified, column, partitions))
         df = read_table(spark, source, qualified, split)
         name = f"{target_db}.{spec.target}" if target_db else spec.target
         path = f"{target_root.rstrip('/')}/{spec.target}"
@@ -91,6 +94,8 @@ def _parse(argv=None):
     e.add_argument("--target-root", required=True)
     e.add_argument("--split", action="append", default=[], help="table=column to split the read on")
     e.add_argument("--partitions", type=int, default=1)
+    e.add_argument("--modulo", action="store_true",
+                   help="split integer keys by residue classes instead of range strides")
     return p.parse_args(argv)
 
 
@@ -118,7 +123,7 @@ def main(argv=None) -> None:
         source = JdbcSource(args.url, args.user, password, args.driver)
         splits = dict(s.split("=", 1) for s in args.split)
         run_extract_load(spark, source, args.schema, args.target_db, args.target_root, splits,
-                         args.partitions)
+                         args.partitions, modulo=args.modulo)
 
 
 if __name__ == "__main__":

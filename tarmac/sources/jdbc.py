@@ -4,6 +4,8 @@ A JDBC read without partition options runs as a single task over a single
 connection. Here a numeric (or date/timestamp) column splits the table into
 ``num_partitions`` range strides, one connection and one task each; rows
 outside [lower, upper] still land in the first/last stride, so nothing is lost.
+When values cluster (one dense range would make one huge stride), an integer
+key can instead be split by residue classes (:class:`ModuloSplit`).
 """
 
 from __future__ import annotations
@@ -54,10 +56,31 @@ class Split:
         }
 
 
+@dataclass(frozen=True)
+class ModuloSplit:
+    """Split a JDBC read on an integer ``column`` into ``num_partitions``
+    residue classes (``MOD(column, n) = k``), one task and one connection
+    each. Unlike range strides, a dense or clustered range of values is
+    spread over all tasks; rows with a NULL ``column`` get their own task."""
+
+    column: str
+    num_partitions: int
+
+    def predicates(self) -> list[str]:
+        if self.num_partitions < 1:
+            raise ValueError("num_partitions must be >= 1")
+        n, c = self.num_partitions, self.column
+        return [f"MOD({c}, {n}) = {k}" for k in range(n)] + [f"{c} IS NULL"]
+
+
 def read_table(spark: SparkSession, source: JdbcSource, table: str,
-               split: Split | None = None) -> DataFrame:
+               split: Split | ModuloSplit | None = None) -> DataFrame:
     """Lazy DataFrame over ``table``; filters and projections are pushed
     into the generated SELECT by Spark's JDBC source."""
+    if isinstance(split, ModuloSplit):
+        opts = source.options()
+        url = opts.pop("url")
+        return spark.read.jdbc(url, table, predicates=split.predicates(), properties=opts)
     reader = spark.read.format("jdbc").options(**source.options()).option("dbtable", table)
     if split is not None:
         reader = reader.options(**split.options())

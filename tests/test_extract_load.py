@@ -12,7 +12,7 @@ import pytest
 
 from tarmac.plans.extract_load import copy_by_day, copy_table
 from tarmac.sources.binding import from_star_schema
-from tarmac.sources.jdbc import JdbcSource, Split
+from tarmac.sources.jdbc import JdbcSource, ModuloSplit, Split
 from tests.conftest import SF001, flight, make_tables
 
 
@@ -49,6 +49,9 @@ def test_jdbc_options():
                      "numPartitions": "32"}
     with pytest.raises(ValueError):
         Split("x", 0, 1, 0).options()
+    preds = ModuloSplit("ticket_no", 3).predicates()
+    assert preds == ["MOD(ticket_no, 3) = 0", "MOD(ticket_no, 3) = 1", "MOD(ticket_no, 3) = 2",
+                     "ticket_no IS NULL"]
 
 
 def test_calc_job_from_parquet_root_matches_registry(spark, tmp_path):
