@@ -10,6 +10,7 @@ from tarmac.operators.relational import (
     roll_up,
     top_value,
     unreached_from,
+    with_ticket,
 )
 
 __all__ = [
@@ -24,4 +25,5 @@ __all__ = [
     "roll_up",
     "top_value",
     "unreached_from",
+    "with_ticket",
 ]

@@ -60,31 +60,31 @@ def legs_in(ticket_flights: DataFrame, flights: DataFrame) -> DataFrame:
     return ticket_flights.join(flights.select("flight_id"), "flight_id", "left_semi")
 
 
-def per_ticket(legs: DataFrame, value: Column, name: str) -> DataFrame:
+def per_ticket(legs: DataFrame, /, **aggregates: Column) -> DataFrame:
     """Aggregate the fact table per ticket before any dimension join."""
-    return legs.groupBy("ticket_no").agg(value.alias(name))
+    return legs.groupBy("ticket_no").agg(*[v.alias(k) for k, v in aggregates.items()])
 
 
-def per_flight(legs: DataFrame, value: Column, name: str) -> DataFrame:
+def per_flight(legs: DataFrame, /, **aggregates: Column) -> DataFrame:
     """Aggregate the fact table per flight before any dimension join."""
-    return legs.groupBy("flight_id").agg(value.alias(name))
+    return legs.groupBy("flight_id").agg(*[v.alias(k) for k, v in aggregates.items()])
 
 
-def roll_up(tickets: DataFrame, ticket_values: DataFrame, keys: Sequence[str],
-            value: str, name: str) -> DataFrame:
-    """Sum per-ticket values up to ``keys`` of ``tickets``.
+def with_ticket(tickets: DataFrame, ticket_values: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Attach per-ticket aggregates to ticket rows (inner join on ticket_no).
 
-    Exact rewrite of ``SELECT keys, agg(..) FROM tickets JOIN legs GROUP BY keys``
-    for count and sum: each tickets row contributes its ticket's aggregate, so
-    duplicate ticket rows count as they would in the flat join.
+    Together with :func:`roll_up` this is an exact rewrite of
+    ``SELECT keys, count/sum(..) FROM tickets JOIN legs GROUP BY keys``: each
+    tickets row contributes its ticket's aggregate, so even duplicate ticket
+    rows count as they would in the flat join.
     """
-    cols = list(dict.fromkeys([*keys, "ticket_no"]))
-    return (
-        tickets.select(*cols)
-        .join(ticket_values, "ticket_no")
-        .groupBy(*keys)
-        .agg(F.sum(value).alias(name))
-    )
+    cols = list(dict.fromkeys([*columns, "ticket_no"]))
+    return tickets.select(*cols).join(ticket_values, "ticket_no")
+
+
+def roll_up(rows: DataFrame, keys: Sequence[str], /, **sums: str) -> DataFrame:
+    """Sum pre-aggregated columns up to ``keys`` (``name=column``)."""
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
 
 
 def dense_index(df: DataFrame, column: str, index: str) -> DataFrame:

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tarmac.constants import RESULTS_TABLE
-from tarmac.plans.questions import CANONICAL
+from tarmac.plans.questions import CANONICAL, flight_facts, ticket_rows
+from tarmac.session import storage_root
 from tarmac.sources.tables import BookingTables
 
 RESULTS_SCHEMA = StructType([
@@ -33,6 +34,26 @@ def build_results(t: BookingTables, params: dict[str, dict] | None = None) -> Da
     return reduce(lambda a, b: a.unionByName(b), answers)
 
 
+def stage_facts(spark: SparkSession, t: BookingTables, folder: str) -> BookingTables:
+    """Write the fact aggregates shared by several questions once, to
+    ``folder`` in the shared storage, and return tables that read them.
+
+    Run alone, each question prunes the shared aggregates to its own columns,
+    so their plans differ and Spark cannot reuse their shuffles; the mart
+    would scan and shuffle the fact table once per question. Stored once,
+    the fact table is scanned twice per run (per ticket, per flight) and each
+    question reads only the columns it needs from the stored copy. The copy
+    also cuts the lineage: a lost executor never recomputes the fact-table
+    pass. Overwritten each run, so reruns are idempotent.
+    """
+    stored = {}
+    for name, df in (("ticket_rows", ticket_rows(t)), ("flight_facts", flight_facts(t))):
+        path = f"{folder.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        stored[name] = spark.read.parquet(path)
+    return t.replace(derived=stored)
+
+
 def write_results(df: DataFrame, table: str = RESULTS_TABLE, path: str | None = None) -> None:
     """One overwrite of the results table (external when ``path`` is given)."""
     writer = df.select("id", "response").write.mode("overwrite").format("parquet")
@@ -42,7 +63,10 @@ def write_results(df: DataFrame, table: str = RESULTS_TABLE, path: str | None =
 
 
 def run_mart(spark: SparkSession, t: BookingTables, table: str = RESULTS_TABLE,
-             path: str | None = None, params: dict[str, dict] | None = None) -> DataFrame:
-    """Build, write once, and return the table as stored."""
-    write_results(build_results(t, params), table, path)
+             path: str | None = None, params: dict[str, dict] | None = None,
+             stage_folder: str | None = None) -> DataFrame:
+    """Stage the shared facts, build every answer, write once, and return the
+    table as stored."""
+    folder = stage_folder or f"{storage_root(spark)}/tarmac_stage/{table}"
+    write_results(build_results(stage_facts(spark, t, folder), params), table, path)
     return spark.table(table)

@@ -30,13 +30,13 @@ from tarmac.operators import (
     answer,
     extreme_rows,
     keys_with_size,
-    legs_in,
     missing_pairs,
     per_flight,
     per_ticket,
     roll_up,
     top_value,
     unreached_from,
+    with_ticket,
 )
 from tarmac.sources.tables import DAY_PARTITION_COLUMN, BookingTables
 
@@ -102,11 +102,65 @@ def q04_contacts_bookings_of_three(t: BookingTables, size: int = K.Q04_BOOKING_S
 
 
 # ------------------------------------------------------- tickets x legs x flights
+#
+# Shared facts. The questions below read the fact table (ticket_flights)
+# only through two aggregates: per ticket (q05-q09) and per flight (q15,
+# q18). A question run alone computes them on the fly, pruned to the columns
+# it needs; the mart writes both once and every question reads the stored
+# copy (see tarmac.plans.mart.stage_facts).
 
-def _max_legs(t: BookingTables, keys: list[str], qid: int, check_flight: bool = True) -> DataFrame:
-    legs = legs_in(t.ticket_flights, t.flights_v) if check_flight else t.ticket_flights
-    counts = per_ticket(legs, F.count(F.lit(1)), "legs")
-    per_key = roll_up(t.tickets, counts, keys, "legs", "n")
+PASSENGER = ["passenger_id", "passenger_name", "contact_data"]
+TICKET_COLUMNS = ["book_ref", "ticket_no", *PASSENGER]
+
+
+def ticket_facts(t: BookingTables) -> DataFrame:
+    """Per ticket, over its legs on known flights (flight_id in flights_v):
+    ``legs`` (count), ``spend`` (amount on flights not cancelled) and
+    ``airtime`` (seconds in the air on arrived flights).
+
+    One join of the fact table with the flight attributes, then one
+    partial/final aggregation per ticket: the fact-sized data is reduced to
+    ticket-sized before any other join. A conditional sum is the
+    aggregate-level form of the questions' WHERE filters (a ticket whose legs
+    all fail a filter gets NULL, which never wins an extreme).
+    """
+    flights = t.flights_v.select(
+        "flight_id", "status", span_seconds("actual_departure", "actual_arrival").alias("secs")
+    )
+    legs = t.ticket_flights.select("ticket_no", "flight_id", "amount").join(flights, "flight_id")
+    return per_ticket(
+        legs,
+        legs=F.count(F.lit(1)),
+        spend=F.sum(F.when(F.col("status") != K.STATUS_CANCELLED, F.col("amount"))),
+        airtime=F.sum(F.when(F.col("status") == K.STATUS_ARRIVED, F.col("secs"))),
+    )
+
+
+def ticket_rows(t: BookingTables) -> DataFrame:
+    """Ticket rows with their per-ticket facts (shared by q05-q09); read
+    from the stored copy when a multi-question job has written one."""
+    if "ticket_rows" in t.derived:
+        return t.derived["ticket_rows"]
+    return with_ticket(t.tickets, ticket_facts(t), TICKET_COLUMNS)
+
+
+def passenger_totals(t: BookingTables) -> DataFrame:
+    """Per passenger (id, name, contact): total ``spend`` and ``airtime``
+    (shared by q08 and q09: one shuffle by passenger for both)."""
+    return roll_up(ticket_rows(t), PASSENGER, spend="spend", airtime="airtime")
+
+
+def flight_facts(t: BookingTables) -> DataFrame:
+    """Per flight: ``legs`` (count) and ``revenue`` (amount), aggregated on
+    the fact table before meeting the flights dimension (q15, q18). A flight
+    carrying a third of all legs is one partial row per map task."""
+    if "flight_facts" in t.derived:
+        return t.derived["flight_facts"]
+    return per_flight(t.ticket_flights, legs=F.count(F.lit(1)), revenue=F.sum("amount"))
+
+
+def _max_legs(t: BookingTables, keys: list[str], qid: int) -> DataFrame:
+    per_key = roll_up(ticket_rows(t), keys, n="legs")
     return answer(top_value(per_key, "n", "max_n"), qid, "max_n")
 
 
@@ -117,7 +171,9 @@ def q05_max_flights_per_booking(t: BookingTables) -> DataFrame:
 
 def q05_max_legs_no_flight_check(t: BookingTables) -> DataFrame:
     """Variant of q05 counting every leg, known flight or not."""
-    return _max_legs(t, ["book_ref"], 5, check_flight=False)
+    counts = per_ticket(t.ticket_flights, legs=F.count(F.lit(1)))
+    per_key = roll_up(with_ticket(t.tickets, counts, ["book_ref"]), ["book_ref"], n="legs")
+    return answer(top_value(per_key, "n", "max_n"), 5, "max_n")
 
 
 def q06_max_flights_per_ticket(t: BookingTables) -> DataFrame:
@@ -130,35 +186,24 @@ def q07_max_flights_per_passenger(t: BookingTables) -> DataFrame:
     return _max_legs(t, ["passenger_id"], 7)
 
 
-PASSENGER = ["passenger_id", "passenger_name", "contact_data"]
-
-
 def q08_min_spend_passengers(t: BookingTables) -> DataFrame:
     """Passenger(s) with the smallest total ticket amount over flights that
     are not cancelled, as ``id|name|contact|total``."""
-    flown = t.flights.where(F.col("status") != K.STATUS_CANCELLED)
-    spend = per_ticket(legs_in(t.ticket_flights, flown), F.sum("amount"), "spend")
-    totals = roll_up(t.tickets, spend, PASSENGER, "spend", "total")
-    cheapest = extreme_rows(totals, "total", largest=False)
+    cheapest = extreme_rows(passenger_totals(t), "spend", largest=False)
     return answer(
         cheapest, 8,
-        concat_empty("passenger_id", _sep(), "passenger_name", _sep(), "contact_data", _sep(), "total"),
+        concat_empty("passenger_id", _sep(), "passenger_name", _sep(), "contact_data", _sep(), "spend"),
     )
 
 
 def q09_max_airtime_passengers(t: BookingTables) -> DataFrame:
     """Passenger(s) with the most time in the air on arrived flights, as
     ``id|name|contact|hh:mm:ss``."""
-    airtime = t.flights_v.where(F.col("status") == K.STATUS_ARRIVED).select(
-        "flight_id", span_seconds("actual_departure", "actual_arrival").alias("secs")
-    )
-    legs = t.ticket_flights.select("ticket_no", "flight_id").join(airtime, "flight_id")
-    seconds = per_ticket(legs, F.sum("secs"), "secs")
-    totals = roll_up(t.tickets, seconds, PASSENGER, "secs", "total")
-    longest = extreme_rows(totals, "total")
+    longest = extreme_rows(passenger_totals(t), "airtime")
     return answer(
         longest, 9,
-        concat_strict("passenger_id", _sep(), "passenger_name", _sep(), "contact_data", _sep(), hms("total")),
+        concat_strict("passenger_id", _sep(), "passenger_name", _sep(), "contact_data", _sep(),
+                      hms("airtime")),
     )
 
 
@@ -218,14 +263,10 @@ def q14_model_most_flights(t: BookingTables) -> DataFrame:
 
 
 def q15_model_most_passengers(t: BookingTables) -> DataFrame:
-    """Aircraft model(s) with the most ticket legs on arrived flights.
-
-    Legs are counted per flight first (fact -> flight-sized), then joined to
-    flights: a flight carrying a third of all legs is one partial row.
-    """
-    legs = per_flight(t.ticket_flights, F.count(F.lit(1)), "legs")
+    """Aircraft model(s) with the most ticket legs on arrived flights
+    (legs counted per flight first, then joined to flights)."""
     arrived = t.flights_v.where(F.col("status") == K.STATUS_ARRIVED).select("flight_id", "aircraft_code")
-    per_code = legs.join(arrived, "flight_id").groupBy("aircraft_code").agg(F.sum("legs").alias("n"))
+    per_code = roll_up(flight_facts(t).join(arrived, "flight_id"), ["aircraft_code"], n="legs")
     return _models(t, per_code, 15)
 
 
@@ -256,10 +297,9 @@ def q18_top_revenue_flights(t: BookingTables) -> DataFrame:
     Amounts are summed per flight on the fact table first; only then is the
     (flight-sized) result filtered by flight status.
     """
-    revenue = per_flight(t.ticket_flights, F.sum("amount"), "total")
     flown = t.flights.where(F.col("status") != K.STATUS_CANCELLED)
-    kept = revenue.join(flown.select("flight_id"), "flight_id", "left_semi")
-    return answer(extreme_rows(kept, "total"), 18, "flight_id")
+    kept = flight_facts(t).join(flown.select("flight_id"), "flight_id", "left_semi")
+    return answer(extreme_rows(kept, "revenue"), 18, "flight_id")
 
 
 def _quietest(t: BookingTables, bucket, qid: int) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.plans import extract_load as el
 from tarmac.plans import questions as q
-from tarmac.plans.mart import build_results, write_results
+from tarmac.plans.mart import build_results, run_mart
 from tarmac.session import storage_root
 from tarmac.sources.binding import from_star_schema
 from tarmac.sources.tables import BookingTables
@@ -85,8 +85,7 @@ def bound_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = "tarmac_results"
-    write_results(bound_mart(spark, sf_dir), table, _target(spark, table))
-    return spark.table(table)
+    return run_mart(spark, bound_tables(spark, sf_dir), table, _target(spark, table), BOUND_PARAMS)
 
 
 def el_copy_seats(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ lazy DataFrames (scans); no provider triggers a Spark action.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +33,8 @@ CONTRACT: dict[str, tuple[str, ...]] = {
     "seats": (),
 }
 
+TABLES = tuple(CONTRACT)
+
 # Name of the day column added by the day-partitioned copy of flights_v.
 DAY_PARTITION_COLUMN = "actual_departure_date"
 
@@ -51,18 +53,24 @@ class BookingTables:
     aircrafts: DataFrame
     routes: DataFrame
     seats: DataFrame
+    # Derived tables already stored (e.g. the shared fact aggregates a
+    # multi-question job writes once); questions use them when present.
+    derived: dict[str, DataFrame] = field(default_factory=dict, compare=False)
 
     def validate(self) -> "BookingTables":
         """Fail fast (analysis only, no job) if a contract column is missing."""
-        for f in fields(self):
-            have = set(getattr(self, f.name).columns)
-            missing = [c for c in CONTRACT[f.name] if c not in have]
+        for name in TABLES:
+            have = set(getattr(self, name).columns)
+            missing = [c for c in CONTRACT[name] if c not in have]
             if missing:
-                raise ValueError(f"table {f.name} lacks columns {missing}")
+                raise ValueError(f"table {name} lacks columns {missing}")
         return self
 
-    def replace(self, **frames: DataFrame) -> "BookingTables":
+    def replace(self, **frames) -> "BookingTables":
+        """A copy with some tables replaced. Stored derived tables are dropped
+        (they may no longer match) unless ``derived`` is given explicitly."""
         values = {f.name: getattr(self, f.name) for f in fields(self)}
+        values["derived"] = {}
         values.update(frames)
         return BookingTables(**values)
 
@@ -79,11 +87,11 @@ def from_catalog(spark: SparkSession, database: str | None = None,
         table = names.get(name, name)
         return spark.table(f"{database}.{table}" if database else table)
 
-    return BookingTables(**{f.name: load(f.name) for f in fields(BookingTables)}).validate()
+    return BookingTables(**{name: load(name) for name in TABLES}).validate()
 
 
 def from_parquet(spark: SparkSession, root: str) -> BookingTables:
     """Tables stored as ``<root>/<name>`` parquet directories or files."""
     return BookingTables(
-        **{f.name: spark.read.parquet(f"{root}/{f.name}") for f in fields(BookingTables)}
+        **{name: spark.read.parquet(f"{root}/{name}") for name in TABLES}
     ).validate()

@@ -55,16 +55,14 @@ def test_jdbc_options():
 
 
 def test_calc_job_from_parquet_root_matches_registry(spark, tmp_path):
-    from dataclasses import fields
-
     from tarmac.jobs import run_calc
     from tarmac.plans.registry import BOUND_PARAMS, bound_mart
-    from tarmac.sources.tables import from_parquet
+    from tarmac.sources.tables import TABLES, from_parquet
 
     views = from_star_schema(spark, SF001)
     root = tmp_path / "bookings"
-    for f in fields(views):
-        getattr(views, f.name).write.parquet(str(root / f.name))
+    for name in TABLES:
+        getattr(views, name).write.parquet(str(root / name))
     stored = run_calc(spark, from_parquet(spark, str(root)), "job_results",
                       str(tmp_path / "results"), BOUND_PARAMS)
     assert sorted(stored.collect()) == sorted(bound_mart(spark, SF001).collect())
