@@ -60,3 +60,15 @@ def test_partitioned_copy_prunes_days(spark):
     assert sorted(df.collect()) == sorted(direct.collect())
     q20 = q.q20_avg_departures_per_day(bound, origin="NATION_0")
     assert q20.collect() == q.q20_avg_departures_per_day(t, origin="NATION_0").collect()
+
+
+def test_staged_mart_reads_fact_table_only_through_stored_facts(spark, tmp_path):
+    from tarmac.plans.mart import build_results, stage_facts
+    from tarmac.plans.registry import BOUND_PARAMS
+
+    t = from_star_schema(spark, SF01)
+    staged = stage_facts(spark, t, str(tmp_path / "stage"))
+    df = build_results(staged, BOUND_PARAMS)
+    plan = _executed(df)
+    assert "lineitem.parquet" not in plan  # every fact read comes from the stored aggregates
+    assert sorted(df.collect()) == sorted(build_results(t, BOUND_PARAMS).collect())
