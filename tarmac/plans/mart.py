@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tarmac.constants import RESULTS_TABLE
@@ -54,14 +55,32 @@ def stage_facts(spark: SparkSession, t: BookingTables, folder: str) -> BookingTa
     return t.replace(derived=stored)
 
 
-def write_results(df: DataFrame, table: str = RESULTS_TABLE, path: str | None = None) -> None:
-    """One overwrite of the results table (external when ``path`` is given)."""
-    writer = df.select("id", "response").write.mode("overwrite").format("parquet")
+def write_results(df: DataFrame, table: str = RESULTS_TABLE, path: str | None = None,
+                  mode: str = "overwrite") -> None:
+    """Write answers to the results table (external when ``path`` is given).
+
+    ``overwrite`` replaces the table (the mart's single write); ``append``
+    adds rows, for running one question into an existing table. Columns are
+    cast to the table schema ``(id INT, response STRING)`` either way.
+    """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be overwrite or append, not {mode!r}")
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RESULTS_SCHEMA.fields])
+    writer = typed.write.mode(mode).format("parquet")
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
 
 
+def append_answer(spark: SparkSession, question, t: BookingTables, table: str = RESULTS_TABLE,
+                  path: str | None = None, **params) -> DataFrame:
+    """Append one question's answer rows to the results table (creating it
+    if needed) and return the table. Unlike the mart, running the same
+    question twice appends its rows twice."""
+    write_results(question(t, **params), table, path, mode="append")
+    return spark.table(table)
+
+
 def run_mart(spark: SparkSession, t: BookingTables, table: str = RESULTS_TABLE,
              path: str | None = None, params: dict[str, dict] | None = None,
              stage_folder: str | None = None) -> DataFrame:

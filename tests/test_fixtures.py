@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tarmac.plans import questions as q
-from tarmac.plans.mart import run_mart
+from tarmac.plans.mart import append_answer, run_mart
 from tests.conftest import flight, make_tables, money, responses
 
 
@@ -220,3 +220,19 @@ def test_mart_second_run_same_rows(spark, tmp_path):
     second = run_mart(spark, t, "fixture_results", path).count()
     assert first == second > 0
     assert spark.table("fixture_results").schema.simpleString() == "struct<id:int,response:string>"
+
+
+def test_append_one_answer_after_the_mart(spark, tmp_path):
+    t = make_tables(
+        spark,
+        tickets=_tickets("X", ["A", "A", "B"]),
+        ticket_flights=[(1, 1, money("2.00"))],
+        flights_v=[flight(1, ad="2016-09-01 10:00:00", aa="2016-09-01 11:00:00")],
+        airports=[(1, "A"), (2, "A")],
+        aircrafts=[("C1", "M")],
+    )
+    path = str(tmp_path / "results")
+    base = run_mart(spark, t, "append_results", path).count()
+    after = append_answer(spark, q.q10_cities_multi_airport, t, "append_results", path)
+    assert after.count() == base + 1
+    assert after.where("id = 10").count() == 2
