@@ -10,6 +10,7 @@ once in the physical plan thanks to exchange reuse.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,12 +48,18 @@ def stage_facts(spark: SparkSession, t: BookingTables, folder: str) -> BookingTa
     also cuts the lineage: a lost executor never recomputes the fact-table
     pass. Overwritten each run, so reruns are idempotent.
     """
-    stored = {}
-    for name, df in (("ticket_rows", ticket_rows(t)), ("flight_facts", flight_facts(t))):
-        path = f"{folder.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        stored[name] = spark.read.parquet(path)
-    return t.replace(derived=stored)
+    facts = {"ticket_rows": ticket_rows(t), "flight_facts": flight_facts(t)}
+    paths = {name: f"{folder.rstrip('/')}/{name}" for name in facts}
+
+    def write(name: str) -> None:
+        facts[name].write.mode("overwrite").parquet(paths[name])
+
+    # The two writes are independent jobs: submit them together so their
+    # stages share the cluster instead of running one after the other.
+    with ThreadPoolExecutor(max_workers=len(facts)) as pool:
+        for done in [pool.submit(write, name) for name in facts]:
+            done.result()
+    return t.replace(derived={name: spark.read.parquet(path) for name, path in paths.items()})
 
 
 def write_results(df: DataFrame, table: str = RESULTS_TABLE, path: str | None = None,

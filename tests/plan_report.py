@@ -1,0 +1,83 @@
+"""Summarise the executed (adaptive, final) physical plan of every question
+key: new shuffles, reused exchanges, join strategies, windows and scans.
+
+Usage: python -m tests.plan_report [sf_dir] > PLANS.md
+Two passes: Spark defaults, and "scale-like", where only tiny fixed
+dimensions are broadcast by estimate and AQE may not convert joins to
+broadcasts at runtime (as when every other table is large): then only the
+explicitly bounded broadcasts (one-row extremes) remain.
+"""
+
+from __future__ import annotations
+
+import re
+import sys
+from collections import Counter
+
+JOIN = re.compile(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)"
+                  r"[^\n]*?\b(Inner|LeftSemi|LeftAnti|LeftOuter|FullOuter|Cross)\b")
+
+
+def final_plan(df) -> list[str]:
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    cut = next((i for i, s in enumerate(lines) if s.startswith("+- == Initial Plan ==")), len(lines))
+    return lines[:cut]
+
+
+def summarise(lines: list[str]) -> dict:
+    text = "\n".join(lines)
+    joins = Counter(f"{a}/{b}" for a, b in JOIN.findall(text))
+    scans = Counter(m.group(1) for m in re.finditer(r"FileScan parquet [^\n]*?/(\w+)(?:\.parquet)?\]", text))
+    return {
+        "empty": "EmptyRelation" in text and not joins,
+        "shuffles": len(re.findall(r"\+- Exchange (hashpartitioning|rangepartitioning|RoundRobin)", text)),
+        "to_one": len(re.findall(r"\+- Exchange SinglePartition", text)),
+        "reused": text.count("ReusedExchange"),
+        "broadcasts": len(re.findall(r"\+- BroadcastExchange", text)),
+        "windows": len(re.findall(r"\+- (\*\(\d+\) )?Window ", text)),
+        "joins": dict(joins),
+        "scans": dict(scans),
+    }
+
+
+def main() -> None:
+    sys.path.insert(0, ".")
+    from tarmac.session import local_session
+    import __spark_entry__ as entry
+
+    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    spark = local_session(8)
+    keys = [k for k in entry.queries() if k.startswith("q")]
+    print(f"# Executed plans at {sf}\n")
+    print("Generated by `python -m tests.plan_report`. `shuffles` = new hash/range "
+          "exchanges; `to_one` = exchanges to a single partition (only one-row-per-"
+          "task partial aggregates, or q21's top-k); `reused` = exchanges shared "
+          "inside the plan; `broadcasts` = broadcast exchanges.\n")
+    for title, conf in (("Spark defaults (local sizes: AQE turns small joins into broadcasts)", {}),
+                        ("Scale-like: only tiny fixed dimensions (nation) broadcast by estimate; "
+                         "no runtime broadcast conversion", {
+                            "spark.sql.autoBroadcastJoinThreshold": "8192",
+                            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})):
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        print(f"## {title}\n")
+        print("| key | shuffles | to_one | reused | broadcasts | windows | joins | scans |")
+        print("| --- | --- | --- | --- | --- | --- | --- | --- |")
+        for key in keys:
+            s = summarise(final_plan(entry.queries()[key](spark, sf)))
+            if s["empty"]:
+                print(f"| `{key}` | empty result: AQE replaced the plan by an empty relation | | | | | | |")
+                continue
+            joins = ", ".join(f"{j}×{n}" for j, n in sorted(s["joins"].items())) or "-"
+            scans = ", ".join(f"{t}×{n}" for t, n in sorted(s["scans"].items()))
+            print(f"| `{key}` | {s['shuffles']} | {s['to_one']} | {s['reused']} | {s['broadcasts']} "
+                  f"| {s['windows']} | {joins} | {scans} |")
+        print()
+        for k in conf:
+            spark.conf.unset(k)
+
+
+if __name__ == "__main__":
+    main()
