@@ -78,3 +78,19 @@ def test_job_arguments():
     assert c.catalog_db == "school" and c.table == "results"
     from tarmac.jobs import _params
     assert _params(c.param) == {"q13_unreachable_from_city": {"origin": "Казань"}}
+
+
+def test_calc_cli_main(spark, tmp_path):
+    from tarmac.jobs import main
+    from tarmac.plans.registry import BOUND_PARAMS, bound_mart
+    from tarmac.sources.tables import TABLES
+
+    views = from_star_schema(spark, SF001)
+    root = tmp_path / "bookings"
+    for name in TABLES:
+        getattr(views, name).write.parquet(str(root / name))
+    args = ["calc", "--parquet-root", str(root), "--table", "cli_results", "--path", str(tmp_path / "out")]
+    for question, kwargs in BOUND_PARAMS.items():
+        args += [f"--param={question}.{k}={v}" for k, v in kwargs.items()]
+    main(args)
+    assert sorted(spark.table("cli_results").collect()) == sorted(bound_mart(spark, SF001).collect())
