@@ -92,7 +92,9 @@ def q03_repeat_names_in_max_bookings(t: BookingTables) -> DataFrame:
 
 def q04_contacts_bookings_of_three(t: BookingTables, size: int = K.Q04_BOOKING_SIZE) -> DataFrame:
     """``book_ref|passenger_id|passenger_name|contact_data`` for every ticket
-    of a booking with exactly ``size`` tickets."""
+    of a booking with exactly ``size`` tickets. Booking sizes are a partial
+    aggregate; the semi join back to the tickets is where a hot booking
+    lands in one reducer partition, which AQE's skew handling splits."""
     keys = keys_with_size(t.tickets, "book_ref", lambda n: n == size)
     rows = t.tickets.join(keys, "book_ref", "left_semi")
     return answer(
@@ -122,7 +124,8 @@ def ticket_facts(t: BookingTables) -> DataFrame:
     partial/final aggregation per ticket: the fact-sized data is reduced to
     ticket-sized before any other join. A conditional sum is the
     aggregate-level form of the questions' WHERE filters (a ticket whose legs
-    all fail a filter gets NULL, which never wins an extreme).
+    all fail a filter gets NULL, which never wins an extreme). Status comes
+    from ``flights_v``, which lists the same flights as ``flights``.
     """
     flights = t.flights_v.select(
         "flight_id", "status", span_seconds("actual_departure", "actual_arrival").alias("secs")
@@ -146,7 +149,7 @@ def ticket_rows(t: BookingTables) -> DataFrame:
 
 def passenger_totals(t: BookingTables) -> DataFrame:
     """Per passenger (id, name, contact): total ``spend`` and ``airtime``
-    (shared by q08 and q09: one shuffle by passenger for both)."""
+    (q08 and q09; each keeps only the column it reads)."""
     return roll_up(ticket_rows(t), PASSENGER, spend="spend", airtime="airtime")
 
 
