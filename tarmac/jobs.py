@@ -1,9 +1,9 @@
 """Job entry points (``spark-submit -m``-style):
 
-    python -m tarmac.jobs calc --catalog-db school --table results
+    python -m tarmac.jobs calc --catalog-db mart --table results
     python -m tarmac.jobs calc --parquet-root /data/bookings --table results --path /shared/results
     python -m tarmac.jobs extract-load --url jdbc:postgresql://host/demo --user u \
-        --password-file /run/secrets/db --schema bookings --target-db school \
+        --password-file /run/secrets/db --schema bookings --target-db mart \
         --target-root /shared/tables --split flights_v=flight_id --partitions 64
 
 ``calc`` answers every question and writes the results table once;

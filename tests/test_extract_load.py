@@ -74,8 +74,8 @@ def test_job_arguments():
     a = _parse(["extract-load", "--url", "jdbc:x", "--target-root", "/t", "--split", "flights_v=flight_id",
                 "--partitions", "8"])
     assert a.split == ["flights_v=flight_id"] and a.partitions == 8
-    c = _parse(["calc", "--catalog-db", "school", "--param", "q13_unreachable_from_city.origin=Казань"])
-    assert c.catalog_db == "school" and c.table == "results"
+    c = _parse(["calc", "--catalog-db", "mart", "--param", "q13_unreachable_from_city.origin=Казань"])
+    assert c.catalog_db == "mart" and c.table == "results"
     from tarmac.jobs import _params
     assert _params(c.param) == {"q13_unreachable_from_city": {"origin": "Казань"}}
 
