@@ -49,8 +49,10 @@ def day(ts: Column | str) -> Column:
 
 
 def shifted_day(ts: Column | str, zone: str) -> Column:
-    """Day after reading ``ts`` as wall-clock time in ``zone`` and moving it to UTC."""
-    return F.to_utc_timestamp(_col(ts), zone).cast("date")
+    """Day after reading ``ts`` as wall-clock time in ``zone`` and moving it
+    to UTC wall-clock time (``to_utc_timestamp`` semantics). For
+    TIMESTAMP_NTZ input the result does not depend on the session zone."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), _col(ts)).cast("date")
 
 
 def concat_strict(*parts: Column | str) -> Column:
