@@ -147,9 +147,11 @@ def missing_pairs(nodes: DataFrame, node: str, edges: DataFrame, src: str, dst:
         .unionByName(linked)
         .unionByName(idx.select(F.col("_i").alias("_a"), n.cast("bigint").alias("_b")))
     )
-    # One window group per node, holding at most n + 1 distinct bounds.
+    # The three bound sets are disjoint ((a, a), linked (a, b) with a < b < n,
+    # and (a, n)), so no de-duplication is needed. One window group per node,
+    # holding at most n + 1 bounds.
     nxt = F.lead("_b").over(Window.partitionBy("_a").orderBy("_b"))
-    gaps = bounds.distinct().select("_a", (F.col("_b") + 1).alias("_lo"), (nxt - 1).alias("_hi"))
+    gaps = bounds.select("_a", (F.col("_b") + 1).alias("_lo"), (nxt - 1).alias("_hi"))
     pairs = gaps.where(F.col("_lo") <= F.col("_hi")).select(
         "_a", F.explode(F.sequence("_lo", "_hi")).alias("_b")
     )
