@@ -61,7 +61,10 @@ class ModuloSplit:
     """Split a JDBC read on an integer ``column`` into ``num_partitions``
     residue classes (``MOD(column, n) = k``), one task and one connection
     each. Unlike range strides, a dense or clustered range of values is
-    spread over all tasks; rows with a NULL ``column`` get their own task."""
+    spread over all tasks; rows with a NULL ``column`` get their own task.
+    The trade-off is on the database side: a ``MOD`` predicate cannot use an
+    index, so each task scans the table, whereas range strides on an indexed
+    key are index range scans. Prefer :class:`Split` for dense indexed keys."""
 
     column: str
     num_partitions: int
