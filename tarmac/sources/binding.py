@@ -57,11 +57,21 @@ def bind_ticket_flights(lineitem: DataFrame) -> DataFrame:
 
 def nation_names(nation: DataFrame):
     """Scalar subquery: map nation key -> name over keys 0..NATIONS-1, the
-    only keys the binding looks up (at most NATIONS entries; a duplicated
-    key raises instead of silently picking one)."""
-    bounded = nation.where((F.col("n_nationkey") >= 0) & (F.col("n_nationkey") < NATIONS))
+    only keys the binding looks up. Rows are grouped per key first, so at
+    most NATIONS rows are ever collected; a duplicated key raises (a join
+    would have multiplied rows) instead of silently picking one name."""
+    in_range = nation.where((F.col("n_nationkey") >= 0) & (F.col("n_nationkey") < NATIONS))
+    per_key = in_range.groupBy("n_nationkey").agg(
+        F.count(F.lit(1)).alias("_rows"), F.max("n_name").alias("_name")
+    )
+    checked = per_key.select(
+        "n_nationkey",
+        F.when(F.col("_rows") == 1, F.col("_name"))
+        .otherwise(F.raise_error(F.lit("nation key is not unique")))
+        .alias("n_name"),
+    )
     entries = F.collect_list(F.struct("n_nationkey", "n_name"))
-    return bounded.agg(F.map_from_entries(entries)).scalar()
+    return checked.agg(F.map_from_entries(entries)).scalar()
 
 
 def bind_flights_v(part: DataFrame, nation: DataFrame) -> DataFrame:
