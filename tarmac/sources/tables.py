@@ -66,6 +66,16 @@ class BookingTables:
                 raise ValueError(f"table {name} lacks columns {missing}")
         return self
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every table as a temporary view named ``prefix + name``, so
+        SQL written against the bookings tables runs through ``spark.sql``.
+        Returns the view names."""
+        names = []
+        for name in TABLES:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
     def replace(self, **frames) -> "BookingTables":
         """A copy with some tables replaced. Stored derived tables are dropped
         (they may no longer match) unless ``derived`` is given explicitly."""
@@ -76,15 +86,16 @@ class BookingTables:
 
 
 def from_catalog(spark: SparkSession, database: str | None = None,
-                 names: dict[str, str] | None = None) -> BookingTables:
+                 names: dict[str, str] | None = None, prefix: str = "") -> BookingTables:
     """Tables read by name from the session catalog (``spark.table``).
 
-    ``names`` maps a contract name to a catalog table name when they differ.
+    Catalog names are ``prefix + name`` (e.g. ``bookings_tickets``), unless
+    ``names`` maps a contract name to another table name.
     """
     names = names or {}
 
     def load(name: str) -> DataFrame:
-        table = names.get(name, name)
+        table = names.get(name, prefix + name)
         return spark.table(f"{database}.{table}" if database else table)
 
     return BookingTables(**{name: load(name) for name in TABLES}).validate()

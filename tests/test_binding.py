@@ -28,3 +28,17 @@ def test_duplicate_nation_key_raises(spark):
     nation = spark.read.parquet(f"{SF001}/nation.parquet")
     with pytest.raises(Exception, match="nation key is not unique"):
         bind_flights_v(part, nation.unionByName(nation.limit(1))).count()
+
+
+def test_catalog_prefix_and_sql_views(spark):
+    from tarmac.plans import questions as q
+    from tarmac.sources.tables import from_catalog
+
+    t = from_star_schema(spark, SF001)
+    views = t.register_views(prefix="bk_")
+    assert views[0] == "bk_tickets" and len(views) == 8
+    again = from_catalog(spark, prefix="bk_")
+    assert sorted(q.q10_cities_multi_airport(again).collect()) == sorted(q.q10_cities_multi_airport(t).collect())
+    sql = spark.sql("SELECT 1 AS id, CAST(count(*) AS STRING) AS response FROM bk_tickets "
+                    "GROUP BY book_ref ORDER BY count(*) DESC LIMIT 1")
+    assert sql.collect() == q.q01_max_people_per_booking(t).collect()
