@@ -59,3 +59,12 @@ def test_extreme_rows_ties_and_nulls(spark):
     assert sorted(r["k"] for r in extreme_rows(df, "v", largest=False).collect()) == ["a"]
     only_null = spark.createDataFrame([("d", None)], "k string, v int")
     assert extreme_rows(only_null, "v").count() == 0
+
+
+def test_missing_pairs_empty_and_single_node(spark):
+    nd = spark.createDataFrame([], "city string")
+    ed = spark.createDataFrame([("A", "B")], "src string, dst string")
+    assert missing_pairs(nd, "city", ed, "src", "dst", "c1", "c2").count() == 0
+    one = spark.createDataFrame([("A",), ("A",)], "city string")
+    assert missing_pairs(one, "city", ed, "src", "dst", "c1", "c2").count() == 0
+    assert dense_index(nd, "city", "i").count() == 0
