@@ -94,3 +94,26 @@ def test_calc_cli_main(spark, tmp_path):
         args += [f"--param={question}.{k}={v}" for k, v in kwargs.items()]
     main(args)
     assert sorted(spark.table("cli_results").collect()) == sorted(bound_mart(spark, SF001).collect())
+
+
+def test_extract_load_job_wiring(spark, tmp_path, monkeypatch):
+    """run_extract_load end to end, with the JDBC read replaced by the
+    bookings views (no database is available here)."""
+    import tarmac.jobs as jobs
+
+    views = from_star_schema(spark, SF001)
+    reads = []
+
+    def fake_read(spark_, source, table, split=None):
+        reads.append((table, split))
+        return getattr(views, table.split(".")[-1])
+
+    monkeypatch.setattr(jobs, "read_table", fake_read)
+    out = jobs.run_extract_load(spark, JdbcSource("jdbc:none"), "bookings", None, str(tmp_path),
+                                splits={"flights_v": "flight_id"}, partitions=4, modulo=True)
+    assert [t for t, _ in reads] == ["bookings.seats", "bookings.flights_v"]
+    assert reads[0][1] is None and reads[1][1] == ModuloSplit("flight_id", 4)
+    assert sorted(out["seats"].collect()) == sorted(views.seats.collect())
+    assert out["flights_v"].count() == views.flights_v.count()
+    assert "actual_departure_date" in out["flights_v"].columns
+    assert any(d.startswith("actual_departure_date=") for d in os.listdir(tmp_path / "flights_v"))
