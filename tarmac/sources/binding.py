@@ -30,8 +30,15 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _cust_code(custkey: Column) -> Column:
-    # Zero-padded to six digits, never truncated (lpad would cut longer keys).
-    return F.format_string("%06d", custkey)
+    """``'%06d'``: zero-padded to six digits, never truncated (``lpad`` alone
+    would cut longer keys). ``lpad`` does the common case; the per-row
+    ``String.format`` behind ``format_string`` is kept for negative keys."""
+    text = custkey.cast("string")
+    return (
+        F.when(custkey < 0, F.format_string("%06d", custkey))
+        .when(F.length(text) >= 6, text)
+        .otherwise(F.lpad(text, 6, "0"))
+    )
 
 
 def bind_tickets(orders: DataFrame, customer: DataFrame) -> DataFrame:
