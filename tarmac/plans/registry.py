@@ -8,7 +8,6 @@ under the shared storage root and return the stored copy.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,9 +68,17 @@ def bound_tables(spark: SparkSession, sf_dir: str) -> BookingTables:
     return _VIEWS[key]
 
 
-def _question(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _question(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The query key ``name``: its question over the bound driver tables."""
     fn = getattr(q, name)
-    return fn(bound_tables(spark, sf_dir), **BOUND_PARAMS.get(name, {}))
+    params = BOUND_PARAMS.get(name, {})
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(bound_tables(spark, sf_dir), **params)
+
+    run.__name__ = run.__qualname__ = name
+    run.__doc__ = fn.__doc__
+    return run
 
 
 def _target(spark: SparkSession, table: str) -> str:
@@ -102,7 +109,7 @@ def el_copy_flights_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-        name: partial(_question, name) for name in QUESTION_KEYS
+        name: _question(name) for name in QUESTION_KEYS
     }
     out["el_copy_seats"] = el_copy_seats
     out["el_copy_flights_by_day"] = el_copy_flights_by_day
