@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tarmac.constants import RESULTS_TABLE
-from tarmac.plans.questions import CANONICAL, flight_facts, ticket_rows
+from tarmac.plans.questions import CANONICAL, booking_facts, flight_facts, ticket_rows
 from tarmac.session import storage_root
 from tarmac.sources.tables import BookingTables
 
@@ -43,19 +43,21 @@ def stage_facts(spark: SparkSession, t: BookingTables, folder: str) -> BookingTa
     Run alone, each question prunes the shared aggregates to its own columns,
     so their plans differ and Spark cannot reuse their shuffles; the mart
     would scan and shuffle the fact table once per question. Stored once,
-    the fact table is scanned twice per run (per ticket, per flight) and each
-    question reads only the columns it needs from the stored copy. The copy
+    the fact table is scanned twice per run (per ticket, per flight), the
+    tickets are aggregated per booking once, and each question reads only
+    the columns it needs from the stored copies. The copy
     also cuts the lineage: a lost executor never recomputes the fact-table
     pass. Overwritten each run, so reruns are idempotent.
     """
-    facts = {"ticket_rows": ticket_rows(t), "flight_facts": flight_facts(t)}
+    facts = {"ticket_rows": ticket_rows(t), "flight_facts": flight_facts(t),
+             "booking_facts": booking_facts(t)}
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in facts}
 
     def write(name: str) -> None:
         facts[name].write.mode("overwrite").parquet(paths[name])
 
-    # The two writes are independent jobs: submit them together so their
-    # stages share the cluster instead of running one after the other.
+    # The writes are independent jobs: submit them together so their stages
+    # share the cluster instead of running one after the other.
     with ThreadPoolExecutor(max_workers=len(facts)) as pool:
         for done in [pool.submit(write, name) for name in facts]:
             done.result()
