@@ -75,5 +75,5 @@ def test_legs_in_keeps_duplicates_and_never_multiplies(spark):
 
     legs = spark.createDataFrame([(1, 10), (1, 10), (2, 11), (3, 99)], "ticket_no long, flight_id long")
     flights = spark.createDataFrame([(10, "A"), (11, "B")], "flight_id long, status string")
-    got = sorted(tuple(r) for r in legs_in(legs, flights).collect())
+    got = sorted((r["ticket_no"], r["flight_id"]) for r in legs_in(legs, flights).collect())
     assert got == [(1, 10), (1, 10), (2, 11)]
