@@ -61,8 +61,15 @@ QUESTION_KEYS = (
 _VIEWS: dict[tuple[str, str], BookingTables] = {}
 
 
+def _session_key(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # e.g. a Spark Connect session exposes no SparkContext
+        return f"session-{id(spark)}"
+
+
 def bound_tables(spark: SparkSession, sf_dir: str) -> BookingTables:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (_session_key(spark), sf_dir.rstrip("/"))
     if key not in _VIEWS:
         _VIEWS[key] = from_star_schema(spark, sf_dir)
     return _VIEWS[key]

@@ -46,10 +46,15 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """The session's checkpoint directory. When the session names none, a
-    folder under the catalog warehouse (shared storage on a cluster) is set."""
-    sc = spark.sparkContext
+    folder under the catalog warehouse (shared storage on a cluster) is set.
+    Without a reachable SparkContext (Spark Connect) the server's own
+    setting applies and None is returned."""
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
