@@ -14,11 +14,13 @@ day of ``actual_departure``, reading each source table in parallel strides.
 from __future__ import annotations
 
 import argparse
+import inspect
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.constants import RESULTS_TABLE
+from tarmac.plans import questions
 from tarmac.plans.extract_load import copy_by_day, copy_table
 from tarmac.plans.mart import run_mart
 from tarmac.session import apply_job_conf, storage_root
@@ -100,11 +102,18 @@ def _parse(argv=None):
 
 
 def _params(items: list[str]) -> dict[str, dict]:
+    """``question.argument=value`` items -> keyword arguments per question,
+    converted to the type of the argument's default (e.g. ``top`` is int)."""
     out: dict[str, dict] = {}
     for item in items:
         target, value = item.split("=", 1)
         question, arg = target.split(".", 1)
-        out.setdefault(question, {})[arg] = value
+        fn = getattr(questions, question, None)
+        if fn is None or arg not in inspect.signature(fn).parameters:
+            raise ValueError(f"unknown question parameter {target!r}")
+        default = inspect.signature(fn).parameters[arg].default
+        typed = type(default)(value) if isinstance(default, (int, float)) else value
+        out.setdefault(question, {})[arg] = typed
     return out
 
 

@@ -70,10 +70,16 @@ class ModuloSplit:
     num_partitions: int
 
     def predicates(self) -> list[str]:
+        """One predicate per residue class k, plus NULL keys. ``MOD`` of a
+        negative number is negative in most databases (-7 mod 4 = -3), so
+        class k also takes residue k - n: every key lands in exactly one
+        class whichever sign convention the database uses."""
         if self.num_partitions < 1:
             raise ValueError("num_partitions must be >= 1")
         n, c = self.num_partitions, self.column
-        return [f"MOD({c}, {n}) = {k}" for k in range(n)] + [f"{c} IS NULL"]
+        preds = [f"MOD({c}, {n}) = 0"]
+        preds += [f"MOD({c}, {n}) IN ({k}, {k - n})" for k in range(1, n)]
+        return preds + [f"{c} IS NULL"]
 
 
 def read_table(spark: SparkSession, source: JdbcSource, table: str,
@@ -91,9 +97,10 @@ def read_table(spark: SparkSession, source: JdbcSource, table: str,
 
 
 def split_bounds(spark: SparkSession, source: JdbcSource, table: str, column: str,
-                 num_partitions: int) -> Split:
+                 num_partitions: int) -> Split | None:
     """Ask the database for min/max of ``column`` (one aggregate row, computed
-    by the database) and build a :class:`Split` from them."""
+    by the database) and build a :class:`Split` from them; None (read
+    unsplit) when the table has no non-NULL value to split on."""
     row = (
         spark.read.format("jdbc").options(**source.options())
         .option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}")
@@ -101,5 +108,5 @@ def split_bounds(spark: SparkSession, source: JdbcSource, table: str, column: st
     )
     lo, hi = (row[0], row[1]) if row is not None else (None, None)
     if lo is None or hi is None:
-        lo = hi = 0
+        return None
     return Split(column, lo, hi, num_partitions)

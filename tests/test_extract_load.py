@@ -50,8 +50,16 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         Split("x", 0, 1, 0).options()
     preds = ModuloSplit("ticket_no", 3).predicates()
-    assert preds == ["MOD(ticket_no, 3) = 0", "MOD(ticket_no, 3) = 1", "MOD(ticket_no, 3) = 2",
+    assert preds == ["MOD(ticket_no, 3) = 0", "MOD(ticket_no, 3) IN (1, -2)", "MOD(ticket_no, 3) IN (2, -1)",
                      "ticket_no IS NULL"]
+    # every integer key falls in exactly one class, under both sign conventions of MOD
+    import math
+    for key in range(-10, 11):
+        for mod in (lambda a, b: int(math.fmod(a, b)), lambda a, b: a % b):
+            r = mod(key, 3)
+            hits = [p for p in preds[:-1] if (r == 0 and p.endswith("= 0"))
+                    or (r != 0 and f"({r}," in p or f", {r})" in p)]
+            assert len(hits) == 1, (key, r)
 
 
 def test_calc_job_from_parquet_root_matches_registry(spark, tmp_path):
@@ -78,6 +86,9 @@ def test_job_arguments():
     assert c.catalog_db == "mart" and c.table == "results"
     from tarmac.jobs import _params
     assert _params(c.param) == {"q13_unreachable_from_city": {"origin": "Казань"}}
+    assert _params(["q21_top5_long_flight_cities.top=3"]) == {"q21_top5_long_flight_cities": {"top": 3}}
+    with pytest.raises(ValueError):
+        _params(["q21_top5_long_flight_cities.nope=3"])
 
 
 def test_calc_cli_main(spark, tmp_path):
