@@ -54,7 +54,9 @@ def main() -> None:
     print("Generated by `python -m tests.plan_report`. `shuffles` = new hash/range "
           "exchanges; `to_one` = exchanges to a single partition (only one-row-per-"
           "task partial aggregates, or q21's top-k); `reused` = exchanges shared "
-          "inside the plan; `broadcasts` = broadcast exchanges.\n")
+          "inside the plan; `broadcasts` = broadcast exchanges. Questions over flights "
+          "also count the test binding's nation-name subquery (at most 25 rows: one hash "
+          "and one single-partition exchange, computed once per query).\n")
     for title, conf in (("Spark defaults (local sizes: AQE turns small joins into broadcasts)", {}),
                         ("Scale-like: only tiny fixed dimensions (nation) broadcast by estimate; "
                          "no runtime broadcast conversion", {
