@@ -58,3 +58,17 @@ def test_day_and_shifted_day(spark):
     row = df.select(day("t").alias("d"), shifted_day("t", "Europe/Moscow").alias("s")).first()
     assert row["d"] == dt.date(2016, 9, 14)
     assert row["s"] == dt.date(2016, 9, 13)
+
+
+def test_time_helpers_accept_timestamp_with_zone(spark):
+    """JDBC copies of timestamptz columns arrive as TIMESTAMP (not _NTZ)."""
+    df = spark.createDataFrame(
+        [(dt.datetime(2016, 9, 14, 1, 0, 0), dt.datetime(2016, 9, 15, 2, 0, 30))], "a timestamp_ntz, b timestamp_ntz"
+    ).select(F.col("a").cast("timestamp").alias("a"), F.col("b").cast("timestamp").alias("b"))
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    row = df.select(
+        span_seconds("a", "b").alias("s"), day("a").alias("d"), shifted_day("a", "Europe/Moscow").alias("m")
+    ).first()
+    assert row["s"] == 90030
+    assert row["d"] == dt.date(2016, 9, 14)
+    assert row["m"] == dt.date(2016, 9, 13)
