@@ -1,9 +1,10 @@
 """Independent SQL oracle (DuckDB dialect) for every query key.
 
 The same binding is written here in SQL; each question is then written the
-plain way — flat joins, HAVING against scalar subqueries, rank() windows,
-cross join + EXCEPT — so that it checks the Spark plans, which are built
-differently (pre-aggregation, scalar-subquery filters, gap enumeration).
+plain way — flat joins over the raw rows, extremes as scalar min/max
+subqueries, NOT EXISTS over all city pairs — so that it checks the Spark
+plans, which are built differently (pre-aggregation, semi joins on one-row
+aggregates, gap enumeration).
 """
 
 from __future__ import annotations
@@ -71,173 +72,166 @@ _Q20 = BOUND_PARAMS["q20_avg_departures_per_day"]["origin"]
 
 _HMS = "printf('%02d:%02d:%02d', {s} // 3600, ({s} % 3600) // 60, {s} % 60)"
 
+# Each body is a plain SQL statement of its question: named CTEs, joins on
+# the raw rows, and extremes as scalar min/max subqueries.
+_LEGS = ("tickets t JOIN ticket_flights tf USING (ticket_no) "
+         "JOIN flights_v f USING (flight_id)")
+
 BODIES: dict[str, str] = {
     "q01_max_people_per_booking": """
-        SELECT CAST(1 AS INTEGER) AS id, CAST(count(*) AS VARCHAR) AS response
-        FROM tickets GROUP BY book_ref ORDER BY count(*) DESC LIMIT 1""",
+        WITH sizes AS (SELECT book_ref, count(*) AS n FROM tickets GROUP BY book_ref)
+        SELECT CAST(1 AS INTEGER) AS id, CAST(max(n) AS VARCHAR) AS response
+        FROM sizes HAVING count(*) > 0""",
     "q02_bookings_above_avg_size": """
-        SELECT CAST(2 AS INTEGER) AS id, CAST(count(*) AS VARCHAR) AS response
-        FROM (SELECT book_ref, count(ticket_no) AS n FROM tickets GROUP BY book_ref) b
-        WHERE n > (SELECT avg(n) FROM (SELECT count(ticket_no) AS n FROM tickets GROUP BY book_ref) s)""",
+        WITH sizes AS (SELECT book_ref, count(ticket_no) AS n FROM tickets GROUP BY book_ref)
+        SELECT CAST(2 AS INTEGER) AS id,
+               CAST(count(*) FILTER (WHERE n > (SELECT avg(n) FROM sizes)) AS VARCHAR) AS response
+        FROM sizes""",
     "q03_repeat_names_in_max_bookings": """
-        SELECT CAST(3 AS INTEGER) AS id, CAST(count(*) AS VARCHAR) AS response
-        FROM (SELECT book_ref, passenger_name, count(*)
-              FROM tickets
-              WHERE book_ref IN (SELECT book_ref FROM tickets GROUP BY book_ref
-                                 HAVING count(*) = (SELECT count(*) AS c FROM tickets
-                                                    GROUP BY book_ref ORDER BY c DESC LIMIT 1))
-              GROUP BY book_ref, passenger_name
-              HAVING count(*) > 1) t""",
+        WITH sizes AS (SELECT book_ref, count(*) AS n FROM tickets GROUP BY book_ref),
+             biggest AS (SELECT book_ref FROM sizes WHERE n = (SELECT max(n) FROM sizes)),
+             repeated AS (SELECT t.book_ref, t.passenger_name
+                          FROM tickets t JOIN biggest b ON t.book_ref = b.book_ref
+                          GROUP BY t.book_ref, t.passenger_name HAVING count(*) >= 2)
+        SELECT CAST(3 AS INTEGER) AS id, CAST(count(*) AS VARCHAR) AS response FROM repeated""",
     "q04_contacts_bookings_of_three": """
+        WITH of_three AS (SELECT book_ref FROM tickets GROUP BY book_ref HAVING count(*) = 3)
         SELECT CAST(4 AS INTEGER) AS id,
-               book_ref || '|' || passenger_id || '|' || passenger_name || '|' || contact_data AS response
-        FROM tickets
-        WHERE book_ref IN (SELECT book_ref FROM tickets GROUP BY book_ref HAVING count(*) = 3)""",
-    "q05_max_flights_per_booking": """
-        SELECT CAST(5 AS INTEGER) AS id, CAST(count(*) AS VARCHAR) AS response
-        FROM tickets t JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-        JOIN flights_v f ON tf.flight_id = f.flight_id
-        GROUP BY t.book_ref ORDER BY count(*) DESC LIMIT 1""",
+               t.book_ref || '|' || t.passenger_id || '|' || t.passenger_name || '|' || t.contact_data
+                   AS response
+        FROM tickets t
+        WHERE EXISTS (SELECT 1 FROM of_three o WHERE o.book_ref = t.book_ref)""",
+    "q05_max_flights_per_booking": f"""
+        WITH per_booking AS (SELECT t.book_ref, count(*) AS n FROM {_LEGS} GROUP BY t.book_ref)
+        SELECT CAST(5 AS INTEGER) AS id, CAST(max(n) AS VARCHAR) AS response
+        FROM per_booking HAVING count(*) > 0""",
     "q05_max_legs_no_flight_check": """
-        SELECT CAST(5 AS INTEGER) AS id, CAST(count(*) AS VARCHAR) AS response
-        FROM tickets t JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-        GROUP BY t.book_ref ORDER BY count(*) DESC LIMIT 1""",
-    "q06_max_flights_per_ticket": """
-        SELECT CAST(6 AS INTEGER) AS id, CAST(count(*) AS VARCHAR) AS response
-        FROM tickets t JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-        JOIN flights_v f ON tf.flight_id = f.flight_id
-        GROUP BY t.book_ref, tf.ticket_no ORDER BY count(*) DESC LIMIT 1""",
-    "q07_max_flights_per_passenger": """
-        SELECT CAST(7 AS INTEGER) AS id, CAST(count(tf.flight_id) AS VARCHAR) AS response
-        FROM tickets t JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-        JOIN flights_v f ON tf.flight_id = f.flight_id
-        GROUP BY t.passenger_id ORDER BY count(tf.flight_id) DESC LIMIT 1""",
+        WITH per_booking AS (SELECT t.book_ref, count(*) AS n
+                             FROM tickets t JOIN ticket_flights tf USING (ticket_no)
+                             GROUP BY t.book_ref)
+        SELECT CAST(5 AS INTEGER) AS id, CAST(max(n) AS VARCHAR) AS response
+        FROM per_booking HAVING count(*) > 0""",
+    "q06_max_flights_per_ticket": f"""
+        WITH per_ticket AS (SELECT t.book_ref, t.ticket_no, count(*) AS n FROM {_LEGS}
+                            GROUP BY t.book_ref, t.ticket_no)
+        SELECT CAST(6 AS INTEGER) AS id, CAST(max(n) AS VARCHAR) AS response
+        FROM per_ticket HAVING count(*) > 0""",
+    "q07_max_flights_per_passenger": f"""
+        WITH per_passenger AS (SELECT t.passenger_id, count(tf.flight_id) AS n FROM {_LEGS}
+                               GROUP BY t.passenger_id)
+        SELECT CAST(7 AS INTEGER) AS id, CAST(max(n) AS VARCHAR) AS response
+        FROM per_passenger HAVING count(*) > 0""",
     "q08_min_spend_passengers": """
+        WITH spend AS (
+            SELECT t.passenger_id, t.passenger_name, t.contact_data, sum(tf.amount) AS total
+            FROM tickets t JOIN ticket_flights tf USING (ticket_no) JOIN flights f USING (flight_id)
+            WHERE f.status <> 'Cancelled'
+            GROUP BY t.passenger_id, t.passenger_name, t.contact_data)
         SELECT CAST(8 AS INTEGER) AS id,
-               concat(passenger_id, '|', passenger_name, '|', contact_data, '|', CAST(total AS VARCHAR)) AS response
-        FROM (SELECT passenger_id, passenger_name, contact_data, sum(tf.amount) AS total
-              FROM tickets t JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-              JOIN flights f ON tf.flight_id = f.flight_id
-              WHERE f.status <> 'Cancelled'
-              GROUP BY passenger_id, passenger_name, contact_data) s
-        WHERE total = (SELECT sum(tf.amount) AS spend
-                       FROM tickets t JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-                       JOIN flights f ON tf.flight_id = f.flight_id
-                       WHERE f.status <> 'Cancelled'
-                       GROUP BY passenger_id, passenger_name, contact_data
-                       ORDER BY spend ASC NULLS LAST LIMIT 1)""",
+               concat(passenger_id, '|', passenger_name, '|', contact_data, '|', CAST(total AS VARCHAR))
+                   AS response
+        FROM spend WHERE total = (SELECT min(total) FROM spend)""",
     "q09_max_airtime_passengers": f"""
+        WITH air AS (
+            SELECT t.passenger_id, t.passenger_name, t.contact_data,
+                   CAST(sum(date_diff('second', f.actual_departure, f.actual_arrival)) AS BIGINT) AS secs
+            FROM {_LEGS}
+            WHERE f.status = 'Arrived'
+            GROUP BY t.passenger_id, t.passenger_name, t.contact_data)
         SELECT CAST(9 AS INTEGER) AS id,
-               passenger_id || '|' || passenger_name || '|' || contact_data || '|'
-               || {_HMS.format(s='total')} AS response
-        FROM (SELECT *, rank() OVER (ORDER BY total DESC NULLS LAST) AS rnk
-              FROM (SELECT passenger_id, passenger_name, contact_data,
-                           CAST(sum(date_diff('second', f.actual_departure, f.actual_arrival)) AS BIGINT) AS total
-                    FROM tickets t JOIN ticket_flights tf ON t.ticket_no = tf.ticket_no
-                    JOIN flights_v f ON tf.flight_id = f.flight_id
-                    WHERE f.status = 'Arrived'
-                    GROUP BY passenger_id, passenger_name, contact_data) s) r
-        WHERE rnk = 1 AND total IS NOT NULL""",
+               passenger_id || '|' || passenger_name || '|' || contact_data || '|' || {_HMS.format(s='secs')}
+                   AS response
+        FROM air WHERE secs = (SELECT max(secs) FROM air)""",
     "q10_cities_multi_airport": """
         SELECT CAST(10 AS INTEGER) AS id, city AS response
-        FROM airports GROUP BY city HAVING count(*) > 1""",
+        FROM airports GROUP BY city HAVING count(*) >= 2""",
     "q11_fewest_direct_cities": """
+        WITH reach AS (SELECT departure_city, count(DISTINCT arrival_city) AS k
+                       FROM routes GROUP BY departure_city)
         SELECT CAST(11 AS INTEGER) AS id, departure_city AS response
-        FROM (SELECT departure_city, count(DISTINCT arrival_city) AS route
-              FROM routes GROUP BY departure_city) n
-        WHERE route = (SELECT min(route) FROM (SELECT count(DISTINCT arrival_city) AS route
-                                               FROM routes GROUP BY departure_city) m)""",
+        FROM reach WHERE k = (SELECT min(k) FROM reach)""",
     "q11_fewest_direct_cities_by_arrival": """
+        WITH reach AS (SELECT arrival_city, count(DISTINCT departure_city) AS k
+                       FROM routes GROUP BY arrival_city)
         SELECT CAST(11 AS INTEGER) AS id, arrival_city AS response
-        FROM routes GROUP BY arrival_city
-        HAVING count(DISTINCT departure_city) = (
-            SELECT count(DISTINCT departure_city) AS num_routes FROM routes
-            GROUP BY arrival_city ORDER BY num_routes LIMIT 1)""",
+        FROM reach WHERE k = (SELECT min(k) FROM reach)""",
     "q11_fewest_departures": """
+        WITH flown AS (SELECT departure_city, count(*) AS n FROM flights_v GROUP BY departure_city)
         SELECT CAST(11 AS INTEGER) AS id, departure_city AS response
-        FROM (SELECT *, rank() OVER (ORDER BY cnt) AS rnk
-              FROM (SELECT departure_city, count(*) AS cnt FROM flights_v GROUP BY departure_city) a) b
-        WHERE rnk = 1""",
+        FROM flown WHERE n = (SELECT min(n) FROM flown)""",
     "q12_unconnected_city_pairs": """
-        SELECT CAST(12 AS INTEGER) AS id, c1 || '|' || c2 AS response
-        FROM (SELECT DISTINCT a.city AS c1, b.city AS c2
-              FROM airports a CROSS JOIN (SELECT DISTINCT city FROM airports) b
-              WHERE a.city < b.city
-              EXCEPT
-              SELECT departure_city AS c1, arrival_city AS c2 FROM flights_v) p""",
+        WITH cities AS (SELECT DISTINCT city FROM airports WHERE city IS NOT NULL),
+             pairs AS (SELECT a.city AS c1, b.city AS c2 FROM cities a JOIN cities b ON a.city < b.city)
+        SELECT CAST(12 AS INTEGER) AS id, p.c1 || '|' || p.c2 AS response
+        FROM pairs p
+        WHERE NOT EXISTS (SELECT 1 FROM flights_v f
+                          WHERE f.departure_city = p.c1 AND f.arrival_city = p.c2)""",
     "q13_unreachable_from_city": f"""
-        SELECT CAST(13 AS INTEGER) AS id, c2 AS response
-        FROM (SELECT DISTINCT a.city AS c1, b.city AS c2
-              FROM airports a CROSS JOIN (SELECT DISTINCT city FROM airports) b
-              WHERE a.city <> b.city AND a.city = '{_Q13}'
-              EXCEPT
-              SELECT departure_city AS c1, arrival_city AS c2 FROM flights_v
-              WHERE departure_city = '{_Q13}') p""",
+        WITH cities AS (SELECT DISTINCT city FROM airports WHERE city IS NOT NULL)
+        SELECT CAST(13 AS INTEGER) AS id, c.city AS response
+        FROM cities c
+        WHERE c.city <> '{_Q13}'
+          AND EXISTS (SELECT 1 FROM airports WHERE city = '{_Q13}')
+          AND NOT EXISTS (SELECT 1 FROM flights_v f
+                          WHERE f.departure_city = '{_Q13}' AND f.arrival_city = c.city)""",
     "q14_model_most_flights": """
+        WITH arrived AS (SELECT aircraft_code, count(*) AS n FROM flights_v
+                         WHERE status = 'Arrived' GROUP BY aircraft_code)
         SELECT CAST(14 AS INTEGER) AS id, a.model AS response
-        FROM aircrafts a JOIN (
-            SELECT aircraft_code FROM (
-                SELECT *, rank() OVER (ORDER BY cnt DESC) AS rnk
-                FROM (SELECT aircraft_code, count(*) AS cnt FROM flights_v
-                      WHERE status = 'Arrived' GROUP BY aircraft_code) t1) t2
-            WHERE rnk = 1) t3 ON a.aircraft_code = t3.aircraft_code""",
+        FROM aircrafts a JOIN arrived r USING (aircraft_code)
+        WHERE r.n = (SELECT max(n) FROM arrived)""",
     "q15_model_most_passengers": """
+        WITH carried AS (SELECT f.aircraft_code, count(*) AS n
+                         FROM ticket_flights tf JOIN flights_v f USING (flight_id)
+                         WHERE f.status = 'Arrived' GROUP BY f.aircraft_code)
         SELECT CAST(15 AS INTEGER) AS id, a.model AS response
-        FROM aircrafts a JOIN (
-            SELECT aircraft_code FROM (
-                SELECT *, rank() OVER (ORDER BY cnt DESC) AS rnk
-                FROM (SELECT fv.aircraft_code, count(*) AS cnt
-                      FROM ticket_flights tf JOIN flights_v fv ON tf.flight_id = fv.flight_id
-                      WHERE fv.status = 'Arrived' GROUP BY fv.aircraft_code) t1) t2
-            WHERE rnk = 1) t3 ON a.aircraft_code = t3.aircraft_code""",
+        FROM aircrafts a JOIN carried c USING (aircraft_code)
+        WHERE c.n = (SELECT max(n) FROM carried)""",
     "q16_schedule_deviation_minutes": """
         SELECT CAST(16 AS INTEGER) AS id,
                CAST(abs(sum(date_diff('second', scheduled_departure, scheduled_arrival)
-                            - date_diff('second', actual_departure, actual_arrival))) // 60 AS VARCHAR) AS response
+                            - date_diff('second', actual_departure, actual_arrival))) // 60 AS VARCHAR)
+                   AS response
         FROM flights_v WHERE status = 'Arrived'""",
     "q17_destinations_on_day": f"""
-        SELECT CAST(17 AS INTEGER) AS id, arrival_city AS response
+        SELECT DISTINCT CAST(17 AS INTEGER) AS id, arrival_city AS response
         FROM flights_v
         WHERE departure_city = '{_Q17["origin"]}'
-          AND (status = 'Arrived' OR status = 'Departed')
-          AND CAST(actual_departure AS DATE) = DATE '{_Q17["on"]}'
-        GROUP BY arrival_city""",
+          AND status IN ('Arrived', 'Departed')
+          AND CAST(actual_departure AS DATE) = DATE '{_Q17["on"]}'""",
     "q18_top_revenue_flights": """
+        WITH revenue AS (SELECT f.flight_id, sum(tf.amount) AS total
+                         FROM ticket_flights tf JOIN flights f USING (flight_id)
+                         WHERE f.status <> 'Cancelled' GROUP BY f.flight_id)
         SELECT CAST(18 AS INTEGER) AS id, CAST(flight_id AS VARCHAR) AS response
-        FROM (SELECT *, rank() OVER (ORDER BY total DESC NULLS LAST) AS rnk
-              FROM (SELECT f.flight_id, sum(tf.amount) AS total
-                    FROM ticket_flights tf JOIN flights f ON f.flight_id = tf.flight_id
-                    WHERE f.status <> 'Cancelled' GROUP BY f.flight_id) t1) t2
-        WHERE rnk = 1 AND total IS NOT NULL""",
+        FROM revenue WHERE total = (SELECT max(total) FROM revenue)""",
     "q19_quietest_days": """
+        WITH per_day AS (SELECT CAST(actual_departure AS DATE) AS d, count(*) AS n
+                         FROM flights_v
+                         WHERE status <> 'Cancelled' AND actual_departure IS NOT NULL
+                         GROUP BY CAST(actual_departure AS DATE))
         SELECT CAST(19 AS INTEGER) AS id, CAST(d AS VARCHAR) AS response
-        FROM (SELECT *, rank() OVER (ORDER BY cnt) AS rnk
-              FROM (SELECT CAST(actual_departure AS DATE) AS d, count(*) AS cnt
-                    FROM flights_v
-                    WHERE status <> 'Cancelled' AND actual_departure IS NOT NULL
-                    GROUP BY CAST(actual_departure AS DATE)) t1) t2
-        WHERE rnk = 1""",
+        FROM per_day WHERE n = (SELECT min(n) FROM per_day)""",
     # Europe/Moscow was UTC+3 all year in 2016: its wall clock minus 3 hours is UTC.
     "q19_quietest_days_shifted": """
+        WITH per_day AS (SELECT CAST(actual_departure - INTERVAL 3 HOUR AS DATE) AS d, count(*) AS n
+                         FROM flights_v
+                         WHERE status <> 'Cancelled' AND actual_departure IS NOT NULL
+                         GROUP BY CAST(actual_departure - INTERVAL 3 HOUR AS DATE))
         SELECT CAST(19 AS INTEGER) AS id, CAST(d AS VARCHAR) AS response
-        FROM (SELECT *, rank() OVER (ORDER BY cnt) AS rnk
-              FROM (SELECT CAST(actual_departure - INTERVAL 3 HOUR AS DATE) AS d, count(*) AS cnt
-                    FROM flights_v
-                    WHERE status <> 'Cancelled' AND actual_departure IS NOT NULL
-                    GROUP BY 1) t1) t2
-        WHERE rnk = 1""",
+        FROM per_day WHERE n = (SELECT min(n) FROM per_day)""",
     "q20_avg_departures_per_day": f"""
         SELECT CAST(20 AS INTEGER) AS id, CAST(count(flight_id) // 30 AS VARCHAR) AS response
         FROM flights_v
         WHERE departure_city = '{_Q20}'
-          AND (status = 'Departed' OR status = 'Arrived')
+          AND status IN ('Departed', 'Arrived')
           AND CAST(actual_departure AS DATE) BETWEEN DATE '2016-09-01' AND DATE '2016-09-30'""",
     "q21_top5_long_flight_cities": """
+        WITH means AS (SELECT departure_city,
+                              avg(date_diff('second', actual_departure, actual_arrival)) AS mean_seconds
+                       FROM flights_v WHERE status = 'Arrived' GROUP BY departure_city)
         SELECT CAST(21 AS INTEGER) AS id, departure_city AS response
-        FROM (SELECT departure_city,
-                     avg(date_diff('second', actual_departure, actual_arrival)) AS mean_seconds
-              FROM flights_v WHERE status = 'Arrived' GROUP BY departure_city) m
-        WHERE mean_seconds > 10800
+        FROM means WHERE mean_seconds > 10800
         ORDER BY mean_seconds DESC, departure_city ASC NULLS LAST
         LIMIT 5""",
     "el_copy_seats": """
