@@ -18,7 +18,8 @@ from tests.conftest import make_tables
 from tests.oracle_compare import _canon
 
 KEYS = [
-    "q05_max_flights_per_booking", "q05_max_legs_no_flight_check", "q06_max_flights_per_ticket",
+    "q01_max_people_per_booking", "q02_bookings_above_avg_size", "q03_repeat_names_in_max_bookings",
+    "q04_contacts_bookings_of_three", "q05_max_flights_per_booking", "q05_max_legs_no_flight_check", "q06_max_flights_per_ticket",
     "q07_max_flights_per_passenger", "q08_min_spend_passengers", "q09_max_airtime_passengers",
     "q14_model_most_flights", "q15_model_most_passengers", "q18_top_revenue_flights",
 ]
