@@ -2,6 +2,7 @@
 key: new shuffles, reused exchanges, join strategies, windows and scans.
 
 Usage: python -m tests.plan_report [sf_dir] > PLANS.md
+       python -m tests.plan_report --dump docs/plans [sf_dir]   (formatted plans, one file per key)
 Two passes: Spark defaults, and "scale-like", where only tiny fixed
 dimensions are broadcast by estimate and AQE may not convert joins to
 broadcasts at runtime (as when every other table is large): then only the
@@ -42,12 +43,36 @@ def summarise(lines: list[str]) -> dict:
     }
 
 
+def dump(spark, entry, sf: str, folder: str) -> None:
+    """Write ``explain("formatted")`` of every question key to ``folder``."""
+    import contextlib
+    import io
+    import os
+
+    os.makedirs(folder, exist_ok=True)
+    for key, fn in entry.queries().items():
+        if not key.startswith("q"):
+            continue
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            fn(spark, sf).explain(mode="formatted")
+        text = re.sub(r"#\d+", "", buf.getvalue())  # expression ids vary run to run
+        with open(os.path.join(folder, f"{key}.txt"), "w", encoding="utf-8") as fh:
+            fh.write(f"# {key} at {sf}: explain('formatted') before execution\n\n{text}")
+
+
 def main() -> None:
     sys.path.insert(0, ".")
     from tarmac.session import local_session
     import __spark_entry__ as entry
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    args = sys.argv[1:]
+    if args[:1] == ["--dump"]:
+        folder, rest = args[1], args[2:]
+        spark = local_session(8)
+        dump(spark, entry, rest[0] if rest else "/root/testdata/sf0.01", folder)
+        return
+    sf = args[0] if args else "/root/testdata/sf0.1"
     spark = local_session(8)
     keys = [k for k in entry.queries() if k.startswith("q")]
     print(f"# Executed plans at {sf}\n")
