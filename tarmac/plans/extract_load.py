@@ -34,6 +34,8 @@ def copy_by_day(spark: SparkSession, df: DataFrame, timestamp: str, table: str,
     dated = df.withColumn(day_column, day(timestamp)).hint("rebalance", day_column)
     (
         dated.write.mode("overwrite").format("parquet")
+        # a copy replaces every day, also under a session-wide dynamic mode
+        .option("partitionOverwriteMode", "static")
         .partitionBy(day_column)
         .option("path", path)
         .saveAsTable(table)

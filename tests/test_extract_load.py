@@ -128,3 +128,17 @@ def test_extract_load_job_wiring(spark, tmp_path, monkeypatch):
     assert out["flights_v"].count() == views.flights_v.count()
     assert "actual_departure_date" in out["flights_v"].columns
     assert any(d.startswith("actual_departure_date=") for d in os.listdir(tmp_path / "flights_v"))
+
+
+def test_copy_by_day_replaces_all_days_even_in_dynamic_mode(spark, tmp_path):
+    path = str(tmp_path / "fv")
+    first = make_tables(spark, flights_v=[flight(1, ad="2016-09-01 10:00:00", aa="2016-09-01 11:00:00"),
+                                          flight(2, ad="2016-09-02 10:00:00", aa="2016-09-02 11:00:00")])
+    second = make_tables(spark, flights_v=[flight(3, ad="2016-09-02 12:00:00", aa="2016-09-02 13:00:00")])
+    copy_by_day(spark, first.flights_v, "actual_departure", "test_fv_dyn", path)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        copy = copy_by_day(spark, second.flights_v, "actual_departure", "test_fv_dyn", path)
+        assert sorted(r["flight_id"] for r in copy.collect()) == [3]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
