@@ -72,3 +72,30 @@ def test_time_helpers_accept_timestamp_with_zone(spark):
     assert row["s"] == 90030
     assert row["d"] == dt.date(2016, 9, 14)
     assert row["m"] == dt.date(2016, 9, 13)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(min_value=0, max_value=10**9), min_size=1, max_size=200))
+def test_hms_and_duration_round_trip(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s bigint").select(
+        "s", hms("s").alias("h")
+    ).select("s", "h", duration_seconds("h").alias("back"))
+    for row in df.collect():
+        s = row["s"]
+        assert row["h"] == f"{s // 3600:02d}:{s % 3600 // 60:02d}:{s % 60:02d}"
+        assert row["back"] == s
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(min_value=-10**12, max_value=10**12), min_size=1, max_size=200),
+       st.integers(min_value=1, max_value=10**6))
+def test_int_div_matches_truncating_division(spark, values, divisor):
+    df = spark.createDataFrame([(v,) for v in values], "n bigint").select("n", int_div("n", divisor).alias("q"))
+    for row in df.collect():
+        n = row["n"]
+        expected = abs(n) // divisor * (1 if n >= 0 else -1)
+        assert row["q"] == expected
