@@ -88,3 +88,14 @@ def test_skew_join_split_is_used(spark, skewed):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     assert "isSkewJoin=true" in plan or "skewed" in plan
+
+
+def test_q04_drops_oversized_bookings_before_its_shuffle(spark, skewed):
+    t, _ = skewed
+    df = q.q04_contacts_bookings_of_three(t)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = plan.splitlines()
+    anti = next(i for i, s in enumerate(lines) if "LeftAnti" in s)
+    # the exchange feeding the semi join sits above the map-side anti join
+    assert any("Exchange hashpartitioning(book_ref" in s for s in lines[anti - 2:anti])
