@@ -70,21 +70,31 @@ def per_flight(legs: DataFrame, /, **aggregates: Column) -> DataFrame:
     return legs.groupBy("flight_id").agg(*[v.alias(k) for k, v in aggregates.items()])
 
 
+COPIES = "_copies"
+
+
 def with_ticket(tickets: DataFrame, ticket_values: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Attach per-ticket aggregates to ticket rows (inner join on ticket_no).
 
-    Together with :func:`roll_up` this is an exact rewrite of
-    ``SELECT keys, count/sum(..) FROM tickets JOIN legs GROUP BY keys``: each
-    tickets row contributes its ticket's aggregate, so even duplicate ticket
-    rows count as they would in the flat join.
+    Identical ticket rows are first collapsed into one row with a ``_copies``
+    count (a partial aggregation, so copies collapse map-side): even if a
+    third of all rows were copies of one ticket, the join's shuffle carries
+    one row for them. Together with :func:`roll_up`, which weights by
+    ``_copies``, this is an exact rewrite of
+    ``SELECT keys, count/sum(..) FROM tickets JOIN legs GROUP BY keys``.
     """
     cols = list(dict.fromkeys([*columns, "ticket_no"]))
-    return tickets.select(*cols).join(ticket_values, "ticket_no")
+    rows = tickets.groupBy(*cols).agg(F.count(F.lit(1)).alias(COPIES))
+    return rows.join(ticket_values, "ticket_no")
 
 
 def roll_up(rows: DataFrame, keys: Sequence[str], /, **sums: str) -> DataFrame:
-    """Sum pre-aggregated columns up to ``keys`` (``name=column``)."""
-    return rows.groupBy(*keys).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    """Sum pre-aggregated columns up to ``keys`` (``name=column``), each
+    weighted by ``_copies`` when the rows carry it (see :func:`with_ticket`)."""
+    def term(c: str) -> Column:
+        return F.col(c) * F.col(COPIES) if COPIES in rows.columns else F.col(c)
+
+    return rows.groupBy(*keys).agg(*[F.sum(term(c)).alias(name) for name, c in sums.items()])
 
 
 def dense_index(df: DataFrame, column: str, index: str) -> DataFrame:
