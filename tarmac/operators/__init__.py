@@ -1,4 +1,5 @@
 from tarmac.operators.relational import (
+    COPIES,
     answer,
     dense_index,
     extreme_rows,
@@ -14,6 +15,7 @@ from tarmac.operators.relational import (
 )
 
 __all__ = [
+    "COPIES",
     "answer",
     "dense_index",
     "extreme_rows",

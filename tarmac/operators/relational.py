@@ -55,9 +55,10 @@ def keys_with_size(df: DataFrame, key: str, predicate) -> DataFrame:
 
 
 def legs_in(ticket_flights: DataFrame, flights: DataFrame) -> DataFrame:
-    """Legs whose flight is present in ``flights`` (a semi join: flight_id is
-    the key of ``flights``, so membership never multiplies legs)."""
-    return ticket_flights.join(flights.select("flight_id"), "flight_id", "left_semi")
+    """Legs whose flight is present in ``flights`` (a semi join, so
+    membership never multiplies legs; flight ids are de-duplicated map-side
+    first, so copies of a flight row never pile up in one task)."""
+    return ticket_flights.join(flights.select("flight_id").distinct(), "flight_id", "left_semi")
 
 
 def per_ticket(legs: DataFrame, /, **aggregates: Column) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tarmac import constants as K
 from tarmac.functions import concat_empty, concat_strict, day, hms, int_div, shifted_day, span_seconds
 from tarmac.operators import (
+    COPIES,
     answer,
     extreme_rows,
     keys_with_size,
@@ -310,7 +311,12 @@ def q14_model_most_flights(t: BookingTables) -> DataFrame:
 def q15_model_most_passengers(t: BookingTables) -> DataFrame:
     """Aircraft model(s) with the most ticket legs on arrived flights
     (legs counted per flight first, then joined to flights)."""
-    arrived = t.flights_v.where(F.col("status") == K.STATUS_ARRIVED).select("flight_id", "aircraft_code")
+    # copies of a flight row count once each (flat-join semantics) but cross
+    # the shuffle as one row with a copy count
+    arrived = (
+        t.flights_v.where(F.col("status") == K.STATUS_ARRIVED)
+        .groupBy("flight_id", "aircraft_code").agg(F.count(F.lit(1)).alias(COPIES))
+    )
     per_code = roll_up(flight_facts(t).join(arrived, "flight_id"), ["aircraft_code"], n="legs")
     return _models(t, per_code, 15)
 
@@ -343,7 +349,7 @@ def q18_top_revenue_flights(t: BookingTables) -> DataFrame:
     (flight-sized) result filtered by flight status.
     """
     flown = t.flights.where(F.col("status") != K.STATUS_CANCELLED)
-    kept = flight_facts(t).join(flown.select("flight_id"), "flight_id", "left_semi")
+    kept = flight_facts(t).join(flown.select("flight_id").distinct(), "flight_id", "left_semi")
     return answer(extreme_rows(kept, "revenue"), 18, "flight_id")
 
 
