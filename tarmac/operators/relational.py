@@ -182,5 +182,5 @@ def unreached_from(nodes: DataFrame, node: str, edges: DataFrame, src: str, dst:
         .where(F.col(name).isNotNull() & (F.col(name) != F.lit(origin)) & known)
         .distinct()
     )
-    reached = edges.where(F.col(src) == F.lit(origin)).select(F.col(dst).alias(name))
+    reached = edges.where(F.col(src) == F.lit(origin)).select(F.col(dst).alias(name)).distinct()
     return candidates.join(reached, name, "left_anti")
