@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import minhash, repeats
+from tarmac.llm import minhash, repeats, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,10 +25,23 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs).drop("key")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return rules.judged(docs, _table(spark, sf_dir, "labels")).select(
+        "doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.scored(docs, _table(spark, sf_dir, "labels")).select("doc_id", *toxicity.OUTPUTS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op6_substring_dedup,
         op7_minhash_near_dedup,
+        op8_quality_rules,
+        op10_toxicity,
     )}
 
 
