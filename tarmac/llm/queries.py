@@ -7,13 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import minhash, repeats, rules, toxicity
+from tarmac.llm import bpe, minhash, packing, repeats, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """A public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = packing.pieces(docs, tokenizer_file("word_bpe_49k.json"))
+    return packing.packed(parts.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import PATTERN
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    return bpe.decoded(bpe.encoded(docs, ranks, PATTERN), ranks).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.remove_repeats(docs).select(
@@ -38,6 +61,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
+        op2_best_fit_packing,
+        op3_byte_bpe,
         op6_substring_dedup,
         op7_minhash_near_dedup,
         op8_quality_rules,
