@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, caps, minhash, packing, repeats, rules, toxicity
+from tarmac.llm import bpe, caps, licences, minhash, packing, repeats, resample, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resampled(docs, _table(spark, sf_dir, "labels"))
+
+
 def op5_spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -58,6 +63,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *rules.COUNTS, "base_failed", "kept")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.families(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.scored(docs, _table(spark, sf_dir, "labels")).select("doc_id", *toxicity.OUTPUTS)
@@ -67,10 +76,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op2_best_fit_packing,
         op3_byte_bpe,
+        op4_importance_resampling,
         op5_spherical_caps,
         op6_substring_dedup,
         op7_minhash_near_dedup,
         op8_quality_rules,
+        op9_license_scan,
         op10_toxicity,
     )}
 
