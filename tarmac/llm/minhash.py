@@ -10,14 +10,17 @@ so a text copied a million times is one row.
 2. Prefix: a class with s postings needs only its s - MATCHES + 1 shortest
    lists, as two classes that share MATCHES of them meet in these prefixes.
 3. Merging with skips: in each list, members are first compared with one
-   leader. Members of a list that the links found so far already connect need
-   no further comparison; only members of different components are paired.
-   So a group of copies costs its size, not its square.
-4. Candidates that agree in MATCHES coordinates are confirmed on their full
-   sets: 100 * intersection >= 75 * union.
-
-With 64 coordinates and 34 matches, a pair of similarity 0.75 is missed with a
-chance of 2e-5, a closer one with less. Nothing is capped.
+   leader, the member that shares most postings with others. Members of a list
+   that the links found so far already connect are skipped from then on; only
+   members of different components are compared, block by block inside tasks,
+   and a pair is put out once, in the least list both are in.
+4. A comparison counts agreements of 256 further minima (one byte each, kept
+   for classes that got this far); pairs with ``SKETCH_MATCHES`` or more are
+   confirmed on their full sets: 100 * intersection >= 75 * union.
+
+A pair of similarity 0.75 is missed with a chance of about 3e-5, a closer one
+with less. Nothing is capped. A near-copy group costs its size for the leader
+and, for members that are not linked to it, comparisons inside tasks.
 
 Cases: null text or one without words has an empty set, n_shingles 0, and
 links with nothing (component_id is its own id); fewer than five words are one
@@ -36,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+from tarmac.llm import lists
 from tarmac.llm import text as tx
 from tarmac.llm.components import components
 from tarmac.llm.jobs import prepared, stored
@@ -43,9 +47,12 @@ from tarmac.llm.jobs import prepared, stored
 SHINGLE = 5
 COORDINATES = 64
 MATCHES = 34
+SKETCH = 256           # further coordinates, one byte each
+SKETCH_MATCHES = 162   # a similarity of 0.75 gives 192, with a deviation of 7
 PERCENT = 75
+BLOCK_ROWS = 2048      # members of a list compared together
 
-_MULTIPLIERS = tx.mix(np.arange(1, COORDINATES + 1, dtype=np.uint64)) | np.uint64(1)
+_MULTIPLIERS = tx.mix(np.arange(1, COORDINATES + SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 def shingle_sets(t: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -82,15 +89,24 @@ def set_keys(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Rows x COORDINATES; rows with an empty set are left out."""
+def _minima(h: np.ndarray, first: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """Rows x multipliers; rows with an empty set are left out."""
     at = first[:-1][np.diff(first) > 0]
-    out = np.empty((len(at), COORDINATES), dtype=np.uint32)
-    for j, m in enumerate(_MULTIPLIERS):
+    out = np.empty((len(at), len(multipliers)), dtype=np.uint32)
+    for j, m in enumerate(multipliers):
         out[:, j] = np.minimum.reduceat((h * m >> np.uint64(32)).astype(np.uint32), at)
     return out
 
 
+def signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return _minima(h, first, _MULTIPLIERS[:COORDINATES])
+
+
+def sketches(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A mixed byte of each further minimum."""
+    return (tx.mix(_minima(h, first, _MULTIPLIERS[COORDINATES:]).astype(np.uint64)) & np.uint64(255)).astype(np.uint8)
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for t in tx.slices(batch.column(2)):
@@ -100,7 +116,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sig[:] = None
             full = np.flatnonzero(n)
             if len(full):
-                sig[full] = [x.tobytes() for x in _signatures(h, first)]
+                sig[full] = [x.tobytes() for x in signatures(h, first)]
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(i).slice(t.start, t.stop - t.start) for i in range(2)),
                 pa.array(n, type=pa.int64()), pa.array(set_keys(h, first)), pa.array(sig, type=pa.binary()),
@@ -123,18 +139,49 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for t in tx.slices(batch.column(0)):
             h, first = shingle_sets(t)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(set_keys(h, first)),
-                pa.array([h[a:b].tobytes() for a, b in zip(first[:-1], first[1:])], type=pa.binary()),
-            ], names=["key", "shingles"])
+            full = np.flatnonzero(np.diff(first))
+            if len(full):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(set_keys(h, first)[full]),
+                    pa.array([h[first[r] : first[r + 1]].tobytes() for r in full], type=pa.binary()),
+                    pa.array([x.tobytes() for x in sketches(h, first)], type=pa.binary()),
+                ], names=["key", "shingles", "sketch"])
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SKETCH)
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose signatures agree in MATCHES coordinates."""
+    """Pairs whose sketches agree enough."""
     for batch in batches:
         if batch.num_rows:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(-1, COORDINATES) for i in (2, 3))
-            yield batch.select([0, 1]).filter(pa.array((x == y).sum(axis=1) >= MATCHES))
+            agree = (_sketches(batch.column(2)) == _sketches(batch.column(3))).sum(axis=1)
+            yield batch.select([0, 1]).filter(pa.array(agree >= SKETCH_MATCHES))
+
+
+def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each group whose members are of different components and whose
+    sketches agree enough, if no lesser list has both."""
+    for g in lists.groups(batches, ["post", "low", "high"]):
+        here, low, high = (g.column(c)[0].as_py() for c in ("post", "low", "high"))
+        part, key, root = (g.column(c).to_numpy() for c in ("part", "key", "root"))
+        sketch = _sketches(g.column("sketch"))
+        left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        found_i, found_j = [], []
+        for r in left:
+            others = right[root[right] != root[r]]
+            if low == high:
+                others = others[others > r]
+            others = others[(sketch[others] == sketch[r]).sum(axis=1) >= SKETCH_MATCHES]
+            found_i.append(np.full(len(others), r))
+            found_j.append(others)
+        i, j = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (found_i, found_j))
+        if len(i):
+            names = [np.asarray(x, dtype=np.int64) for x in g.column("posts").to_pylist()]
+            new = ~lists.meets_before(names, i, j, here)
+            if new.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[i[new]]), pa.array(key[j[new]])], names=["a", "b"])
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,15 +195,15 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select([0, 1]).filter(pa.array(keep, type=pa.bool_()))
 
 
-def _confirmed(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
-    """Of distinct candidate pairs (a, b), those that are links."""
-    def joined(p: DataFrame, side: DataFrame, value: str) -> DataFrame:
-        for k in ("a", "b"):
-            p = p.join(side.select(F.col("key").alias(k), F.col(value).alias(f"{value}_{k}")), k)
-        return p.select("a", "b", f"{value}_a", f"{value}_b")
+def _joined(pairs: DataFrame, side: DataFrame, value: str) -> DataFrame:
+    """Pairs (a, b) with a value of both."""
+    for k in ("a", "b"):
+        pairs = pairs.join(side.select(F.col("key").alias(k), F.col(value).alias(f"{value}_{k}")), k)
+    return pairs.select("a", "b", f"{value}_a", f"{value}_b")
 
-    near = stored(joined(pairs, signatures, "signature").mapInArrow(_agreeing, "a long, b long"))
-    return stored(joined(near, sets, "shingles").mapInArrow(_similar, "a long, b long"))
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return stored(_joined(pairs, sets, "shingles").mapInArrow(_similar, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -173,35 +220,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
              F.min("signature").alias("signature")))
 
     posts = stored(classes.select("key", "signature").mapInArrow(_postings, "post long, key long"))
-    lists = stored(posts.groupBy("post").agg(F.count("*").alias("n")).where("n > 1"))
+    lengths = stored(posts.groupBy("post").agg(F.count("*").alias("n")).where("n > 1"))
     of_class = (
-        posts.join(lists, "post").groupBy("key")
-        .agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("posts"))  # COORDINATES at most
+        posts.join(lengths, "post").groupBy("key")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("posts"),  # COORDINATES at most
+             F.sum("n").alias("shared"))
         .where(F.size("posts") >= MATCHES)
     )
-    prefix = stored(of_class.select(
-        "key", F.explode(F.slice("posts", F.lit(1), F.size("posts") - (MATCHES - 1))).alias("p")
-    ).select("key", F.col("p.post").alias("post")))
+    prefixes = stored(of_class.select(
+        "key", "shared", F.expr(f"slice(posts, 1, size(posts) - {MATCHES - 1}).post").alias("posts")))
+    prefix = prefixes.select("key", "shared", F.explode("posts").alias("post"))
 
-    ones = stored(classes.join(prefix.select("key").distinct(), "key", "left_semi").select("key", "signature", "one"))
-    wanted = ones.select(F.col("one.doc_id").alias("id"), F.col("one.text_key").alias("tk"))
+    wanted = stored(classes.join(prefixes.select("key"), "key", "left_semi").select(
+        F.col("one.doc_id").alias("id"), F.col("one.text_key").alias("tk")))
     texts = keyed.join(wanted, keyed["doc_id"].eqNullSafe(wanted["id"]) & (keyed["text_key"] == wanted["tk"]), "left_semi")
-    sets = stored(texts.select("text").mapInArrow(_sets, "key long, shingles binary")
-                  .groupBy("key").agg(F.first("shingles").alias("shingles")))
-
-    leaders = stored(prefix.groupBy("post").agg(F.min("key").alias("a")))
-    first = prefix.join(leaders, "post").where("a != key").select("a", F.col("key").alias("b")).distinct()
-    links = _confirmed(stored(first), ones, sets)
+    sets = stored(texts.select("text").mapInArrow(_sets, "key long, shingles binary, sketch binary")
+                  .groupBy("key").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")))
+
+    leaders = stored(prefix.groupBy("post").agg(F.max(F.struct("shared", "key")).alias("most"))
+                     .select("post", F.col("most.key").alias("a")))
+    first = stored(prefix.join(leaders, "post").where("a != key").select("a", F.col("key").alias("b")).distinct())
+    near = stored(_joined(first, sets, "sketch").mapInArrow(_agreeing, "a long, b long"))
+    links = _confirmed(near, sets)
     roots = stored(components(links))
 
     placed = prefix.join(roots.withColumnsRenamed({"id": "key"}), "key", "left").select(
         "post", "key", F.coalesce("root", "key").alias("root"))
-    mixed = placed.groupBy("post").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("post")
-    rest = stored(placed.join(stored(mixed), "post", "left_semi"))
-    x, y = rest.alias("x"), rest.alias("y")
-    left = x.join(y, (F.col("x.post") == F.col("y.post")) & (F.col("x.key") < F.col("y.key"))
-                  & (F.col("x.root") != F.col("y.root"))).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
-    more = _confirmed(stored(left.distinct()), ones, sets)
+    mixed = stored(placed.groupBy("post").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("post"))
+    members = placed.join(mixed, "post", "left_semi")
+    described = prefixes.select("key", "posts").join(sets.select("key", "sketch"), "key")
+    members = stored(members.join(stored(described), "key").select("post", "key", "root", "posts", "sketch"))
+    crossing = lists.in_blocks(members, "post", "key", BLOCK_ROWS).mapInArrow(_crossing, "a long, b long")
+    more = _confirmed(stored(crossing), sets)
     if not more.isEmpty():
         roots = stored(components(links.unionByName(more)))
 
