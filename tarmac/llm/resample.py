@@ -96,7 +96,7 @@ def _weighed(ratios: np.ndarray):
                 rows = t.stop - t.start
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(t.start, rows), batch.column(2).slice(t.start, rows),
-                    pa.array(np.bincount(row, minlength=rows)), pa.array(np.bincount(row, ratios[bucket], rows)),
+                    pa.array(np.bincount(row, minlength=rows)), pa.array(np.bincount(row, ratios[bucket], rows).astype(float)),
                 ], names=["doc_id", "place", "n_grams", "log_weight"])
 
     return run
