@@ -43,6 +43,7 @@ LEAST_DOCS = 5       # documents of the sample that must have a feature
 ROUNDS = 300
 RATE = 0.3
 RIDGE = 1e-4
+LOWEST_CUT = 1.0     # so a text without features is not toxic
 OUTPUTS = ("severity", "p_toxic", "grade", "toxic")
 
 
@@ -125,9 +126,11 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
-def fit_ordinal(row: np.ndarray, index: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and ordered thresholds of a proportional-odds model by
-    gradient descent with momentum on the sum of its binary log losses."""
+def fit_ordinal(row: np.ndarray, index: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int,
+                lowest: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
+    """Shared weights and ordered thresholds (``lowest`` or more) of a
+    proportional-odds model by gradient descent with momentum on the sum of its
+    binary log losses."""
     levels, n = int(grade.max()), len(grade)
     y = grade[:, None] >= np.arange(1, levels + 1)
     share = np.clip(y.mean(axis=0), 1e-3, 1 - 1e-3)
@@ -142,7 +145,7 @@ def fit_ordinal(row: np.ndarray, index: np.ndarray, value: np.ndarray, grade: np
         mw = 0.9 * mw - RATE * scale**2 * g
         mc = 0.9 * mc + RATE * err.mean(axis=0)
         w += mw
-        cuts = np.maximum.accumulate(cuts + mc)
+        cuts = np.maximum.accumulate(np.maximum(cuts + mc, lowest))
     return w, cuts
 
 
@@ -176,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = samples.SAMPLE_ROWS) ->
     grade = np.where(y, np.where(amount >= max(np.median(amount[y]), 2), 2, 1), 0)
     if not (grade == 2).any():
         grade = np.minimum(grade, 1)
-    return Model(hashes, *fit_ordinal(row, index, value, grade, len(hashes)))
+    return Model(hashes, *fit_ordinal(row, index, value, grade, len(hashes), LOWEST_CUT))
 
 
 def _score(model: Model, text_at: int, names: list[str]):
