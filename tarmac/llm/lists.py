@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from tarmac.llm.jobs import stored
 
 
-def in_blocks(members: DataFrame, name: str, member: str, block_rows: int) -> DataFrame:
+def in_blocks(members: DataFrame, name: str, member: str, block_rows: int, about: DataFrame | None = None) -> DataFrame:
     """The members of each list (``name``) dealt so that each pair of one list
     meets in a group (name, low, high) with at most about two times
     ``block_rows`` members: those of part ``low`` and those of part ``high``
-    (column ``part``). Lists of one are left out. The result is sorted by group
+    (column ``part``). ``about`` has more columns for each member. Lists of one
+    are left out. The result is sorted by group
     within its partitions, for :func:`groups`."""
     n = F.count("*")
     sizes = stored(members.groupBy(name).agg(n.alias("n"), F.ceil(n / block_rows).cast("int").alias("parts"))
@@ -24,7 +25,10 @@ def in_blocks(members: DataFrame, name: str, member: str, block_rows: int) -> Da
     dealt = members.join(sizes, name).withColumn("part", F.pmod(F.xxhash64(member), "parts").cast("int"))
     paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     low, high = F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
-    return (paired.select(*members.columns, "part", low, high)
+    paired = paired.select(*members.columns, "part", low, high)
+    if about is not None:
+        paired = paired.join(about, member)
+    return (paired
             .repartition(name, "low", "high").sortWithinPartitions(name, "low", "high"))
 
 

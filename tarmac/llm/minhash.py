@@ -208,7 +208,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, and
-    ``key`` (the name of its set, null if empty)."""
+    ``key`` (the name of its set, null if empty) and ``text_key``."""
     prepared(docs)
     keyed = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     described = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *(
@@ -259,7 +259,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "key", F.coalesce("root", "key").alias("root"), "least_id")
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_key = stored(named.join(stored(names), "root").select("key", "component_id"))
-    out = told.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("key")).alias("key")).join(of_key, "key", "left")
+    out = told.select("doc_id", "n_shingles", "text_key", F.when(F.col("n_shingles") > 0, F.col("key")).alias("key")).join(of_key, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), "key")
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "key", "text_key")
+
+
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component left (the kept one; of
+    repeated rows one)."""
+    found = stored(near_duplicates(docs).where("kept").groupBy("doc_id", "text_key")
+                   .agg(F.count("*").alias("rows"), F.max("n_shingles").alias("n")))
+    keyed = docs.withColumn("_mh_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    one = found.select(F.col("doc_id").alias("_mh_id"), F.col("text_key").alias("_mh_text"))
+    left = keyed.join(one, keyed["doc_id"].eqNullSafe(one["_mh_id"]) & (keyed["_mh_key"] == one["_mh_text"]), "left_semi")
+    if not found.where("rows > 1 and n > 0").isEmpty():  # repeated rows have one id and text
+        left = left.dropDuplicates(["doc_id", "_mh_key"])
+    return left.drop("_mh_key")

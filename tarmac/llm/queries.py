@@ -58,7 +58,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return minhash.near_duplicates(docs).drop("key")
+    return minhash.near_duplicates(docs).drop("key", "text_key")
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from tarmac.llm import caps
+
+from .plain import groups
+
+SCHEMA = "vec_id long, embedding array<float>, n_links string"
+
+
+def brute(ids, vectors):
+    n = len(ids)
+    links = [0] * n
+    pairs = []
+    for i in range(n):
+        for j in range(i):
+            a, b = vectors[i], vectors[j]
+            if a is not None and b is not None and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.95:
+                links[i] += 1
+                links[j] += 1
+                pairs.append((i, j))
+    root = groups(n, pairs)
+    least = {}
+    for i, r in zip(ids, root):
+        if i is not None:
+            least[r] = min(i, least.get(r, i))
+    return sorted(((i or -1), k, least.get(r, i) or -1) for i, k, r in zip(ids, links, root))
+
+
+def result(df):
+    return sorted((r.vec_id or -1, r.n_links, r.component_id or -1) for r in caps.near_vectors(df).collect())
+
+
+def test_odd_vectors(spark):
+    a = [1.0, 2.0, 3.0, 4.0]
+    rows = [(5, a), (3, a), (None, [2 * x for x in a]), (7, None), (8, []), (9, [0.0] * 4), (10, [1.0, None, 2.0, 0.0]),
+            (11, [float("nan"), 1.0, 0.0, 0.0]), (12, [float("inf"), 1.0, 0.0, 0.0]), (13, [-x for x in a]), (14, [1.0, 2.0, 3.0]),
+            (15, [1e-30 * x for x in a]), (16, [1e30 * x for x in a]), (17, [1.0, 2.0, 3.0, 4.3]), (17, [1.0, 2.0, 3.0, 4.3]), (18, [2.0])]
+    good = [None if v is None or not v or None in v or not np.isfinite(np.array(v, dtype=np.float32)).all() or not np.any(v)
+            else np.array(v, dtype=np.float32).astype(float) for _, v in rows]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], SCHEMA)
+    want = brute([i for i, _ in rows], [None if g is None else g / np.abs(g).max() for g in good])
+    assert result(df) == want
+
+
+def test_empty_table(spark):
+    assert caps.near_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("block", [7, 1024])
+def test_recall_against_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(caps, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(block)
+    centre = rng.standard_normal((60, 32))
+    x = np.concatenate([centre, centre[rng.integers(60, size=300)] + 0.2 * rng.standard_normal((300, 32)), np.repeat(centre[:1], 40, 0)])
+    x = x.astype(np.float32)
+    df = spark.createDataFrame([(i + 1, v.tolist(), "x") for i, v in enumerate(x)], SCHEMA).repartition(3)
+    want, got = brute(list(range(1, len(x) + 1)), list(x.astype(float))), result(df)
+    assert all(g[1] <= w[1] for g, w in zip(got, want))  # no link below the threshold, none counted twice
+    assert sum(g[1] for g in got) >= 0.99 * sum(w[1] for w in want)
+
+
+def test_decode_finds_all_caps_that_hold_a_vector():
+    code = caps.Code(16, 10)
+    x = np.random.default_rng(3).standard_normal((50, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    a, b = code.scores(x)
+    sums = (a[:, :, None] + b[:, None, :]).reshape(50, -1)
+    row, names = code.decode(x)
+    for r in range(50):
+        own = set(names[row == r])
+        assert set(np.flatnonzero(sums[r] >= code.least)) <= own
+        assert len(own) >= caps.LEAST_FILTERS
+        assert min(sums[r][list(own)]) >= max(np.delete(sums[r], list(own)))

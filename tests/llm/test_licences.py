@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import pytest
+
+from tarmac.llm import licences
+
+CASES = [
+    (1, "Some prose here.\nReleased under the MIT License.\nMore prose.", "mit"),
+    (2, "This work is licensed under the GNU General Public License, version 3.", "gpl"),
+    (3, "Licensed under the GNU Lesser General Public License, version 2.1.", "lgpl"),
+    (4, "LICENSED UNDER THE APACHE LICENSE, VERSION 2.0.\n\nLicensed under CC BY-NC 4.0.", "apache,cc-by-nc"),
+    (5, "Licensed under CC BY-SA 4.0.", "cc-by-sa"),
+    (6, "The public may use the version of this work that the author released in 2.0 conditions.", ""),
+    (7, "My driving licence was released under stormy skies; the general met the public.", ""),
+    (8, None, ""), (9, "", ""), (10, "\n \n", ""),
+    (11, "long " * 40_000 + "\nReleased under the MIT License.", "mit"),
+    (11, "Released under the MIT License.", "mit"), (None, "Released under the BSD 3-Clause License.", "bsd"),
+]
+
+
+def test_families(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t, _ in CASES], "doc_id long, text string, families string")
+    got = sorted((r.doc_id or 0, r.families) for r in licences.families(df).collect())
+    assert got == sorted((i or 0, f) for i, _, f in CASES)
+    notices = {r.doc_id: r.notices for r in licences.scanned(df).collect()}
+    assert notices[1][0].paragraph.startswith("Released under the MIT License")
+    assert [n.family for n in notices[4]] == ["apache", "cc-by-nc"]
+
+
+def test_empty_table(no_docs):
+    assert licences.families(no_docs).count() == 0
+
+
+def test_all_lines_of_the_test_data(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    fixed = {"Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+             "Licensed under the Apache License, Version 2.0.": "apache",
+             "This work is licensed under the GNU General Public License, version 3.": "gpl"}
+    got = {r.doc_id: r.families for r in licences.families(docs).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        for line, family in fixed.items():
+            assert (line in (r.text or "").split("\n")) <= (family in got[r.doc_id].split(",")), r.doc_id
+
+
+@pytest.fixture(scope="module")
+def model():
+    return licences.train(["plain prose about nothing at all", "the terms of the weather"] * 50)
+
+
+def test_templates_are_their_own_family(model):
+    for f, family in enumerate(licences.FAMILIES):
+        x = licences._design(list(licences.TEMPLATES[family]), model.hashes)
+        p = licences._softmax(x @ model.weights / model.temperature)
+        assert (p.argmax(axis=1) == f).all() and (p[:, f] >= model.least).all()

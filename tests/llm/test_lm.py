@@ -1,0 +1,71 @@
+from __future__ import annotations
+
+import collections
+import math
+import zlib
+
+import numpy as np
+import pytest
+
+from tarmac.llm import lm
+from tarmac.llm import text as tx
+
+from .plain import ascii_lower, words
+
+
+def check(df, rows, spark):
+    got = sorted(lm.scored(df).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens))
+    tokens = [(i, [*words(ascii_lower(t or "")), None]) for i, t in rows]
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    count = collections.Counter(w for i, v in tokens if not held(i) for w in v)
+    n, types = sum(count.values()), len(count)
+    want = sorted(tokens, key=lambda r: (r[0] is None, r[0] or 0, len(r[1])))
+    assert len(got) == len(want)
+    for r, (i, v) in zip(got, want):
+        assert (r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (i, held(i), len(v), sum(count[w] > 0 for w in v), n)
+        assert r.base_score == pytest.approx(sum(math.log10((count[w] + 1) / (n + types + 1)) for w in v), rel=1e-9)
+        assert -math.inf < r.score <= 0
+    return got
+
+
+@pytest.mark.parametrize("epsilon", [lm.EPSILON, 2.0**-14])  # all words frequent; most rare
+def test_counts_and_base_like_brute_force(spark, odd_docs, odd_texts, monkeypatch, epsilon):
+    monkeypatch.setattr(lm, "EPSILON", epsilon)
+    check(odd_docs, odd_texts, spark)
+
+
+def test_empty_table(no_docs):
+    assert lm.scored(no_docs).count() == 0
+
+
+def test_held_out_text_scores_above_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in lm.scored(docs).collect() if r.held_out]
+    assert sum(r.score for r in rows) > 0.8 * sum(r.base_score for r in rows)
+    assert np.mean([r.score > r.base_score for r in rows]) > 0.95
+
+
+def test_probabilities_sum_to_about_one(spark):
+    """P(w | h) over all known words and the unknown event, from the model's parts."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("text", "true as train")
+    m, table = lm.train(docs)
+    values = np.append(0.0, lm.level_values(m.least))
+    types = table.where("n > 0").toPandas()["key"].to_numpy().view(np.uint64)
+    place = np.searchsorted(m.keys, types)
+    exact = m.counts[place]
+    read = values[lm.probe(m.filter, m.segments, lm.filter_keys(np.zeros(len(types), dtype=bool), types), len(m.least))]
+    assert (np.abs(np.log(read / exact)) <= np.log(lm.STEP) + 1e-9).mean() > 0.99
+    alone = (1 - m.unknown) * read / m.tokens
+    assert alone.sum() + m.unknown == pytest.approx(1, abs=0.05)
+    for h in types[np.argsort(-exact)[:5]]:
+        pairs = lm.pair_keys(np.full(len(types), h), types)
+        both = values[lm.probe(m.filter, m.segments, lm.filter_keys(np.ones(len(types), dtype=bool), pairs), len(m.least))]
+        both = np.minimum(both, exact)
+        of = m.counts[np.searchsorted(m.keys, h)]
+        total = (np.maximum(both - lm.DISCOUNT, 0) / of + m.left[np.searchsorted(m.keys, h)] * alone).sum()
+        assert 0.85 < total < 1.1
+
+
+def test_mix_has_an_inverse():
+    x = np.random.default_rng(0).integers(0, 2**63, 1000).astype(np.uint64)
+    assert (lm.unmix(tx.mix(x)) == x).all()

@@ -1,0 +1,56 @@
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tarmac.llm import rules
+
+from .plain import quality
+
+
+def labels(spark, rows=()):
+    return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
+
+
+def test_counts_like_brute_force(spark, odd_docs, odd_texts):
+    out = rules.judged(odd_docs, labels(spark)).select("doc_id", *rules.COUNTS, "base_failed", "kept").collect()
+    want = []
+    for i, t in odd_texts:
+        q = quality(t)
+        failed = q[0] < 50 or 100 * q[4] > 50 * q[0]
+        want.append((i, *q, failed, not failed))
+    key = lambda t: (t[0] is None, t[0] or 0, t[1:])
+    assert sorted((tuple(r) for r in out), key=key) == sorted(want, key=key)
+
+
+def test_empty_table(spark, no_docs):
+    assert rules.judged(no_docs, labels(spark)).count() == 0
+
+
+def test_rules_find_what_makes_rows_bad():
+    rng = np.random.default_rng(0)
+    n = 3000
+    x = {c: rng.random(n) for c in rules.SHARES}
+    bad = (x["upper_share"] > 0.8) | ((x["mean_word"] < 0.2) & (x["mark_share"] > 0.7))
+    found = rules.learn(x, ~bad)
+    hit = np.zeros(n, dtype=bool)
+    for r in found:
+        hit |= rules._covers(r, x, n)
+    assert (hit & bad).sum() >= 0.9 * bad.sum()
+    assert (hit & ~bad).sum() <= 0.03 * n
+    assert {c.column for r in found for c in r} <= set(rules.SHARES)
+
+
+def test_no_rules_without_both_classes():
+    x = {c: np.random.default_rng(1).random(100) for c in rules.SHARES}
+    assert rules.learn(x, np.ones(100, dtype=bool)) == []
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, marks = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    learned = rules.fit(docs, marks.where(F.xxhash64("doc_id") % 3 != 0))
+    test = rules.measured(docs.join(marks.where(F.xxhash64("doc_id") % 3 == 0), "doc_id")).where("n_words >= 50")
+    right, n = test.withColumn("kept_", rules.verdict(learned)).agg(
+        F.sum(((F.col("quality") > 0) == F.col("kept_")).cast("int")), F.count("*")).first()
+    assert right >= 0.95 * n
