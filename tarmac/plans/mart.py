@@ -10,6 +10,7 @@ once in the physical plan thanks to exchange reuse.
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -19,7 +20,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tarmac.constants import RESULTS_TABLE
 from tarmac.plans.questions import CANONICAL, booking_facts, flight_facts, ticket_rows
-from tarmac.session import storage_root
+from tarmac.session import remove_folder, scratch_root
 from tarmac.sources.tables import BookingTables
 
 RESULTS_SCHEMA = StructType([
@@ -93,8 +94,12 @@ def append_answer(spark: SparkSession, question, t: BookingTables, table: str =
 def run_mart(spark: SparkSession, t: BookingTables, table: str = RESULTS_TABLE,
              path: str | None = None, params: dict[str, dict] | None = None,
              stage_folder: str | None = None) -> DataFrame:
-    """Stage the shared facts, build every answer, write once, and return the
-    table as stored."""
-    folder = stage_folder or f"{storage_root(spark)}/tarmac_stage/{table}"
-    write_results(build_results(stage_facts(spark, t, folder), params), table, path)
+    """Stage the shared facts, build every answer, write once, remove the stage
+    (unless its folder was given) and return the table as stored."""
+    folder = stage_folder or f"{scratch_root(spark)}/tarmac_stage_{uuid.uuid4().hex}"
+    try:
+        write_results(build_results(stage_facts(spark, t, folder), params), table, path)
+    finally:
+        if stage_folder is None:
+            remove_folder(spark, folder)
     return spark.table(table)

@@ -1,19 +1,22 @@
 """Query keys: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Every key reads the driver's star-schema tables through the binding, over
-whole tables. The extract-load keys and the mart key write their tables
-under the shared storage root and return the stored copy.
+whole tables, and lists their files anew at each call. The extract-load keys,
+the append key and the mart key write a table of their own at each call (name
+and folder end in a random part), so no call touches what an earlier one
+returned, and return the stored copy.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.plans import extract_load as el
 from tarmac.plans import questions as q
-from tarmac.plans.mart import build_results, run_mart
+from tarmac.plans.mart import append_answer, build_results, run_mart
 from tarmac.session import storage_root
 from tarmac.sources.binding import from_star_schema
 from tarmac.sources.tables import BookingTables
@@ -55,24 +58,8 @@ QUESTION_KEYS = (
 )
 
 
-# Bound views per (application, data folder). These are lazy plan handles
-# (no data is cached): every query still scans the whole tables, but the
-# parquet footers are read and the views analysed once per folder.
-_VIEWS: dict[tuple[str, str], BookingTables] = {}
-
-
-def _session_key(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # e.g. a Spark Connect session exposes no SparkContext
-        return f"session-{id(spark)}"
-
-
 def bound_tables(spark: SparkSession, sf_dir: str) -> BookingTables:
-    key = (_session_key(spark), sf_dir.rstrip("/"))
-    if key not in _VIEWS:
-        _VIEWS[key] = from_star_schema(spark, sf_dir)
-    return _VIEWS[key]
+    return from_star_schema(spark, sf_dir)
 
 
 def _question(name: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -88,8 +75,10 @@ def _question(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
-def _target(spark: SparkSession, table: str) -> str:
-    return f"{storage_root(spark)}/tarmac_tables/{table}"
+def _target(spark: SparkSession, name: str) -> tuple[str, str]:
+    """A table name and folder of this call alone."""
+    table = f"tarmac_{name}_{uuid.uuid4().hex[:12]}"
+    return table, f"{storage_root(spark)}/tarmac_tables/{table}"
 
 
 def bound_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,20 +87,25 @@ def bound_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = "tarmac_results"
-    return run_mart(spark, bound_tables(spark, sf_dir), table, _target(spark, table), BOUND_PARAMS)
+    return run_mart(spark, bound_tables(spark, sf_dir), *_target(spark, "results"), BOUND_PARAMS)
+
+
+def append_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single answers appended one after another to a results table; the second
+    run of a question adds its rows again."""
+    t = bound_tables(spark, sf_dir)
+    table, path = _target(spark, "appended")
+    for question in (q.q01_max_people_per_booking, q.q10_cities_multi_airport, q.q01_max_people_per_booking):
+        out = append_answer(spark, question, t, table, path)
+    return out
 
 
 def el_copy_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = "tarmac_seats"
-    src = bound_tables(spark, sf_dir).seats
-    return el.copy_table(spark, src, table, _target(spark, table))
+    return el.copy_table(spark, bound_tables(spark, sf_dir).seats, *_target(spark, "seats"))
 
 
 def el_copy_flights_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = "tarmac_flights_v"
-    src = bound_tables(spark, sf_dir).flights_v
-    return el.copy_by_day(spark, src, "actual_departure", table, _target(spark, table))
+    return el.copy_by_day(spark, bound_tables(spark, sf_dir).flights_v, "actual_departure", *_target(spark, "flights_v"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -120,6 +114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     out["el_copy_seats"] = el_copy_seats
     out["el_copy_flights_by_day"] = el_copy_flights_by_day
+    out["append_answers"] = append_answers
     out["mart_results"] = mart_results
     return out
 

@@ -1,9 +1,8 @@
-"""Session settings and the shared storage root.
+"""Session settings and storage folders.
 
-Jobs never pick a machine-local temporary folder: written tables and
-checkpoints go under the shared folder the cluster names in
-``spark.checkpoint.dir``, falling back to the catalog warehouse only when the
-session names none.
+Written tables go to the catalog's warehouse; checkpoints and staged facts go to
+the folder in ``spark.checkpoint.dir``. On a cluster both must be shared: a
+machine-local folder is refused.
 """
 
 from __future__ import annotations
@@ -37,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in JOB_CONF.items():
         builder = builder.config(key, value)
@@ -46,11 +46,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _shared(spark: SparkSession, folder: str) -> str:
+    """``folder``, which other machines must reach: a local folder is refused
+    unless the whole session runs on this machine."""
+    scheme = folder.split(":", 1)[0] if "://" in folder or folder.startswith("file:") else ""
+    named = spark.conf.get("fs.defaultFS", None) or spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
+    local = scheme == "file" or (not scheme and named.startswith("file:"))
+    master = spark.conf.get("spark.master", "local")
+    if local and not master.startswith("local"):
+        raise ValueError(f"{folder} is a folder of one machine, but the master is {master}: "
+                         "set spark.checkpoint.dir and spark.sql.warehouse.dir to shared storage")
+    return folder.rstrip("/")
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Folder for what a run may lose afterwards (checkpoints, staged facts):
+    ``spark.checkpoint.dir``, or a folder beside the tables where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return _shared(spark, named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tarmac_scratch")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """The session's checkpoint directory. When the session names none, a
-    folder under the catalog warehouse (shared storage on a cluster) is set.
-    Without a reachable SparkContext (Spark Connect) the server's own
-    setting applies and None is returned."""
+    """The session's checkpoint directory, set under :func:`scratch_root` if the
+    session has none yet. Without a reachable SparkContext (Spark Connect) the
+    server's own setting applies and None is returned."""
     try:
         sc = spark.sparkContext
     except Exception:
@@ -58,17 +77,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     current = sc.getCheckpointDir()
     if current:
         return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tarmac_checkpoints"
-    sc.setCheckpointDir(named)
-    return sc.getCheckpointDir() or named
+    sc.setCheckpointDir(scratch_root(spark))
+    return sc.getCheckpointDir()
 
 
 def storage_root(spark: SparkSession) -> str:
-    """Shared folder for written tables: ``spark.checkpoint.dir`` if the
-    cluster names one, else the catalog warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("spark.sql.warehouse.dir")
-    return root.rstrip("/")
+    """Shared folder for written tables: the catalog's warehouse, never the
+    checkpoint folder, which may be purged."""
+    return _shared(spark, spark.conf.get("spark.sql.warehouse.dir"))
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder of this run, on whatever storage it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
