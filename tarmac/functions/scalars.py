@@ -67,15 +67,13 @@ def concat_empty(*parts: Column | str) -> Column:
 
 
 def duration_seconds(text: Column | str) -> Column:
-    """Parse an ``[H]H:mm:ss`` duration string to seconds (BIGINT).
+    """Parse an ``H..H:mm:ss[.f..f]`` duration to whole seconds (BIGINT).
 
-    Hours may exceed 23, which a time-of-day parser would reject; malformed
-    input gives NULL rather than an error.
+    Hours may have any number of digits (a time-of-day parser would reject more
+    than 23) and a fraction of a second is dropped, as :func:`span_seconds` does;
+    malformed input, or hours beyond BIGINT, give NULL rather than an error.
     """
-    parts = F.split(_col(text), ":")
-    h = F.try_to_number(parts.getItem(0), F.lit("9999999999"))
-    m = F.try_to_number(parts.getItem(1), F.lit("99"))
-    s = F.try_to_number(parts.getItem(2), F.lit("99"))
-    ok = (F.size(parts) == 3) & (m < 60) & (s < 60)
-    total = (h * 3600 + m * 60 + s).cast("bigint")
-    return F.when(ok, total)
+    t = _col(text)
+    part = [F.regexp_extract(t, r"^([0-9]+):([0-5]?[0-9]):([0-5]?[0-9])(?:\.[0-9]*)?$", i).try_cast("bigint") for i in (1, 2, 3)]
+    hours = F.try_multiply(part[0], F.lit(3600).cast("bigint"))
+    return F.try_add(hours, part[1] * 60 + part[2])

@@ -1,6 +1,6 @@
 """Job entry points (``spark-submit -m``-style):
 
-    python -m tarmac.jobs calc --catalog-db mart --table results
+    python -m tarmac.jobs calc --catalog-db mart --prefix bookings_ --table results
     python -m tarmac.jobs calc --parquet-root /data/bookings --table results --path /shared/results
     python -m tarmac.jobs extract-load --url jdbc:postgresql://host/demo --user u \
         --password-file /run/secrets/db --schema bookings --target-db mart \
@@ -35,12 +35,13 @@ class CopySpec:
     source: str
     target: str
     day_of: str | None = None
+    large: bool = False  # must be read in parallel
 
 
 # The copies the extract-load job makes (fixed by the mart's needs).
 DEFAULT_COPIES = (
     CopySpec("seats", "seats"),
-    CopySpec("flights_v", "flights_v", day_of="actual_departure"),
+    CopySpec("flights_v", "flights_v", day_of="actual_departure", large=True),
 )
 
 
@@ -82,8 +83,9 @@ def _parse(argv=None):
     src = c.add_mutually_exclusive_group(required=True)
     src.add_argument("--catalog-db", help="database holding the bookings tables")
     src.add_argument("--parquet-root", help="folder with one parquet folder per table")
+    c.add_argument("--prefix", default="", help="what the catalog's table names begin with, e.g. bookings_")
     c.add_argument("--table", default=RESULTS_TABLE)
-    c.add_argument("--path", default=None, help="storage path of the results table")
+    c.add_argument("--path", default=None, help="storage path of the results table (default: in the warehouse)")
     c.add_argument("--param", action="append", default=[],
                    help="question.argument=value, e.g. q13_unreachable_from_city.origin=Казань")
     e = sub.add_parser("extract-load", help="copy source tables over JDBC")
@@ -95,10 +97,21 @@ def _parse(argv=None):
     e.add_argument("--target-db")
     e.add_argument("--target-root", required=True)
     e.add_argument("--split", action="append", default=[], help="table=column to split the read on")
-    e.add_argument("--partitions", type=int, default=1)
+    e.add_argument("--partitions", type=int, default=0, help="parallel reads of a split table (2 or more)")
+    e.add_argument("--one-task", action="append", default=[], metavar="TABLE",
+                   help="read this table in one task although it is large")
     e.add_argument("--modulo", action="store_true",
                    help="split integer keys by residue classes instead of range strides")
-    return p.parse_args(argv)
+    args = p.parse_args(argv)
+    if args.job == "extract-load":
+        split = {s.split("=", 1)[0] for s in args.split}
+        if split and args.partitions < 2:
+            p.error("--split needs --partitions of 2 or more")
+        for spec in DEFAULT_COPIES:
+            if spec.large and spec.source not in split and spec.source not in args.one_task:
+                p.error(f"{spec.source} is large: name a column with --split {spec.source}=COLUMN, "
+                        f"or allow a single task with --one-task {spec.source}")
+    return args
 
 
 def _params(items: list[str]) -> dict[str, dict]:
@@ -119,9 +132,10 @@ def _params(items: list[str]) -> dict[str, dict]:
 
 def main(argv=None) -> None:
     args = _parse(argv)
-    spark = SparkSession.builder.appName(f"tarmac-{args.job}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"tarmac-{args.job}")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true").getOrCreate())
     if args.job == "calc":
-        tables = (from_catalog(spark, args.catalog_db) if args.catalog_db
+        tables = (from_catalog(spark, args.catalog_db, prefix=args.prefix) if args.catalog_db
                   else from_parquet(spark, args.parquet_root))
         run_calc(spark, tables, args.table, args.path, _params(args.param))
     else:
@@ -132,7 +146,7 @@ def main(argv=None) -> None:
         source = JdbcSource(args.url, args.user, password, args.driver)
         splits = dict(s.split("=", 1) for s in args.split)
         run_extract_load(spark, source, args.schema, args.target_db, args.target_root, splits,
-                         args.partitions, modulo=args.modulo)
+                         max(1, args.partitions), modulo=args.modulo)
 
 
 if __name__ == "__main__":

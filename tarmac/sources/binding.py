@@ -81,6 +81,21 @@ def nation_names(nation: DataFrame):
     return checked.agg(F.map_from_entries(entries)).scalar()
 
 
+def _status(size: Column) -> Column:
+    return (
+        F.when(size % 10 == 0, F.lit(STATUS_CANCELLED))
+        .when(size % 10 == 1, F.lit("Scheduled"))
+        .when(size % 10 == 2, F.lit(STATUS_DEPARTED))
+        .otherwise(F.lit(STATUS_ARRIVED))
+    )
+
+
+def bind_flights(part: DataFrame) -> DataFrame:
+    """Every part is a flight; ``flights_v`` lists those between two cities, so
+    ``flights`` holds more than the view."""
+    return part.select(F.col("p_partkey").alias("flight_id"), _status(F.col("p_size")).alias("status"))
+
+
 def bind_flights_v(part: DataFrame, nation: DataFrame) -> DataFrame:
     """Flights from parts; the two city lookups read a nation-name map (a
     scalar subquery) instead of joining nation twice: same rows as the inner
@@ -91,12 +106,7 @@ def bind_flights_v(part: DataFrame, nation: DataFrame) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size")
     d_key = (key % NATIONS).cast("int")
     a_key = ((key * 3 + size) % NATIONS).cast("int")
-    status = (
-        F.when(size % 10 == 0, F.lit(STATUS_CANCELLED))
-        .when(size % 10 == 1, F.lit("Scheduled"))
-        .when(size % 10 == 2, F.lit(STATUS_DEPARTED))
-        .otherwise(F.lit(STATUS_ARRIVED))
-    )
+    status = _status(size)
     sched_dep = F.timestamp_add(
         "HOUR", (key * DEPARTURE_HOUR_STEP) % DEPARTURE_HOUR_SPAN, F.lit(EPOCH).cast("timestamp_ntz")
     )
@@ -138,7 +148,7 @@ def bind_airports(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 def bind_aircrafts(part: DataFrame) -> DataFrame:
     codes = part.select(F.col("p_brand").alias("aircraft_code")).distinct()
     return codes.select(
-        "aircraft_code", F.concat(F.lit("Model "), F.substring("aircraft_code", 7, 1 << 20)).alias("model")
+        "aircraft_code", F.concat(F.lit("Model "), F.expr("substring(aircraft_code, 7)")).alias("model")
     )
 
 
@@ -157,7 +167,7 @@ def from_star_schema(spark: SparkSession, sf_dir: str) -> BookingTables:
     return BookingTables(
         tickets=bind_tickets(t["orders"], t["customer"]),
         ticket_flights=bind_ticket_flights(t["lineitem"]),
-        flights=flights_v.select("flight_id", "status"),
+        flights=bind_flights(t["part"]),
         flights_v=flights_v,
         airports=bind_airports(t["supplier"], t["nation"]),
         aircrafts=bind_aircrafts(t["part"]),

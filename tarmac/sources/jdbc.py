@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 class JdbcSource:
     url: str
     user: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     driver: str | None = None
     fetch_size: int = 10_000
     extra: dict[str, str] = field(default_factory=dict)

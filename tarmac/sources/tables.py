@@ -8,7 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tarmac.functions import duration_seconds
 
 # Columns each question may read. Providers must supply at least these;
 # extra columns are ignored (Catalyst prunes them at the scan).
@@ -34,6 +38,7 @@ CONTRACT: dict[str, tuple[str, ...]] = {
 }
 
 TABLES = tuple(CONTRACT)
+OPTIONAL = ("seats",)
 
 # Name of the day column added by the day-partitioned copy of flights_v.
 DAY_PARTITION_COLUMN = "actual_departure_date"
@@ -52,7 +57,8 @@ class BookingTables:
     airports: DataFrame
     aircrafts: DataFrame
     routes: DataFrame
-    seats: DataFrame
+    # no question reads seats; a source may lack the table
+    seats: DataFrame | None = None
     # Derived tables already stored (e.g. the shared fact aggregates a
     # multi-question job writes once); questions use them when present.
     derived: dict[str, DataFrame] = field(default_factory=dict, compare=False)
@@ -60,6 +66,8 @@ class BookingTables:
     def validate(self) -> "BookingTables":
         """Fail fast (analysis only, no job) if a contract column is missing."""
         for name in TABLES:
+            if name in OPTIONAL and getattr(self, name) is None:
+                continue
             have = set(getattr(self, name).columns)
             missing = [c for c in CONTRACT[name] if c not in have]
             if missing:
@@ -72,8 +80,9 @@ class BookingTables:
         Returns the view names."""
         names = []
         for name in TABLES:
-            getattr(self, name).createOrReplaceTempView(prefix + name)
-            names.append(prefix + name)
+            if getattr(self, name) is not None:
+                getattr(self, name).createOrReplaceTempView(prefix + name)
+                names.append(prefix + name)
         return names
 
     def replace(self, **frames) -> "BookingTables":
@@ -85,24 +94,50 @@ class BookingTables:
         return BookingTables(**values)
 
 
+def with_actual_arrival(flights_v: DataFrame) -> DataFrame:
+    """A view that gives ``actual_duration`` (``hh:mm:ss`` text) instead of
+    ``actual_arrival`` gets the arrival, counted from the departure."""
+    if "actual_arrival" in flights_v.columns or not {"actual_duration", "actual_departure"} <= set(flights_v.columns):
+        return flights_v
+    return flights_v.withColumn(
+        "actual_arrival", F.timestamp_add("SECOND", duration_seconds("actual_duration"), F.col("actual_departure")))
+
+
+def _provide(load) -> BookingTables:
+    frames = {name: load(name) for name in TABLES}
+    frames["flights_v"] = with_actual_arrival(frames["flights_v"])
+    return BookingTables(**frames).validate()
+
+
 def from_catalog(spark: SparkSession, database: str | None = None,
                  names: dict[str, str] | None = None, prefix: str = "") -> BookingTables:
     """Tables read by name from the session catalog (``spark.table``).
 
     Catalog names are ``prefix + name`` (e.g. ``bookings_tickets``), unless
-    ``names`` maps a contract name to another table name.
+    ``names`` maps a contract name to another table name. ``seats`` may be
+    missing.
     """
     names = names or {}
 
-    def load(name: str) -> DataFrame:
+    def load(name: str) -> DataFrame | None:
         table = names.get(name, prefix + name)
-        return spark.table(f"{database}.{table}" if database else table)
+        qualified = f"{database}.{table}" if database else table
+        if name in OPTIONAL and not spark.catalog.tableExists(qualified):
+            return None
+        return spark.table(qualified)
 
-    return BookingTables(**{name: load(name) for name in TABLES}).validate()
+    return _provide(load)
 
 
 def from_parquet(spark: SparkSession, root: str) -> BookingTables:
-    """Tables stored as ``<root>/<name>`` parquet directories or files."""
-    return BookingTables(
-        **{name: spark.read.parquet(f"{root}/{name}") for name in TABLES}
-    ).validate()
+    """Tables stored as ``<root>/<name>`` parquet directories or files;
+    ``seats`` may be missing."""
+    def load(name: str) -> DataFrame | None:
+        try:
+            return spark.read.parquet(f"{root}/{name}")
+        except AnalysisException as e:
+            if name in OPTIONAL and e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    return _provide(load)

@@ -91,6 +91,49 @@ def test_job_arguments():
         _params(["q21_top5_long_flight_cities.nope=3"])
 
 
+def test_calc_cli_reads_prefixed_catalog_tables_without_seats(spark, tmp_path):
+    from tarmac.jobs import main
+    from tarmac.plans.registry import BOUND_PARAMS, bound_mart
+    from tarmac.sources.tables import TABLES
+
+    views = from_star_schema(spark, SF001)
+    spark.sql("CREATE DATABASE IF NOT EXISTS cli_src LOCATION '%s'" % (tmp_path / "db"))
+    for name in TABLES:
+        if name != "seats":
+            getattr(views, name).write.mode("overwrite").option("path", str(tmp_path / name)).saveAsTable(f"cli_src.bookings_{name}")
+    args = ["calc", "--catalog-db", "cli_src", "--prefix", "bookings_", "--table", "cli_prefixed", "--path", str(tmp_path / "out")]
+    for question, kwargs in BOUND_PARAMS.items():
+        args += [f"--param={question}.{k}={v}" for k, v in kwargs.items()]
+    main(args)
+    assert sorted(spark.table("cli_prefixed").collect()) == sorted(bound_mart(spark, SF001).collect())
+    spark.sql("DROP DATABASE cli_src CASCADE")
+
+
+def test_large_tables_need_a_split():
+    from tarmac.jobs import _parse
+
+    base = ["extract-load", "--url", "jdbc:x", "--target-root", "/t"]
+    with pytest.raises(SystemExit):
+        _parse(base)
+    with pytest.raises(SystemExit):
+        _parse([*base, "--split", "flights_v=flight_id"])
+    assert _parse([*base, "--one-task", "flights_v"]).one_task == ["flights_v"]
+
+
+def test_password_is_not_shown():
+    assert "secret" not in repr(JdbcSource("jdbc:x", "u", "secret"))
+
+
+def test_duration_column_gives_the_arrival(spark):
+    from tarmac.sources.tables import with_actual_arrival
+
+    t = make_tables(spark, flights_v=[flight(1, ad="2016-09-13 23:00:00", aa="2016-09-15 00:30:05"), flight(2)])
+    given = t.flights_v.selectExpr("* except (actual_arrival)", "if(flight_id = 1, '25:30:05.7', null) as actual_duration")
+    got = {r.flight_id: r.actual_arrival for r in with_actual_arrival(given).collect()}
+    assert got == {r.flight_id: r.actual_arrival for r in t.flights_v.collect()}
+    assert with_actual_arrival(t.flights_v) is t.flights_v
+
+
 def test_calc_cli_main(spark, tmp_path):
     from tarmac.jobs import main
     from tarmac.plans.registry import BOUND_PARAMS, bound_mart

@@ -37,10 +37,11 @@ def test_int_div_truncates_toward_zero(spark):
 
 
 def test_duration_seconds_parses_long_durations(spark):
-    df = spark.createDataFrame([("03:00:00",), ("25:00:01",), ("101:03:05",), ("bad",), ("1:61:00",), (None,)],
+    df = spark.createDataFrame([("03:00:00",), ("25:00:01",), ("101:03:05",), ("bad",), ("1:61:00",), (None,),
+                                ("123456789012:00:01",), ("1:00:30.9",), ("9" * 30 + ":00:00",)],
                                "d string")
     got = [r[0] for r in df.select(duration_seconds("d")).collect()]
-    assert got == [10800, 90001, 363785, None, None, None]
+    assert got == [10800, 90001, 363785, None, None, None, 123456789012 * 3600 + 1, 3630, None]
 
 
 def test_concat_null_semantics(spark):
