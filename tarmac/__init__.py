@@ -7,7 +7,7 @@ Layout:
     operators/  reusable relational building blocks (extreme filters,
                 pushed-down leg aggregates, missing-pair enumeration)
     plans/      the business questions, the results mart and extract-load jobs
-    streaming/  intentionally empty: the mart is batch-only
+    llm/        training-data operators (optional; nothing else imports it)
 """
 
 __version__ = "0.1.0"

@@ -4,11 +4,11 @@ from tarmac.operators.relational import (
     dense_index,
     extreme_rows,
     keys_with_size,
-    legs_in,
     missing_pairs,
     per_flight,
     per_ticket,
     roll_up,
+    splittable,
     top_value,
     unreached_from,
     with_ticket,
@@ -20,11 +20,11 @@ __all__ = [
     "dense_index",
     "extreme_rows",
     "keys_with_size",
-    "legs_in",
     "missing_pairs",
     "per_flight",
     "per_ticket",
     "roll_up",
+    "splittable",
     "top_value",
     "unreached_from",
     "with_ticket",

@@ -4,9 +4,9 @@ Scale rules followed throughout:
 
 * Every aggregation has a map-side partial step (Spark's HashAggregate
   partial/final), so a hot key is collapsed before the shuffle.
-* Aggregates over ``ticket_flights`` (the fact table) are computed per
-  ticket or per flight *before* joining dimensions, so the join input is
-  dimension-sized, not fact-sized.
+* Aggregates over ``ticket_flights`` (the fact table) are computed per flight,
+  or per ticket after one join with the flight attributes, before any other
+  join, so later joins are dimension-sized, not fact-sized.
 * "Rows equal to the extreme value" is a semi join against a one-row global
   aggregate: no global single-partition window, no collect to the driver.
 * No cross join: missing pairs are enumerated output-sensitively.
@@ -54,11 +54,19 @@ def keys_with_size(df: DataFrame, key: str, predicate) -> DataFrame:
     return sizes.where(predicate(F.col("_size"))).select(key)
 
 
-def legs_in(ticket_flights: DataFrame, flights: DataFrame) -> DataFrame:
-    """Legs whose flight is present in ``flights`` (a semi join, so
-    membership never multiplies legs; flight ids are de-duplicated map-side
-    first, so copies of a flight row never pile up in one task)."""
-    return ticket_flights.join(flights.select("flight_id").distinct(), "flight_id", "left_semi")
+def splittable(df: DataFrame, key: str, /, **aggregates: Column) -> DataFrame:
+    """``df`` aggregated by ``key`` (distinct keys without ``aggregates``) for a
+    join on ``key`` whose other side may have hot keys.
+
+    AQE splits a skewed partition only if both sides of the join are plain
+    shuffles; an aggregate by the join key would be joined in place. Grouping
+    by the key and a hash of it makes Spark shuffle the (small) result once
+    more for the join, so the other side's hot partitions can be split.
+    """
+    hashed = df.withColumn("_key_hash", F.crc32(F.col(key).cast("string").cast("binary")))
+    grouped = hashed.groupBy(key, "_key_hash")
+    out = grouped.agg(*[v.alias(k) for k, v in aggregates.items()]) if aggregates else grouped.agg(F.count(F.lit(1)).alias("_n"))
+    return out.drop("_key_hash", "_n")
 
 
 def per_ticket(legs: DataFrame, /, **aggregates: Column) -> DataFrame:
@@ -77,15 +85,20 @@ COPIES = "_copies"
 def with_ticket(tickets: DataFrame, ticket_values: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Attach per-ticket aggregates to ticket rows (inner join on ticket_no).
 
-    Identical ticket rows are first collapsed into one row with a ``_copies``
-    count (a partial aggregation, so copies collapse map-side): even if a
-    third of all rows were copies of one ticket, the join's shuffle carries
-    one row for them. Together with :func:`roll_up`, which weights by
-    ``_copies``, this is an exact rewrite of
+    Rows are grouped by ticket_no, which identifies a ticket, into one row with
+    a ``_copies`` count: copies collapse map-side, and the grouping's shuffle
+    serves the join too, so ticket rows are shuffled once. Together with
+    :func:`roll_up`, which weights by ``_copies``, this is an exact rewrite of
     ``SELECT keys, count/sum(..) FROM tickets JOIN legs GROUP BY keys``.
+    Rows that differ under one ticket_no raise an error.
     """
-    cols = list(dict.fromkeys([*columns, "ticket_no"]))
-    rows = tickets.groupBy(*cols).agg(F.count(F.lit(1)).alias(COPIES))
+    cols = [c for c in dict.fromkeys(columns) if c != "ticket_no"]
+    row = F.struct(*cols)
+    one = tickets.where(F.col("ticket_no").isNotNull()).groupBy("ticket_no").agg(
+        F.count(F.lit(1)).alias(COPIES), F.min(row).alias("_least"), F.max(row).alias("_most"))
+    checked = F.when(F.col("_least").eqNullSafe(F.col("_most")), F.col("_least")).otherwise(
+        F.raise_error(F.concat(F.lit("rows differ under ticket_no "), F.col("ticket_no").cast("string"))))
+    rows = one.select("ticket_no", COPIES, checked.alias("_row")).select("ticket_no", COPIES, "_row.*")
     return rows.join(ticket_values, "ticket_no")
 
 

@@ -2,8 +2,9 @@
 
 Each question is a function ``BookingTables -> DataFrame`` returning rows
 ``(id INT, response STRING)``, i.e. exactly the rows it contributes to the
-results mart. No function triggers a Spark action; Catalyst sees each
-question as one plan (scalar subqueries included).
+results mart. Catalyst sees each question as one plan (scalar subqueries included).
+Building one triggers no Spark action, except for q12, which numbers the cities
+in a small eager job and checkpoints them (``operators.dense_index``).
 
 Semantics follow the SQL version of the source questions, with these
 explicit decisions:
@@ -35,6 +36,7 @@ from tarmac.operators import (
     per_flight,
     per_ticket,
     roll_up,
+    splittable,
     top_value,
     unreached_from,
     with_ticket,
@@ -42,11 +44,6 @@ from tarmac.operators import (
 from tarmac.sources.tables import DAY_PARTITION_COLUMN, BookingTables
 
 
-# Bound on the bookings q04 removes before its shuffle (see q04): at most
-# this many rows are broadcast, and no remaining booking holds more than
-# 1/HEAVY_BOOKINGS of all tickets (or the asked size).
-HEAVY_BOOKINGS = 1000
-
 
 def _sep():
     return F.lit(K.RESPONSE_SEPARATOR)
@@ -117,29 +114,22 @@ def q03_repeat_names_in_max_bookings(t: BookingTables) -> DataFrame:
     """Among the largest bookings, the number of (booking, passenger name)
     groups that occur more than once (per-booking repeat counts summed over
     the largest bookings; nothing joins back to the tickets)."""
-    largest = extreme_rows(booking_facts(t), "n")
+    # rows without a booking count for the maximum, but are in no booking
+    largest = extreme_rows(booking_facts(t), "n").where(F.col("book_ref").isNotNull())
     return answer(largest.agg(F.coalesce(F.sum("repeats"), F.lit(0)).alias("groups")), 3, "groups")
 
 
 def q04_contacts_bookings_of_three(t: BookingTables, size: int = K.Q04_BOOKING_SIZE) -> DataFrame:
     """``book_ref|passenger_id|passenger_name|contact_data`` for every ticket
     of a booking with exactly ``size`` tickets: booking sizes (a partial
-    aggregate), then a semi join of the tickets with the qualifying bookings,
-    after dropping the tickets of bookings too large to qualify."""
-    sizes = booking_sizes(t)
+    aggregate), then a semi join of the tickets with the qualifying bookings.
+    Both sides of the join are shuffled for it, so a booking that holds a large
+    share of all tickets is split over tasks by AQE (see ``splittable``)."""
+    sizes = t.derived.get("booking_facts")
+    if sizes is None:
+        sizes = splittable(t.tickets, "book_ref", n=F.count(F.lit(1)))
     keys = sizes.where(F.col("n") == size).select("book_ref")
-    # A booking larger than cap = max(size, tickets / HEAVY_BOOKINGS) can never
-    # have exactly `size` tickets, and fewer than HEAVY_BOOKINGS bookings can
-    # exceed the cap (their tickets would add up to more than all tickets).
-    # That bounded set is broadcast and its tickets dropped map-side, so no
-    # booking holding a large share of the tickets reaches the semi join's
-    # shuffle (AQE cannot split it there: the key side is an aggregate).
-    cap = F.greatest(F.lit(size), sizes.agg(F.sum("n")).scalar() / HEAVY_BOOKINGS)
-    heavy = sizes.where(F.col("n") > cap).select("book_ref")
-    rows = (
-        t.tickets.join(F.broadcast(heavy), "book_ref", "left_anti")
-        .join(keys, "book_ref", "left_semi")
-    )
+    rows = t.tickets.join(keys, "book_ref", "left_semi")
     return answer(
         rows, 4,
         concat_strict("book_ref", _sep(), "passenger_id", _sep(), "passenger_name", _sep(), "contact_data"),
@@ -158,27 +148,38 @@ PASSENGER = ["passenger_id", "passenger_name", "contact_data"]
 TICKET_COLUMNS = ["book_ref", "ticket_no", *PASSENGER]
 
 
+def flight_attributes(t: BookingTables) -> DataFrame:
+    """Per flight_id of ``flights`` or ``flights_v``: ``live`` (rows of
+    ``flights`` not cancelled), ``known`` (rows of ``flights_v``) and ``secs``
+    (seconds in the air on arrived rows of ``flights_v``), each NULL if there is
+    none. Copies of a flight row count each, as in a flat join, and collapse
+    map-side."""
+    listed = t.flights.where(F.col("status") != K.STATUS_CANCELLED).select(
+        "flight_id", F.lit(1).alias("live"), F.lit(None).cast("int").alias("known"),
+        F.lit(None).cast("bigint").alias("secs"))
+    arrived = F.col("status") == K.STATUS_ARRIVED
+    seen = t.flights_v.select(
+        "flight_id", F.lit(None).cast("int").alias("live"), F.lit(1).alias("known"),
+        F.when(arrived, span_seconds("actual_departure", "actual_arrival")).alias("secs"))
+    return splittable(listed.unionByName(seen), "flight_id", live=F.sum("live"), known=F.sum("known"), secs=F.sum("secs"))
+
+
 def ticket_facts(t: BookingTables) -> DataFrame:
-    """Per ticket, over its legs on known flights (flight_id in flights_v):
-    ``legs`` (count), ``spend`` (amount on flights not cancelled) and
-    ``airtime`` (seconds in the air on arrived flights).
+    """Per ticket, over its legs: ``legs`` (count of legs on flights in
+    ``flights_v``), ``spend`` (amount on flights that ``flights`` lists as not
+    cancelled) and ``airtime`` (seconds in the air on arrived flights).
 
     One join of the fact table with the flight attributes, then one
     partial/final aggregation per ticket: the fact-sized data is reduced to
-    ticket-sized before any other join. A conditional sum is the
-    aggregate-level form of the questions' WHERE filters (a ticket whose legs
-    all fail a filter gets NULL, which never wins an extreme). Status comes
-    from ``flights_v``, which lists the same flights as ``flights``.
+    ticket-sized before the ticket join. A ticket whose legs all fail a
+    question's filter gets NULL, which never wins an extreme.
     """
-    flights = t.flights_v.select(
-        "flight_id", "status", span_seconds("actual_departure", "actual_arrival").alias("secs")
-    )
-    legs = t.ticket_flights.select("ticket_no", "flight_id", "amount").join(flights, "flight_id")
+    legs = t.ticket_flights.select("ticket_no", "flight_id", "amount").join(flight_attributes(t), "flight_id")
     return per_ticket(
         legs,
-        legs=F.count(F.lit(1)),
-        spend=F.sum(F.when(F.col("status") != K.STATUS_CANCELLED, F.col("amount"))),
-        airtime=F.sum(F.when(F.col("status") == K.STATUS_ARRIVED, F.col("secs"))),
+        legs=F.sum("known"),
+        spend=F.sum(F.col("amount") * F.col("live").cast("decimal(10,0)")),
+        airtime=F.sum("secs"),
     )
 
 
@@ -345,12 +346,14 @@ def q17_destinations_on_day(t: BookingTables, origin: str = K.CITY_ST_PETERSBURG
 def q18_top_revenue_flights(t: BookingTables) -> DataFrame:
     """Flight(s) with the largest total ticket amount, not cancelled.
 
-    Amounts are summed per flight on the fact table first; only then is the
-    (flight-sized) result filtered by flight status.
+    Amounts are summed per flight on the fact table first; only then does the
+    (flight-sized) result meet the flights. Copies of a flight row count each,
+    as in q15 and the flat join.
     """
-    flown = t.flights.where(F.col("status") != K.STATUS_CANCELLED)
-    kept = flight_facts(t).join(flown.select("flight_id").distinct(), "flight_id", "left_semi")
-    return answer(extreme_rows(kept, "revenue"), 18, "flight_id")
+    flown = (t.flights.where(F.col("status") != K.STATUS_CANCELLED)
+             .groupBy("flight_id").agg(F.count(F.lit(1)).alias(COPIES)))
+    per_id = roll_up(flight_facts(t).join(flown, "flight_id"), ["flight_id"], total="revenue")
+    return answer(extreme_rows(per_id, "total"), 18, "flight_id")
 
 
 def _quietest(t: BookingTables, bucket, qid: int) -> DataFrame:

@@ -68,12 +68,3 @@ def test_missing_pairs_empty_and_single_node(spark):
     one = spark.createDataFrame([("A",), ("A",)], "city string")
     assert missing_pairs(one, "city", ed, "src", "dst", "c1", "c2").count() == 0
     assert dense_index(nd, "city", "i").count() == 0
-
-
-def test_legs_in_keeps_duplicates_and_never_multiplies(spark):
-    from tarmac.operators import legs_in
-
-    legs = spark.createDataFrame([(1, 10), (1, 10), (2, 11), (3, 99)], "ticket_no long, flight_id long")
-    flights = spark.createDataFrame([(10, "A"), (11, "B")], "flight_id long, status string")
-    got = sorted((r["ticket_no"], r["flight_id"]) for r in legs_in(legs, flights).collect())
-    assert got == [(1, 10), (1, 10), (2, 11)]

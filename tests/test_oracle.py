@@ -5,14 +5,16 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from tarmac.plans import oracle, registry
 from tests.conftest import SF001, SF01
 from tests.oracle_compare import compare
 
-KEYS = list(entry.queries())
+KEYS = list(registry.queries())
 
 
 def test_every_key_has_oracle_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(oracle.oracle_sql()) == set(registry.queries())
+    assert set(KEYS) <= set(entry.queries()) and set(KEYS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", KEYS)

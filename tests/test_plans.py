@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tarmac.plans import questions as q
+from tarmac.plans import registry
 from tarmac.plans.extract_load import copy_by_day
 from tarmac.session import storage_root
 from tarmac.sources.binding import from_star_schema
@@ -17,7 +18,7 @@ def _executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("key", [k for k in entry.queries() if k.startswith("q")])
+@pytest.mark.parametrize("key", registry.QUESTION_KEYS)
 def test_no_cross_join_nor_global_window(spark, key):
     plan = _executed(entry.queries()[key](spark, SF01))
     assert "CartesianProduct" not in plan
@@ -80,3 +81,25 @@ def test_staged_mart_reads_fact_table_only_through_stored_facts(spark, tmp_path)
     plan = _executed(df)
     assert "lineitem.parquet" not in plan  # every fact read comes from the stored aggregates
     assert sorted(df.collect()) == sorted(build_results(t, BOUND_PARAMS).collect())
+
+
+def test_ticket_rows_are_shuffled_once_for_the_ticket_join(spark):
+    """With broadcasts off: one exchange of ticket rows, by ticket_no, serves the
+    collapse of copies and the join."""
+    from tests.conftest import make_tables
+
+    t = make_tables(spark)
+    old = {c: spark.conf.get(c, None) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for c in old:
+        spark.conf.set(c, "-1")
+    try:
+        plan = q.ticket_rows(t)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in old.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    assert "Join" in plan
+    above = plan.splitlines()
+    scan = next(i for i, s in enumerate(above) if "passenger_id" in s and ("Scan" in s or "LocalTableScan" in s))
+    join = max(i for i, s in enumerate(above[:scan]) if "Join" in s)
+    exchanges = [s for s in above[join:scan] if "Exchange" in s]
+    assert len(exchanges) == 1 and "hashpartitioning(ticket_no" in exchanges[0]

@@ -31,7 +31,8 @@ def _random_tables(spark, seed):
     tickets = []
     for no in range(1, 16):
         pid, name, contact = rnd.choice(passengers)
-        row = (f"B{rnd.randrange(5)}", no, pid, name, contact)
+        booking = None if rnd.random() < 0.15 else f"B{rnd.randrange(5)}"
+        row = (booking, no, pid, None if rnd.random() < 0.1 else name, contact)
         tickets.append(row)
         if rnd.random() < 0.2:
             tickets.append(row)  # repeated ticket row
@@ -54,7 +55,7 @@ def _random_tables(spark, seed):
     return make_tables(spark, tickets=tickets, ticket_flights=legs, flights_v=flights, aircrafts=aircrafts)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(8))
 def test_rewrites_match_flat_sql(spark, seed):
     t = _random_tables(spark, seed)
     con = duckdb.connect()
@@ -67,3 +68,33 @@ def test_rewrites_match_flat_sql(spark, seed):
         got = _canon(df.columns, [tuple(r) for r in df.collect()])
         want = _canon(rel.columns, rel.fetchall())
         assert got == want, (seed, key, got, want)
+
+
+def test_largest_group_without_a_booking_counts_nothing(spark):
+    """The largest group has a NULL book_ref: it sets the maximum, but its rows
+    are in no booking (``book_ref IN (...)`` drops NULL)."""
+    rows = [(None, i, "p", "SAME", None) for i in range(4)] + [("B", 9, "p", "X", None), ("B", 10, "p", "X", None)]
+    t = make_tables(spark, tickets=rows)
+    assert [r.response for r in q.q03_repeat_names_in_max_bookings(t).collect()] == ["0"]
+
+
+def test_spend_reads_flights_and_legs_read_the_view(spark):
+    """A flight that only ``flights`` lists counts for q08 but not for q05-q07."""
+    from tests.conftest import flight
+
+    t = make_tables(
+        spark, tickets=[("B1", 1, "p1", "N1", "c"), ("B2", 2, "p2", "N2", "c")],
+        ticket_flights=[(1, 100, Decimal("10.00")), (2, 100, Decimal("5.00")), (2, 101, Decimal("45.00"))],
+        flights_v=[flight(100)])
+    t = t.replace(flights=spark.createDataFrame([(100, "Arrived"), (101, "Scheduled")], "flight_id long, status string"))
+    assert [r.response for r in q.q08_min_spend_passengers(t).collect()] == ["p1|N1|c|10.00"]
+    assert [r.response for r in q.q05_max_flights_per_booking(t).collect()] == ["1"]
+
+
+def test_rows_that_differ_under_one_ticket_raise(spark):
+    from tests.conftest import flight
+
+    t = make_tables(spark, tickets=[("B1", 1, "p1", "N1", "c"), ("B1", 1, "p2", "N1", "c")],
+                    ticket_flights=[(1, 100, Decimal("10.00"))], flights_v=[flight(100)])
+    with pytest.raises(Exception, match="rows differ under ticket_no 1"):
+        q.q08_min_spend_passengers(t).collect()
