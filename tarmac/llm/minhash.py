@@ -15,8 +15,11 @@ so a text copied a million times is one row.
    members of different components are compared, block by block inside tasks,
    and a pair is put out once, in the least list both are in.
 4. A comparison counts agreements of 256 further minima (one byte each, kept
-   for classes that got this far); pairs with ``SKETCH_MATCHES`` or more are
-   confirmed on their full sets: 100 * intersection >= 75 * union.
+   for classes that got this far). Of pairs with ``SKETCH_MATCHES`` or more,
+   small sets (at most ``FEW`` shingles, which travel as 32-bit hashes) are
+   compared at once, best agreement first, and pairs that the links found in
+   the block connect already are skipped; others are put out. All that is put
+   out is confirmed on full sets: 100 * intersection >= 75 * union.
 
 A pair of similarity 0.75 is missed with a chance of about 3e-5, a closer one
 with less. Nothing is capped. A near-copy group costs its size for the leader
@@ -50,6 +53,7 @@ MATCHES = 34
 SKETCH = 256           # further coordinates, one byte each
 SKETCH_MATCHES = 162   # a similarity of 0.75 gives 192, with a deviation of 7
 PERCENT = 75
+FEW = 256
 BLOCK_ROWS = 2048      # members of a list compared together
 
 _MULTIPLIERS = tx.mix(np.arange(1, COORDINATES + SKETCH + 1, dtype=np.uint64)) | np.uint64(1)
@@ -145,7 +149,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array(set_keys(h, first)[full]),
                     pa.array([h[first[r] : first[r + 1]].tobytes() for r in full], type=pa.binary()),
                     pa.array([x.tobytes() for x in sketches(h, first)], type=pa.binary()),
-                ], names=["key", "shingles", "sketch"])
+                    pa.array([(h[first[r] : min(first[r] + FEW + 1, first[r + 1])] >> np.uint64(32)).astype(np.uint32).tobytes()
+                              for r in full], type=pa.binary()),
+                ], names=["key", "shingles", "sketch", "few"])
 
 
 def _sketches(column) -> np.ndarray:
@@ -162,26 +168,56 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each group whose members are of different components and whose
-    sketches agree enough, if no lesser list has both."""
+    sketches agree enough, if no lesser list has both; of small sets only links
+    that join what is not joined yet."""
     for g in lists.groups(batches, ["post", "low", "high"]):
         here, low, high = (g.column(c)[0].as_py() for c in ("post", "low", "high"))
         part, key, root = (g.column(c).to_numpy() for c in ("part", "key", "root"))
         sketch = _sketches(g.column("sketch"))
         left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
-        found_i, found_j = [], []
+        i, j, agree = [], [], []
         for r in left:
             others = right[root[right] != root[r]]
             if low == high:
                 others = others[others > r]
-            others = others[(sketch[others] == sketch[r]).sum(axis=1) >= SKETCH_MATCHES]
-            found_i.append(np.full(len(others), r))
-            found_j.append(others)
-        i, j = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (found_i, found_j))
+            same = (sketch[others] == sketch[r]).sum(axis=1)
+            others, same = others[same >= SKETCH_MATCHES], same[same >= SKETCH_MATCHES]
+            i.append(np.full(len(others), r))
+            j.append(others)
+            agree.append(same)
+        i, j, agree = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (i, j, agree))
         if len(i):
             names = [np.asarray(x, dtype=np.int64) for x in g.column("posts").to_pylist()]
-            new = ~lists.meets_before(names, i, j, here)
-            if new.any():
-                yield pa.RecordBatch.from_arrays([pa.array(key[i[new]]), pa.array(key[j[new]])], names=["a", "b"])
+            new = np.flatnonzero(~lists.meets_before(names, i, j, here))
+            new = new[np.argsort(-agree[new], kind="stable")]
+            keep = _joining(i[new], j[new], root, [np.frombuffer(x, dtype=np.uint32) for x in g.column("few").to_pylist()])
+            if keep:
+                yield pa.RecordBatch.from_arrays([pa.array(key[i[new[keep]]]), pa.array(key[j[new[keep]]])], names=["a", "b"])
+
+
+def _joining(i: np.ndarray, j: np.ndarray, root: np.ndarray, few: list[np.ndarray]) -> list[int]:
+    """Places of the pairs to put out: links of small sets between what is not
+    joined yet, and all pairs with a larger set."""
+    joined: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while x in joined:
+            x = joined[x]
+        return x
+
+    out = []
+    for n, (a, b) in enumerate(zip(i.tolist(), j.tolist())):
+        x, y = find(int(root[a])), find(int(root[b]))
+        if x == y:
+            continue
+        if max(len(few[a]), len(few[b])) > FEW:
+            out.append(n)
+            continue
+        both = len(np.intersect1d(few[a], few[b], assume_unique=True))
+        if 100 * both >= PERCENT * (len(few[a]) + len(few[b]) - both):
+            out.append(n)
+            joined[x] = y
+    return out
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,8 +270,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     wanted = stored(classes.join(prefixes.select("key"), "key", "left_semi").select(
         F.col("one.doc_id").alias("id"), F.col("one.text_key").alias("tk")))
     texts = keyed.join(wanted, keyed["doc_id"].eqNullSafe(wanted["id"]) & (keyed["text_key"] == wanted["tk"]), "left_semi")
-    sets = stored(texts.select("text").mapInArrow(_sets, "key long, shingles binary, sketch binary")
-                  .groupBy("key").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch")))
+    sets = stored(texts.select("text").mapInArrow(_sets, "key long, shingles binary, sketch binary, few binary")
+                  .groupBy("key").agg(*[F.first(c).alias(c) for c in ("shingles", "sketch", "few")]))
 
     leaders = stored(prefix.groupBy("post").agg(F.max(F.struct("shared", "key")).alias("most"))
                      .select("post", F.col("most.key").alias("a")))
@@ -247,10 +283,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = prefix.join(roots.withColumnsRenamed({"id": "key"}), "key", "left").select(
         "post", "key", F.coalesce("root", "key").alias("root"))
     mixed = stored(placed.groupBy("post").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("post"))
-    members = placed.join(mixed, "post", "left_semi")
-    described = prefixes.select("key", "posts").join(sets.select("key", "sketch"), "key")
-    members = stored(members.join(stored(described), "key").select("post", "key", "root", "posts", "sketch"))
-    crossing = lists.in_blocks(members, "post", "key", BLOCK_ROWS).mapInArrow(_crossing, "a long, b long")
+    members = stored(placed.join(mixed, "post", "left_semi"))
+    about = stored(prefixes.select("key", "posts").join(members.select("key").distinct(), "key", "left_semi")
+                   .join(sets.select("key", "sketch", "few"), "key"))
+    crossing = lists.in_blocks(members, "post", "key", BLOCK_ROWS, about).mapInArrow(_crossing, "a long, b long")
     more = _confirmed(stored(crossing), sets)
     if not more.isEmpty():
         roots = stored(components(links.unionByName(more)))
