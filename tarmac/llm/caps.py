@@ -34,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from tarmac.llm import lists
 from tarmac.llm import text as tx
 from tarmac.llm.components import components
 from tarmac.llm.jobs import prepared, stored
+from tarmac.llm.lists import groups, in_blocks, meets_before
 
 COSINE = 0.95
 FILTERS = 24
@@ -171,7 +171,7 @@ def _filtered(words: int):
 
 def _verified(cosine: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in lists.groups(batches, ["filter", "low", "high"]):
+        for g in groups(batches, ["filter", "low", "high"]):
             yield from _linked(g, cosine)
 
     return run
@@ -201,7 +201,7 @@ def _linked(g: pa.Table, cosine: float) -> Iterator[pa.RecordBatch]:
         np.minimum.at(root, j, least)
         root = np.minimum(root, root[order[root]])
     names = [np.frombuffer(v, dtype=np.int64) for v in g.column("filters").to_pylist()]
-    new = ~lists.meets_before(names, i, j, here)
+    new = ~meets_before(names, i, j, here)
     links = np.zeros(len(keys), dtype=np.int64)
     np.add.at(links, i[new], copies[j[new]])
     np.add.at(links, j[new], copies[i[new]])
@@ -224,7 +224,7 @@ def near_vectors(vectors: DataFrame, id_column: str = "vec_id", column: str = "e
     posted = classes.select("key", "copies", "vector").mapInArrow(
         _filtered(words), _columns("filter long, key long, copies long, vector binary, filters binary"))
     posted = stored(posted)
-    found = stored(lists.in_blocks(posted, "filter", "key", BLOCK_ROWS).mapInArrow(
+    found = stored(in_blocks(posted, "filter", "key", BLOCK_ROWS).mapInArrow(
         _verified(cosine), _columns("key long, links long, root long")))
 
     roots = stored(components(found.select(F.col("key").alias("a"), F.col("root").alias("b"))))

@@ -131,12 +131,11 @@ def _design(values: list[str], hashes: np.ndarray) -> np.ndarray:
     """Lines x n-grams (0 or 1) and a bias."""
     x = np.zeros((len(values), len(hashes) + 1))
     x[:, -1] = 1
-    for r, v in enumerate(values):
-        _, _, h, line = paragraphs(_texts([v.replace("\n", " ")]))
-        g, _, _ = ngrams(h, line)
-        at = np.searchsorted(hashes, g)
-        hit = hashes[np.minimum(at, len(hashes) - 1)] == g
-        x[r, at[hit]] = 1
+    _, _, h, line = paragraphs(_texts([v.replace("\n", " ") for v in values]))
+    g, row, _ = ngrams(h, line)
+    at = np.minimum(np.searchsorted(hashes, g), len(hashes) - 1)
+    hit = hashes[at] == g
+    x[row[hit], at[hit]] = 1
     return x
 
 

@@ -291,9 +291,9 @@ def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     return Model(threshold, tokens, types, unknown, least, all_keys[order], n[order], left[order], body, segments), words
 
 
-def _score(model, held: int):
+def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: Model = model.value
+        m = Model(*model.value)
         values = np.append(0.0, level_values(m.least))
         most = len(m.least)
         z = float(m.tokens + m.types + 1)
@@ -348,8 +348,8 @@ def scored(docs: DataFrame) -> DataFrame:
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     split = docs.select("doc_id", (fold == HELD_OUT).alias("held_out"), "text").withColumn("train", ~F.col("held_out"))
     model, words = train(split)
-    shared = spark.sparkContext.broadcast(model)
-    told = stored(split.select("doc_id", "held_out", "text").mapInArrow(_score(shared, HELD_OUT), StructType([
+    shared = spark.sparkContext.broadcast(tuple(model))  # a plain tuple: broadcasts are pickled by reference
+    told = stored(split.select("doc_id", "held_out", "text").mapInArrow(_score(shared), StructType([
         StructField("doc_id", docs.schema["doc_id"].dataType), StructField("held_out", BooleanType()),
         StructField("n_tokens", LongType()), StructField("n_known", LongType()),
         StructField("base_score", DoubleType()), StructField("score", DoubleType()),
