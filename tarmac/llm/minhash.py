@@ -10,10 +10,11 @@ so a text copied a million times is one row.
 2. Prefix: a class with s postings needs only its s - MATCHES + 1 shortest
    lists, as two classes that share MATCHES of them meet in these prefixes.
 3. Merging with skips: in each list, members are first compared with one
-   leader, the member that shares most postings with others. Members of a list
-   that the links found so far already connect are skipped from then on; only
-   members of different components are compared, block by block inside tasks,
-   and a pair is put out once, in the least list both are in.
+   leader, the member that shares most postings with others. The lists of one
+   leader are then merged, so a class is in each merged list once. Members that
+   the links found so far already connect are skipped; only members of different
+   components are compared, block by block inside tasks, and a pair is put out
+   once, by the least leader both have.
 4. A comparison counts agreements of 256 further minima (one byte each, kept
    for classes that got this far). Of pairs with ``SKETCH_MATCHES`` or more,
    small sets (at most ``FEW`` shingles, which travel as 32-bit hashes) are
@@ -42,10 +43,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tarmac.llm import lists
 from tarmac.llm import text as tx
 from tarmac.llm.components import components
 from tarmac.llm.jobs import prepared, stored
+from tarmac.llm.lists import groups, in_blocks, meets_before
 
 SHINGLE = 5
 COORDINATES = 64
@@ -168,10 +169,10 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each group whose members are of different components and whose
-    sketches agree enough, if no lesser list has both; of small sets only links
+    sketches agree enough, if no lesser leader has both; of small sets only links
     that join what is not joined yet."""
-    for g in lists.groups(batches, ["post", "low", "high"]):
-        here, low, high = (g.column(c)[0].as_py() for c in ("post", "low", "high"))
+    for g in groups(batches, ["leader", "low", "high"]):
+        here, low, high = (g.column(c)[0].as_py() for c in ("leader", "low", "high"))
         part, key, root = (g.column(c).to_numpy() for c in ("part", "key", "root"))
         sketch = _sketches(g.column("sketch"))
         left, right = np.flatnonzero(part == low), np.flatnonzero(part == high)
@@ -187,8 +188,8 @@ def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             agree.append(same)
         i, j, agree = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, dtype=np.int64) for x in (i, j, agree))
         if len(i):
-            names = [np.asarray(x, dtype=np.int64) for x in g.column("posts").to_pylist()]
-            new = np.flatnonzero(~lists.meets_before(names, i, j, here))
+            names = [np.asarray(x, dtype=np.int64) for x in g.column("leaders").to_pylist()]
+            new = np.flatnonzero(~meets_before(names, i, j, here))
             new = new[np.argsort(-agree[new], kind="stable")]
             keep = _joining(i[new], j[new], root, [np.frombuffer(x, dtype=np.uint32) for x in g.column("few").to_pylist()])
             if keep:
@@ -255,7 +256,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("least_id"), F.min(F.struct("doc_id", "text_key")).alias("one"),
              F.min("signature").alias("signature")))
 
-    posts = stored(classes.select("key", "signature").mapInArrow(_postings, "post long, key long"))
+    # cheap to make again from the stored signatures, so not stored
+    posts = classes.select("key", "signature").mapInArrow(_postings, "post long, key long")
     lengths = stored(posts.groupBy("post").agg(F.count("*").alias("n")).where("n > 1"))
     of_class = (
         posts.join(lengths, "post").groupBy("key")
@@ -275,18 +277,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     leaders = stored(prefix.groupBy("post").agg(F.max(F.struct("shared", "key")).alias("most"))
                      .select("post", F.col("most.key").alias("a")))
-    first = stored(prefix.join(leaders, "post").where("a != key").select("a", F.col("key").alias("b")).distinct())
+    # the members of all lists of one leader, each once
+    led = stored(prefix.join(leaders, "post").select(F.col("a").alias("leader"), "key").distinct())
+    first = led.where("leader != key").select(F.col("leader").alias("a"), F.col("key").alias("b"))
     near = stored(_joined(first, sets, "sketch").mapInArrow(_agreeing, "a long, b long"))
     links = _confirmed(near, sets)
     roots = stored(components(links))
 
-    placed = prefix.join(roots.withColumnsRenamed({"id": "key"}), "key", "left").select(
-        "post", "key", F.coalesce("root", "key").alias("root"))
-    mixed = stored(placed.groupBy("post").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("post"))
-    members = stored(placed.join(mixed, "post", "left_semi"))
-    about = stored(prefixes.select("key", "posts").join(members.select("key").distinct(), "key", "left_semi")
+    placed = led.join(roots.withColumnsRenamed({"id": "key"}), "key", "left").select(
+        "leader", "key", F.coalesce("root", "key").alias("root"))
+    mixed = stored(placed.groupBy("leader").agg((F.min("root") != F.max("root")).alias("open")).where("open").select("leader"))
+    members = stored(placed.join(mixed, "leader", "left_semi"))
+    about = stored(led.groupBy("key").agg(F.collect_list("leader").alias("leaders"))  # COORDINATES at most
+                   .join(members.select("key").distinct(), "key", "left_semi")
                    .join(sets.select("key", "sketch", "few"), "key"))
-    crossing = lists.in_blocks(members, "post", "key", BLOCK_ROWS, about).mapInArrow(_crossing, "a long, b long")
+    crossing = in_blocks(members, "leader", "key", BLOCK_ROWS, about).mapInArrow(_crossing, "a long, b long")
     more = _confirmed(stored(crossing), sets)
     if not more.isEmpty():
         roots = stored(components(links.unionByName(more)))
