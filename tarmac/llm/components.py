@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from tarmac.llm.jobs import stored
 
 
+TASK_LINKS = 100_000  # links that a task handles
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id in ``links`` (a, b): root is the smallest id
     reachable, itself included. Null ids and links of an id to itself are
@@ -22,15 +25,21 @@ def components(links: DataFrame) -> DataFrame:
     pairs = links.where(F.col("a") != F.col("b"))
     now = stored(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = _fingerprint(now)
+    tasks = 1 + 2 * mark[0] // TASK_LINKS  # no table below has more rows than twice the links
+
+    def stored_in(df: DataFrame) -> DataFrame:
+        return stored(df.coalesce(tasks))
+
+    now = now.coalesce(tasks)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = stored(both.groupBy("u").agg(F.min("v").alias("m"))
-                       .select("u", F.least("u", "m").alias("m")))
+        least = stored_in(both.groupBy("u").agg(F.min("v").alias("m"))
+                           .select("u", F.least("u", "m").alias("m")))
         large = (both.where("v > u").join(least, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        large = stored(large)
-        least = stored(large.groupBy("u").agg(F.min("v").alias("m")))
-        now = stored(
+        large = stored_in(large)
+        least = stored_in(large.groupBy("u").agg(F.min("v").alias("m")))
+        now = stored_in(
             large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct()
         )
