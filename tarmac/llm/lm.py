@@ -1,26 +1,30 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of words and bigrams are gathered over all training texts (combined in
-tasks, dealt to buckets by hash and summed there). An n-gram goes into the model
-if it occurs at least ``threshold`` times, a fixed share of the bytes of text,
-so at most 1 / (2 * EPSILON) n-grams of each order can, however large the corpus
-is. Counts are quantised to levels: every count while they are small, then
-steps by ``STEP``. The filter holds a key for each level up to the n-gram's, so
-reading a count means probing level 1, 2, ... until a probe fails. Levels get
-rarer by ``STEP``, which bounds the keys as well; the filter has
-``BITS_PER_KEY`` bits for each and is broadcast with the table of frequent
-words (at least ``threshold`` occurrences, so bounded the same way).
+Counts of all words and bigrams are gathered over all training texts (combined in
+tasks, dealt to buckets by hash, summed and kept there, packed). An n-gram goes
+into the filter if it occurs at least ``threshold`` times, a fixed share of the
+bytes of text, so at most 1 / (2 * EPSILON) n-grams of each order can, however
+large the corpus is; the threshold decides only what is broadcast. Counts are
+quantised to levels: every count while they are small, then steps by ``STEP``.
+The filter holds a key for each level up to the n-gram's, so reading a count means
+probing level 1, 2, ... until a probe fails. Levels get rarer by ``STEP``, which
+bounds the keys as well; the filter has ``BITS_PER_KEY`` bits for each and is
+broadcast with the table of frequent words (at least ``threshold`` occurrences, so
+bounded the same way).
 
 Bigram probabilities are interpolated with absolute discounting:
 
     P(w | h) = max(c(hw) - DISCOUNT, 0) / c(h) + left(h) * P(w)
     P(w)     = (1 - u) * c(w) / N,  u for an unknown word
 
-c(hw) and c(w) of frequent words come from probes; left(h) is what the kept
-bigrams of h leave over; u is the share of words seen once (Good-Turing), the
-probability of the event that the next word is an unknown one. Counts of all
-other words, which no broadcast may hold, come from a join with the count
-table: their tokens are as many rows, each word of them rare, so no key is hot.
+left(h) is what all bigrams of h leave over, summed in Spark by the 32-bit half of
+h that a bigram's key holds; u is the share of words seen once (Good-Turing), the
+probability of the event that the next word is an unknown one. Counts that no
+broadcast may hold are exact: tokens with a word that is not frequent join the
+word table (each word of them rare, so no key is hot), and every bigram that the
+filter does not hold is asked for in the bucket that counted it. A text asks for
+each of its bigrams once, copies of a text in a task ask once.
+
 The model sees each text through words and one end token, the first word after
 a start that is not counted.
 
@@ -42,18 +46,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
 from tarmac.llm import text as tx
 from tarmac.llm.jobs import bucket_count, prepared, stored, text_bytes
 
-EPSILON = 2.0**-25      # least count of a kept n-gram, by bytes of text
+EPSILON = 2.0**-25      # least count of an n-gram in the filter, by bytes of text
 STEP = 1.25
 DISCOUNT = 0.75
 BITS_PER_KEY = 16
 PROBES = 6
 SEGMENT_BITS = 1 << 20  # an n-gram's probes stay in one segment
 FLUSH_TOKENS = 1 << 21
+RARE_BYTES = 32         # of a token in a text's list of those with a rare word
 FOLDS, HELD_OUT = 7, 2
 
 START = np.uint64(0x5BF03635D1E2A7C9)
@@ -136,24 +141,75 @@ def _emit(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
     return tx.rows(_MAPPED, (ids, payloads))
 
 
-def _summed(threshold: int):
-    """(pair, key, n, total): all words, and the pairs that are kept."""
-    def run(table: pa.Table) -> pa.Table:
-        got: list[list[np.ndarray]] = [[] for _ in range(6)]
-        for payload in table.column("payload").to_pylist():
-            a, b, c = np.frombuffer(payload, dtype=np.int64, count=3)
-            at = 24
-            for store, kind, count in zip(got, (np.uint64, np.uint32, np.uint32, np.uint64, np.uint64, np.uint32), (a, a, a, b, c, c)):
-                store.append(np.frombuffer(payload, dtype=kind, count=count, offset=at))
-                at += count * np.dtype(kind).itemsize
-        words, n, total, once, pairs, m = (np.concatenate(x) for x in got)
-        words, n, total = tx.count_pairs(words, n.astype(np.int64), total.astype(np.int64))
-        pairs, m = tx.count_pairs(np.concatenate((once, pairs)), np.concatenate((np.ones(len(once), dtype=np.int64), m.astype(np.int64))))
-        pairs, m = pairs[m >= threshold], m[m >= threshold]
-        return pa.table({
-            "pair": np.concatenate((np.zeros(len(words), dtype=bool), np.ones(len(pairs), dtype=bool))),
-            "key": np.concatenate((words, unmix(pairs))).view(np.int64),
-            "n": np.concatenate((n, m)), "total": np.concatenate((total, m))})
+def _summed(table: pa.Table) -> pa.Table:
+    """A bucket's counts, packed: all words, and all bigrams by their mixed keys."""
+    got: list[list[np.ndarray]] = [[] for _ in range(6)]
+    for payload in table.column("payload").to_pylist():
+        a, b, c = np.frombuffer(payload, dtype=np.int64, count=3)
+        at = 24
+        for store, kind, count in zip(got, (np.uint64, np.uint32, np.uint32, np.uint64, np.uint64, np.uint32), (a, a, a, b, c, c)):
+            store.append(np.frombuffer(payload, dtype=kind, count=count, offset=at))
+            at += count * np.dtype(kind).itemsize
+    words, n, total, once, pairs, m = (np.concatenate(x) for x in got)
+    words, n, total = tx.count_pairs(words, n.astype(np.int64), total.astype(np.int64))
+    pairs, m = tx.count_pairs(np.concatenate((once, pairs)), np.concatenate((np.ones(len(once), dtype=np.int64), m.astype(np.int64))))
+    many = m > 1
+    return pa.table({
+        "bucket": table.column("bucket").slice(0, 1),
+        "words": pa.array([b"".join(x.tobytes() for x in (words, n, total))], type=pa.binary()),
+        "pairs": pa.array([b"".join(x.tobytes() for x in (np.array([many.sum()]), m[many], pairs[many], pairs[~many]))], type=pa.binary())})
+
+
+def _words_in(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    words, n, total = np.frombuffer(body, dtype=np.int64).reshape(3, -1)
+    return words.view(np.uint64), n, total
+
+
+def _pairs_in(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Mixed keys of bigrams seen more than once, their counts, and the keys of the others."""
+    many = int(np.frombuffer(body, dtype=np.int64, count=1)[0])
+    x = np.frombuffer(body, dtype=np.int64, offset=8)
+    return x[many : 2 * many].view(np.uint64), x[:many], x[2 * many :].view(np.uint64)
+
+
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for body in batch.column(0).to_pylist():
+            words, n, total = _words_in(body)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n), pa.array(total)], names=["key", "n", "total"])
+
+
+def _frequent(threshold: int):
+    """(pair, key, n) of the n-grams that go into the filter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                key, n, _ = _words_in(words)
+                many, m, once = _pairs_in(pairs)
+                many, m = np.concatenate((many, once)), np.concatenate((m, np.ones(len(once), dtype=np.int64)))
+                key, n, many, m = key[n >= threshold], n[n >= threshold], many[m >= threshold], m[m >= threshold]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.arange(len(key) + len(many)) >= len(key)),
+                    pa.array(np.concatenate((key, unmix(many))).view(np.int64)), pa.array(np.concatenate((n, m)))], names=["pair", "key", "n"])
+
+    return run
+
+
+def _taken(least: np.ndarray):
+    """(history, n, taken): occurrences of words, and what all bigrams take, by history."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values = level_values(least)
+        for batch in batches:
+            for words, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                key, n, _ = _words_in(words)
+                many, m, once = _pairs_in(pairs)
+                level = np.searchsorted(least, m, side="right")
+                single = values[0] if least[0] == 1 else 1.0
+                taken = np.concatenate((np.where(level > 0, values[level - 1], m), np.full(len(once), single)))
+                history = np.concatenate((key, unmix(many), unmix(once))) >> np.uint64(32)
+                history, n, taken = tx.count_pairs(history, np.append(n, np.zeros(len(taken), dtype=np.int64)),
+                                                   np.append(np.zeros(len(n)), np.maximum(taken - DISCOUNT, 0)))
+                yield pa.RecordBatch.from_arrays([pa.array(history.view(np.int64)), pa.array(n), pa.array(taken)], names=["history", "n", "taken"])
 
     return run
 
@@ -215,18 +271,13 @@ def filter_keys(pair: np.ndarray, key: np.ndarray) -> np.ndarray:
 
 
 def _levelled(least: np.ndarray):
-    """(history, taken, level) of kept n-grams, with their key in the filter."""
+    """(key, level) of frequent n-grams, by their key in the filter."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values = level_values(least)
         for batch in batches:
             pair = batch.column(0).to_numpy(zero_copy_only=False)
             key = batch.column(1).to_numpy().view(np.uint64)
             level = np.searchsorted(least, batch.column(2).to_numpy(), side="right")
-            taken = np.maximum(values[level - 1] - DISCOUNT, 0)
-            yield pa.RecordBatch.from_arrays([
-                pa.array((key >> np.uint64(32)).astype(np.int64), mask=~pair), pa.array(taken),
-                pa.array(filter_keys(pair, key).view(np.int64)), pa.array(level),
-            ], names=["history", "taken", "key", "level"])
+            yield pa.RecordBatch.from_arrays([pa.array(filter_keys(pair, key).view(np.int64)), pa.array(level)], names=["key", "level"])
 
     return run
 
@@ -254,92 +305,268 @@ def _segment(segments: int):
     return run
 
 
+class Counts(NamedTuple):
+    buckets: int
+    packed: DataFrame           # bucket, words, pairs: all counts
+    words: DataFrame            # key, n, total
+    histories: DataFrame        # history, n, taken
+
+
 def train(docs: DataFrame) -> tuple[Model, DataFrame]:
     """The model, and the table of all words (key, n, total). ``docs`` has
     ``text`` and the boolean ``train``."""
+    model, counts = _trained(docs)
+    return model, counts.words
+
+
+def _trained(docs: DataFrame) -> tuple[Model, Counts]:
     size = text_bytes(docs)
     threshold = max(1, int(np.ceil(size * EPSILON)))
-    mapped = docs.select("text", "train").mapInArrow(_count(bucket_count(size)), "bucket int, payload binary")
-    counts = stored(mapped.groupBy("bucket").applyInArrow(_summed(threshold), "pair boolean, key long, n long, total long"))
-    words = counts.where("not pair").select("key", "n", "total")
+    buckets = bucket_count(size)
+    mapped = docs.select("text", "train").mapInArrow(_count(buckets), "bucket int, payload binary")
+    packed = stored(mapped.groupBy("bucket").applyInArrow(_summed, "bucket int, words binary, pairs binary"))
+    words = packed.select("words").mapInArrow(_word_rows, "key long, n long, total long")
     tokens, types, once, most = words.agg(
         F.sum("n"), F.count_if(F.col("n") > 0), F.count_if(F.col("n") == 1), F.max("n")).first()
     tokens, types, once = tokens or 0, types or 0, once or 0
 
     least = levels(threshold, most or 0)
-    kept = stored(counts.where(F.col("n") >= threshold).select("pair", "key", "n").mapInArrow(
-        _levelled(least), "history long, taken double, key long, level long"))
+    kept = stored(packed.select("words", "pairs").mapInArrow(_frequent(threshold), "pair boolean, key long, n long")
+                  .mapInArrow(_levelled(least), "key long, level long"))
     keys = kept.agg(F.sum("level")).first()[0] or 0
     segments = max(1, 1 << int(np.ceil(np.log2(max(1, keys * BITS_PER_KEY / SEGMENT_BITS)))))
     body = np.zeros(segments * SEGMENT_BITS // 8, dtype=np.uint8)
-    dealt = kept.select("key", "level").mapInArrow(_segment_of(segments), "segment int, key long, level long")
+    dealt = kept.mapInArrow(_segment_of(segments), "segment int, key long, level long")
     for segment, part in dealt.groupBy("segment").applyInArrow(_segment(segments), "segment int, body binary").toLocalIterator():
         body[segment * SEGMENT_BITS // 8 : (segment + 1) * SEGMENT_BITS // 8] = np.frombuffer(part, dtype=np.uint8)
 
-    taken = kept.where("history is not null").groupBy("history").agg(F.sum("taken").alias("taken"))
-    frequent = words.where(F.col("total") >= threshold).withColumn("history", F.shiftrightunsigned("key", 32))
-    table = frequent.join(taken, "history", "left").select("key", "n", F.coalesce("taken", F.lit(0.0)).alias("taken")).toPandas()
-    start = taken.where(F.col("history") == int(START >> np.uint64(32))).first()
-    ends = table["n"][table["key"].to_numpy().view(np.uint64) == END] if len(table) else []
-    # the start is a history as often as the end is a word
+    histories = stored(packed.select("words", "pairs").mapInArrow(_taken(least), "history long, n long, taken double")
+                       .groupBy("history").agg(F.sum("n").alias("n"), F.sum("taken").alias("taken")))
+    end = int(END.astype(np.int64))
+    frequent = words.where((F.col("total") >= threshold) | (F.col("key") == end))
+    table = _with_left(frequent, histories).toPandas()
+    start = histories.where(F.col("history") == int(START >> np.uint64(32))).first()
+    ends = int(table["n"][table["key"] == end].sum())  # the start is a history as often as the end is a word
+    first = 1 - (start["taken"] if start else 0.0) / max(ends + (start["n"] if start else 0), 1)
     all_keys = np.append(table["key"].to_numpy(dtype=np.int64).view(np.uint64), START)
-    n = np.append(table["n"].to_numpy(dtype=np.int64), int(sum(ends)))
-    used = np.append(table["taken"].to_numpy(dtype=float), start["taken"] if start else 0.0)
+    n = np.append(table["n"].to_numpy(dtype=np.int64), ends)
+    left = np.append(table["left"].to_numpy(dtype=float), np.clip(first, 1e-3, 1))
     order = np.argsort(all_keys)
-    left = np.clip(1 - used / np.maximum(n, 1), 1e-3, 1)
     unknown = min(0.5, max(once, 1) / (tokens + 1))
-    return Model(threshold, tokens, types, unknown, least, all_keys[order], n[order], left[order], body, segments), words
+    model = Model(threshold, tokens, types, unknown, least, all_keys[order], n[order], left[order], body, segments)
+    return model, Counts(buckets, packed, words, histories)
+
+
+def _with_left(words: DataFrame, histories: DataFrame) -> DataFrame:
+    """(key, n, left) of the words."""
+    own = histories.select("history", F.greatest(F.lit(1e-3), F.least(F.lit(1.0), 1 - F.col("taken") / F.greatest("n", F.lit(1)))).alias("left"))
+    return (words.select("key", "n", F.shiftrightunsigned("key", 32).alias("history"))
+            .join(own, "history", "left").select("key", "n", F.coalesce("left", F.lit(1.0)).alias("left")))
+
+
+class Seen(NamedTuple):
+    """Some texts as the broadcast model sees them."""
+
+    h: np.ndarray           # token hashes
+    first: np.ndarray       # bounds of the rows' tokens
+    row: np.ndarray         # of each token
+    types: np.ndarray       # distinct hashes
+    of_type: np.ndarray     # of each token
+    hot: np.ndarray         # of each type: in the table
+    exact: np.ndarray
+    left: np.ndarray
+    alone: np.ndarray
+    of_pair: np.ndarray     # of each token
+    a: np.ndarray           # types of each pair
+    b: np.ndarray
+    both: np.ndarray        # count in the filter, 0 if it is not there
+
+
+def _seen(m: Model, t: tx.Texts) -> Seen:
+    values = np.append(0.0, level_values(m.least))
+    most = len(m.least)
+    h, first = tokens_of(t)
+    row = np.repeat(np.arange(t.stop - t.start), np.diff(first))
+    types, inverse = np.unique(np.append(h, START), return_inverse=True)
+    inverse, start = inverse[:-1], inverse[-1]
+    place = np.minimum(np.searchsorted(m.keys, types), len(m.keys) - 1)
+    hot = m.keys[place] == types
+    exact = np.where(hot, m.counts[place], 0)
+    left = np.where(hot, m.left[place], 1.0)
+    count = np.zeros(len(types))
+    known = np.flatnonzero(hot & (exact >= m.threshold))
+    count[known] = values[probe(m.filter, m.segments, filter_keys(np.zeros(len(known), dtype=bool), types[known]), most)]
+    count[hot & (exact < m.threshold)] = exact[hot & (exact < m.threshold)]
+    alone = np.where(count > 0, (1 - m.unknown) * count / max(m.tokens, 1), m.unknown)
+
+    before = np.empty_like(inverse)
+    before[1:] = inverse[:-1]
+    before[first[:-1]] = start
+    pair, of_pair = np.unique(before * len(types) + inverse, return_inverse=True)
+    a, b = pair // len(types), pair % len(types)
+    likely = np.flatnonzero((exact[a] >= m.threshold) & (exact[b] >= m.threshold))
+    both = np.zeros(len(pair))
+    both[likely] = values[probe(m.filter, m.segments, filter_keys(
+        np.ones(len(likely), dtype=bool), pair_keys(types[a[likely]], types[b[likely]])), most)]
+    both = np.minimum(both, np.minimum(exact[a], exact[b]))
+    return Seen(h, first, row, types, inverse, hot, exact, left, alone, of_pair, a, b, both)
+
+
+def text_ids(t: tx.Texts) -> np.ndarray:
+    """A negative number for each row's text."""
+    return (tx.hash_spans(t.data, t.offsets[:-1], t.offsets[1:]) | np.uint64(1 << 63)).view(np.int64)
+
+
+def _packed_rare(s: Seen, pair: np.ndarray) -> np.ndarray:
+    """Pairs with a word that is not in the table: key, the words' other halves,
+    c(h) (-1 if h is not there, less 1 if w is not), and what is known of the rest."""
+    a, b = s.a[pair], s.b[pair]
+    out = np.empty((len(pair), 4), dtype=np.uint64)
+    out[:, 0] = pair_keys(s.types[a], s.types[b])
+    out[:, 1] = (s.types[a] << np.uint64(32)) | (s.types[b] & ~_HIGH)
+    out[:, 2] = np.where(s.hot[a], s.exact[a], np.where(s.hot[b], -1.0, -2.0)).view(np.uint64)
+    out[:, 3] = (np.where(s.hot[a], s.left[a], 1.0) * np.where(s.hot[b], s.alone[b], 1.0)).view(np.uint64)
+    return out
+
+
+def _rare_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, pair, h, w, c, rest): the pairs again; h or w is null if it is in the table."""
+    for batch in batches:
+        data, off = tx.byte_view(batch.column(1))
+        x = np.frombuffer(data.tobytes(), dtype=np.uint64).reshape(-1, 4)
+        c = x[:, 2].copy().view(np.float64)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(np.repeat(batch.column(0).to_numpy(), np.diff(off) // RARE_BYTES)), pa.array(x[:, 0].copy().view(np.int64)),
+            pa.array(((x[:, 0] & _HIGH) | (x[:, 1] >> np.uint64(32))).view(np.int64), mask=c >= 0),
+            pa.array(((x[:, 0] << np.uint64(32)) | (x[:, 1] & ~_HIGH)).view(np.int64), mask=c == -1),
+            pa.array(c), pa.array(x[:, 3].copy().view(np.float64))], names=["row", "pair", "h", "w", "c", "rest"])
 
 
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*model.value)
-        values = np.append(0.0, level_values(m.least))
-        most = len(m.least)
         z = float(m.tokens + m.types + 1)
         for batch in batches:
             for t in tx.slices(batch.column(2)):
-                h, first = tokens_of(t)
+                s = _seen(m, t)
                 rows = t.stop - t.start
-                row = np.repeat(np.arange(rows), np.diff(first))
-                types, inverse = np.unique(np.append(h, START), return_inverse=True)
-                inverse, start = inverse[:-1], inverse[-1]
-                place = np.minimum(np.searchsorted(m.keys, types), len(m.keys) - 1)
-                hot = m.keys[place] == types
-                exact = np.where(hot, m.counts[place], 0)
-                left = np.where(hot, m.left[place], 1.0)
-                count = np.zeros(len(types))
-                known = np.flatnonzero(hot & (exact >= m.threshold))
-                count[known] = values[probe(m.filter, m.segments, filter_keys(np.zeros(len(known), dtype=bool), types[known]), most)]
-                count[hot & (exact < m.threshold)] = exact[hot & (exact < m.threshold)]
-                alone = np.where(count > 0, (1 - m.unknown) * count / max(m.tokens, 1), m.unknown)
-
-                before = np.empty_like(inverse)
-                before[1:] = inverse[:-1]
-                before[first[:-1]] = start
-                pair, of_pair = np.unique(before * len(types) + inverse, return_inverse=True)
-                a, b = pair // len(types), pair % len(types)
-                likely = np.flatnonzero((exact[a] >= m.threshold) & (exact[b] >= m.threshold))
-                both = np.zeros(len(pair))
-                both[likely] = values[probe(m.filter, m.segments, filter_keys(
-                    np.ones(len(likely), dtype=bool), pair_keys(types[a[likely]], types[b[likely]])), most)]
-                both = np.minimum(both, np.minimum(exact[a], exact[b]))
-                rare = ~hot[b]
-                p = np.maximum(both - DISCOUNT, 0) / np.maximum(exact[a], 1) + left[a] * alone[b]
-                logs = np.log10(np.where(rare, left[a], np.minimum(p, 1.0)))
+                hot, exact, inverse = s.hot, s.exact, s.of_type
+                p = np.maximum(s.both - DISCOUNT, 0) / np.maximum(exact[s.a], 1) + s.left[s.a] * s.alone[s.b]
+                rare = ~(hot[s.a] & hot[s.b])
+                logs = np.where(rare, 0.0, np.log10(np.minimum(p, 1.0)))
                 base = np.where(hot, np.log10((exact + 1) / z), 0.0)
-                others = ~hot[inverse]
-                off = np.concatenate(([0], np.cumsum(np.bincount(row[others], minlength=rows)))).astype(np.int32)
+                others = rare[s.of_pair]
+                off = np.concatenate(([0], np.cumsum(np.bincount(s.row[others], minlength=rows)))) * RARE_BYTES
+                told = _packed_rare(s, s.of_pair[others])
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(t.start, rows), batch.column(1).slice(t.start, rows),
-                    pa.array(np.diff(first)), pa.array(np.bincount(row, hot[inverse] & (exact[inverse] > 0), rows).astype(np.int64)),
-                    pa.array(np.bincount(row, base[inverse], rows)), pa.array(np.bincount(row, logs[of_pair], rows)),
-                    pa.ListArray.from_arrays(off, pa.array(h[others].view(np.int64))),
-                ], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+                    batch.column(0).slice(t.start, rows), batch.column(1).slice(t.start, rows), pa.array(text_ids(t)),
+                    pa.array(np.diff(s.first)), pa.array(np.bincount(s.row, hot[inverse] & (exact[inverse] > 0), rows).astype(np.int64)),
+                    pa.array(np.bincount(s.row, base[inverse], rows)), pa.array(np.bincount(s.row, logs[s.of_pair], rows)),
+                    pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(off), pa.py_buffer(told)]).cast(pa.binary()),
+                ], names=["doc_id", "held_out", "text_id", "n_tokens", "n_known", "base_score", "score", "rare"])
+
+    return run
+
+
+def _asked(model, buckets: int):
+    """(bucket, payload): the bigrams of frequent words that the filter does not hold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*model.value)
+        parts: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for batch in batches:
+            for t in tx.slices(batch.column(0)):
+                s = _seen(m, t)
+                ids, rows = np.unique(text_ids(t), return_index=True)
+                own = np.zeros(t.stop - t.start, dtype=bool)
+                own[rows] = True
+                asks = (s.both == 0) & (s.exact[s.a] > 0) & (s.exact[s.b] > 0)
+                at = np.flatnonzero(asks[s.of_pair] & own[s.row])
+                code, weight = np.unique(s.row[at] * len(s.a) + s.of_pair[at], return_counts=True)
+                row, pair = code // max(len(s.a), 1), code % max(len(s.a), 1)
+                a, b = s.a[pair], s.b[pair]
+                place = np.zeros(len(own), dtype=np.int64)
+                place[rows] = np.arange(len(ids))
+                parts.append((tx.mix(pair_keys(s.types[a], s.types[b])), ids[place[row]], weight,
+                              s.exact[a].astype(float), s.left[a] * s.alone[b], np.full(len(a), len(parts))))
+                size += len(a)
+                if size >= FLUSH_TOKENS:
+                    yield _dealt(parts, buckets)
+                    parts, size = [], 0
+        if size:
+            yield _dealt(parts, buckets)
 
     return run
 
 
+def _asked_rows(buckets: int):
+    """The same for rows of (row, pair, c, rest)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        size = 0
+        for batch in batches:
+            row, pair, c, rest = (x.to_numpy() for x in batch.columns)
+            parts.append((tx.mix(pair.view(np.uint64)), row, np.ones(len(row), dtype=np.int64), c, rest, np.zeros(len(row), dtype=np.int64)))
+            size += len(row)
+            if size >= FLUSH_TOKENS:
+                yield _dealt(parts, buckets)
+                parts, size = [], 0
+        if size:
+            yield _dealt(parts, buckets)
+
+    return run
+
+
+def _of_first(ids: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Whether each ask counts: a text's asks do in the first part that has them."""
+    _, inverse = np.unique(ids, return_inverse=True)
+    least = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(least, inverse, part)
+    return (ids >= 0) | (part == least[inverse])
+
+
+def _dealt(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
+    keys, ids, weight, c, rest, part = (np.concatenate(x) for x in zip(*parts))
+    at = np.flatnonzero(_of_first(ids, part))
+    at = at[np.argsort(keys[at])]
+    keys, ids, weight, c, rest = (x[at] for x in (keys, ids, weight, c, rest))
+    numbers, cuts = tx.cut_by_bucket(keys, buckets)
+    payloads = []
+    for x, y in zip(cuts[:-1], cuts[1:]):
+        own, place = np.unique(ids[x:y], return_inverse=True)
+        payloads.append(b"".join(v.tobytes() for v in (
+            np.array([y - x, len(own)]), keys[x:y], c[x:y], rest[x:y], own, place.astype(np.uint32), weight[x:y].astype(np.uint32))))
+    return tx.rows(_MAPPED, (numbers, payloads))
+
+
+def _answered(asks: pa.Table, counts: pa.Table) -> pa.Table:
+    """(id, more): what exact counts of a bucket's bigrams add to the scores."""
+    out: list[tuple[np.ndarray, ...]] = []
+    many, m, once = _pairs_in(counts.column("pairs")[0].as_py()) if len(counts) else (np.zeros(0, dtype=np.uint64),) * 3
+    for i, payload in enumerate(asks.column("payload")):
+        payload = payload.as_buffer()
+        n, k = np.frombuffer(payload, dtype=np.int64, count=2)
+        keys = np.frombuffer(payload, dtype=np.uint64, count=n, offset=16)
+        c, rest = np.frombuffer(payload, dtype=np.float64, count=2 * n, offset=16 + 8 * n).reshape(2, -1)
+        own = np.frombuffer(payload, dtype=np.int64, count=k, offset=16 + 24 * n)
+        place, weight = np.frombuffer(payload, dtype=np.uint32, count=2 * n, offset=16 + 24 * n + 8 * k).reshape(2, -1)
+        both = np.zeros(n)
+        for table, number in ((once, np.ones(len(once))), (many, m)):
+            if len(table):
+                at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+                both = np.where(table[at] == keys, number[at], both)
+        p = np.maximum(both - DISCOUNT, 0) / np.maximum(c, 1) + rest
+        # a text has the rest in its score, a row's token with a rare word has nothing yet
+        more = weight * (np.log10(np.minimum(p, 1.0)) - np.where(own[place] < 0, np.log10(np.minimum(rest, 1.0)), 0.0))
+        out.append((own, np.bincount(place, more, k), np.full(k, i)))
+    if not out:
+        return pa.table({"id": pa.array([], type=pa.int64()), "more": pa.array([], type=pa.float64())})
+    ids, more, part = (np.concatenate(x) for x in zip(*out))
+    keep = _of_first(ids, part)
+    ids, more = tx.count_pairs(ids[keep], more[keep])
+    return pa.table({"id": ids, "more": more})
+
+
 def scored(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score. The model learns from documents that are not held out
@@ -347,24 +574,42 @@ def scored(docs: DataFrame) -> DataFrame:
     spark = prepared(docs)
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     split = docs.select("doc_id", (fold == HELD_OUT).alias("held_out"), "text").withColumn("train", ~F.col("held_out"))
-    model, words = train(split)
+    model, counts = _trained(split)
     shared = spark.sparkContext.broadcast(tuple(model))  # a plain tuple: broadcasts are pickled by reference
-    told = stored(split.select("doc_id", "held_out", "text").mapInArrow(_score(shared), StructType([
+    told = split.select("doc_id", "held_out", "text").mapInArrow(_score(shared), StructType([
         StructField("doc_id", docs.schema["doc_id"].dataType), StructField("held_out", BooleanType()),
-        StructField("n_tokens", LongType()), StructField("n_known", LongType()),
+        StructField("text_id", LongType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()),
         StructField("base_score", DoubleType()), StructField("score", DoubleType()),
-        StructField("rare", ArrayType(LongType()))])).withColumn("row", F.monotonically_increasing_id()))
+        StructField("rare", BinaryType())]))
+    told = stored(told.withColumn("row", F.monotonically_increasing_id()))
+    out = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"]
+    if model.threshold == 1:  # the filter and the table hold all that was counted
+        return told.select(*out)
 
     z = float(model.tokens + model.types + 1)
+    rare = counts.words.where((F.col("total") < model.threshold) & (F.col("key") != int(END.astype(np.int64))))
+    tokens = told.select("row", "rare").mapInArrow(_rare_rows, "row long, pair long, h long, w long, c double, rest double")
+    w = rare.select(F.col("key").alias("w"), "n")
+    h = _with_left(rare, counts.histories).withColumnsRenamed({"key": "h"})
     n = F.col("n")
     alone = F.when(n > 0, (1 - model.unknown) * n / max(model.tokens, 1)).otherwise(model.unknown)
-    rest = (told.select("row", F.explode("rare").alias("key"))
-            .join(words.where(F.col("total") < model.threshold).select("key", "n"), "key")
-            .groupBy("row").agg(F.count_if(n > 0).alias("more_known"), F.sum(F.log10((n + 1) / z)).alias("more_base"),
-                                F.sum(F.log10(alone)).alias("more_score")))
+    by_w = lambda t: t.join(w, "w").withColumn("rest", F.col("rest") * alone).drop("n")
+    before = tokens.where("h is not null")
+    after = before.where("w is null").unionByName(by_w(before.where("w is not null")))
+    after = after.join(h, "h").select("row", "pair", F.col("n").cast("double").alias("c"), (F.col("rest") * F.col("left")).alias("rest"))
+    resolved = by_w(tokens.where("h is null")).select("row", "pair", "c", "rest").union(after)
+    rest = tokens.where("w is not null").select("row", "w").join(w, "w").groupBy("row").agg(
+        F.count_if(n > 0).alias("more_known"), F.sum(F.log10((n + 1) / z)).alias("more_base"))
+    kind = "bucket int, payload binary"
+    asks = split.select("text").mapInArrow(_asked(shared, counts.buckets), kind).union(
+        resolved.mapInArrow(_asked_rows(counts.buckets), kind))
+    answers = stored(asks.groupBy("bucket").cogroup(counts.packed.select("bucket", "pairs").groupBy("bucket"))
+                     .applyInArrow(_answered, "id long, more double").groupBy("id").agg(F.sum("more").alias("more")))
+    of_row = answers.where("id >= 0").select(F.col("id").alias("row"), F.col("more").alias("row_more"))
+    of_text = answers.where("id < 0").select(F.col("id").alias("text_id"), F.col("more").alias("text_more"))
+
     zero = F.lit(0)
-    return told.join(rest, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("more_base", zero)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", zero)).alias("score"))
+    return told.join(rest, "row", "left").join(of_row, "row", "left").join(of_text, "text_id", "left").withColumns({
+        "n_known": F.col("n_known") + F.coalesce("more_known", zero),
+        "base_score": F.col("base_score") + F.coalesce("more_base", zero),
+        "score": F.col("score") + F.coalesce("row_more", zero) + F.coalesce("text_more", zero)}).select(*out)

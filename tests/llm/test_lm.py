@@ -69,3 +69,37 @@ def test_probabilities_sum_to_about_one(spark):
 def test_mix_has_an_inverse():
     x = np.random.default_rng(0).integers(0, 2**63, 1000).astype(np.uint64)
     assert (lm.unmix(tx.mix(x)) == x).all()
+
+
+@pytest.mark.parametrize("epsilon", [2.0**-14, 2.0**-11])
+def test_score_counts_bigrams_below_the_threshold(spark, odd_docs, odd_texts, monkeypatch, epsilon):
+    """Every bigram counts, those in the filter by their level and the others exactly."""
+    monkeypatch.setattr(lm, "EPSILON", epsilon)
+    size = sum(len((t or "").encode()) for _, t in odd_texts)
+    threshold = math.ceil(size * epsilon)
+    assert threshold > 3
+    tokens = [(i, [*words(ascii_lower(t or "")), None]) for i, t in odd_texts]
+    train = [v for i, v in tokens if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    count = collections.Counter(w for v in train for w in v)
+    pairs = collections.Counter(p for v in train for p in zip([0, *v], v))  # 0: the start
+    n = sum(count.values())
+    unknown = min(0.5, max(1, sum(c == 1 for c in count.values())) / (n + 1))
+    least = lm.levels(threshold, max(count.values()))
+    values = lm.level_values(least)
+    read = lambda c: values[np.searchsorted(least, c, side="right") - 1] if c >= threshold else c
+    of = collections.Counter(count)
+    of[0] = count[None]
+    taken = collections.Counter()
+    for (h, _), c in pairs.items():
+        taken[h] += max(read(c) - lm.DISCOUNT, 0)
+
+    def log(h, w):
+        alone = (1 - unknown) * read(count[w]) / n if count[w] else unknown
+        left = min(1, max(1e-3, 1 - taken[h] / of[h])) if of[h] else 1
+        return math.log10(min(1, max(min(read(pairs[h, w]), of[h], of[w]) - lm.DISCOUNT, 0) / max(of[h], 1) + left * alone))
+
+    want = sorted((i is None, i or 0, len(v), sum(log(h, w) for h, w in zip([0, *v], v))) for i, v in tokens)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in lm.scored(odd_docs).collect())
+    for g, w in zip(got, want, strict=True):
+        assert g[:3] == w[:3]
+        assert g[3] == pytest.approx(w[3], rel=2e-3), w[:3]  # a few false positives of the filter
