@@ -68,10 +68,18 @@ class Code:
         self.size = len(self.words[0]) * len(self.words[1])
         x = rng.standard_normal((TUNE_ROWS, dim))
         x /= np.linalg.norm(x, axis=1, keepdims=True)
+        most = 4 * 64 * FILTERS
+        # a sum of the i-th and j-th best scores has i * j - 1 others of its row above it,
+        # so the best ``most`` sums are among these, however many words there are
+        wide = [min(len(w), most) for w in self.words]
+        reach = np.minimum(most // np.arange(1, wide[0] + 1), wide[1])
+        i_a, i_b = np.repeat(np.arange(wide[0]), reach), tx.ragged(np.zeros(wide[0], dtype=np.int64), reach)
         best = []
         for i in range(0, TUNE_ROWS, 64):
-            a, b = self.scores(x[i : i + 64])
-            best.append(np.sort((a[:, :, None] + b[:, None, :]).ravel())[-4 * 64 * FILTERS :])
+            a, b = (-np.sort(-s, axis=1) for s in self.scores(x[i : i + 64]))
+            sums = (a[:, i_a] + b[:, i_b]).ravel()
+            k = min(most, len(sums))
+            best.append(np.partition(sums, len(sums) - k)[len(sums) - k :].copy())
         best = np.sort(np.concatenate(best))
         self.least = float(best[max(0, len(best) - FILTERS * TUNE_ROWS)])
 

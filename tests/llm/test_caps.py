@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -74,3 +76,20 @@ def test_decode_finds_all_caps_that_hold_a_vector():
         assert set(np.flatnonzero(sums[r] >= code.least)) <= own
         assert len(own) >= caps.LEAST_FILTERS
         assert min(sums[r][list(own)]) >= max(np.delete(sums[r], list(own)))
+
+
+def test_threshold_in_bounded_memory():
+    """The same threshold as over all sums, without holding them (512 MB for 64 vectors and 1,000 words)."""
+    code = caps.Code(16, 60)
+    rng = np.random.default_rng([caps.SEED, 16, 60])
+    for shape in ((16, 16), (60, 8), (60, 8)):
+        rng.standard_normal(shape)
+    x = rng.standard_normal((caps.TUNE_ROWS, 16))
+    a, b = code.scores(x / np.linalg.norm(x, axis=1, keepdims=True))
+    sums = np.concatenate([np.sort((a[i : i + 64, :, None] + b[i : i + 64, None, :]).ravel())[-4 * 64 * caps.FILTERS :] for i in range(0, len(x), 64)])
+    assert code.least == np.sort(sums)[-caps.FILTERS * caps.TUNE_ROWS]
+    tracemalloc.start()
+    caps.Code(16, 1000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
