@@ -1,17 +1,21 @@
 """Licence scan by a trained paragraph classifier.
 
-A paragraph is a line with a word. Its features are word unigrams, bigrams and
-trigrams (lower-cased A-Z, runs of letters and digits) that occur in the notice
-templates below. A softmax regression over these sparse features gives a
+A block is a run of lines with a word (so comment marks alone are blank). A
+paragraph is a window of neighbouring lines of a block, from one line up to as many
+as hold ``WINDOW`` times the words of the longest template after the first line, so
+a notice is seen whole however it is wrapped. Its features are word unigrams,
+bigrams and trigrams (lower-cased A-Z, runs of letters and digits, across line
+breaks) that occur in the notice templates below. A softmax regression over these sparse features gives a
 licence family or ``unknown``; it is trained on the templates, varied by lost
 and added words, and on ``NEGATIVES`` lines of the documents (a bounded sample,
 by hash) as the unknown class. Probabilities are calibrated on a part held out:
 a temperature, and the probability that a family must reach so that at most
 ``FALSE_SHARE`` of unknown lines do. A prediction counts only if a template of
 that family confirms it: ``CONFIRM`` of the template's bigrams, weighted equally,
-stand in the paragraph.
+stand in the paragraph. Of windows that share lines the one whose template stands
+in it most fully counts, then the one with fewer lines, then the more probable one.
 
-Every line of every whole text is classified in one pass without a shuffle; the
+Every window of every whole text is classified in one pass without a shuffle; the
 model in the tasks has one weight for each template n-gram and family.
 
 Cases: null or empty text has no paragraphs and no families; an empty table
@@ -37,6 +41,7 @@ NEGATIVES = 4000
 VARIANTS = 60
 FALSE_SHARE = 0.001
 CONFIRM = 0.6
+WINDOW = 2           # words of a window after its first line, by the longest template's
 ROUNDS = 300
 SEED = 9
 
@@ -89,6 +94,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "proprietary": ("Copyright. All rights reserved.", "No part of this work may be reproduced without written permission of the publisher"),
 }
 FAMILIES = tuple(TEMPLATES)
+LONGEST = max(len(v.split()) for texts in TEMPLATES.values() for v in texts)
 
 
 class Model(NamedTuple):
@@ -195,11 +201,39 @@ def train(negatives: list[str]) -> Model:
     return Model(hashes, w, temperature, min(least, 0.99), templates)
 
 
+def _shown(values: list[str]) -> np.ndarray:
+    """Whether each value shows a template, so that no part of it is a negative."""
+    own = []
+    for texts in TEMPLATES.values():
+        for text in texts:
+            _, _, h, line = paragraphs(_texts([text]))
+            g, _, n = ngrams(h, line)
+            g = np.unique(g[n == 2])
+            own.append(_design(values, g)[:, :-1].mean(axis=1))
+    return np.max(own, axis=0) >= CONFIRM
+
+
 def _sample_lines(docs: DataFrame, rows: int) -> list[str]:
-    """Lines of the documents with the least hash of their text."""
+    """Lines of the documents with the least hash of their text, without those of
+    blocks that show a template: a part of a wrapped notice is no negative."""
     chosen = docs.where("text is not null").select("text", F.xxhash64("text").alias("h")).orderBy("h").limit(rows // 4)
-    heads = chosen.select(F.explode(F.slice(F.split("text", "\n"), 1, 8)).alias("line"))
-    return [v for (v,) in heads.select(F.substring("line", 1, 400)).limit(rows).collect() if v.strip()]
+    cut = F.transform(F.slice(F.split("text", "\n"), 1, 8 + WINDOW * LONGEST), lambda v: F.substring(v, 1, 400))
+    blocks: list[str] = []
+    lines: list[tuple[str, int]] = []
+    worded = False
+    for (head,) in chosen.select(cut).collect():
+        for i, line in enumerate(head):
+            if not tx.NOT_LETTER[list(line.encode())].all():
+                if not i or not worded:
+                    blocks.append("")
+                blocks[-1] += " " + line
+                if i < 8:
+                    lines.append((line, len(blocks) - 1))
+                worded = True
+            else:
+                worded = False
+    notice = np.concatenate([_shown(blocks[i : i + 1000]) for i in range(0, len(blocks), 1000)]) if blocks else []
+    return [line for line, block in lines if not notice[block]][:rows]
 
 
 def _scan(model: Model):
@@ -207,35 +241,81 @@ def _scan(model: Model):
     maybe[model.hashes & np.uint64(0xFFFF)] = True
     width = len(model.hashes)
 
+    owner = np.array([f for f, _ in model.templates])
+    share = np.zeros((width + 1, len(owner)))
+    for k, (_, cells) in enumerate(model.templates):
+        share[cells, k] = 1 / len(cells)
+    paired = np.zeros(width, dtype=bool)  # n-grams that confirm a template
+    paired[np.concatenate([cells for _, cells in model.templates])] = True
+
+    def windows(line: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last line of all windows from a line in ``begins`` to one in ``ends``."""
+        numbers, words = np.unique(line, return_counts=True)
+        before = np.concatenate(([0], np.cumsum(words)))
+        block = np.cumsum(np.concatenate(([True], np.diff(numbers) > 1)))
+        last = np.isin(numbers, ends)
+        live = np.flatnonzero(np.isin(numbers, begins))
+        firsts, lasts = [], []
+        more = 0
+        while len(live):
+            here = live[last[live + more]]
+            firsts.append(numbers[here])
+            lasts.append(numbers[here + more])
+            more += 1
+            live = live[live + more < len(numbers)]
+            live = live[(block[live + more] == block[live]) & (before[live + more] - before[live + 1] < WINDOW * LONGEST)]
+        return np.concatenate(firsts or [line[:0]]), np.concatenate(lasts or [line[:0]])
+
     def classify(t: tx.Texts) -> tuple[np.ndarray, ...]:
         """Row, start, end, family and probability of each licence paragraph."""
         start, end, h, line = paragraphs(t)
-        g, g_line, _ = ngrams(h, line)
-        at = np.flatnonzero(maybe[g & np.uint64(0xFFFF)])
-        g, g_line = g[at], g_line[at]
-        i = np.minimum(np.searchsorted(model.hashes, g), width - 1)
-        hit = model.hashes[i] == g
-        numbers, place = np.unique(g_line[hit], return_inverse=True)
-        column = i[hit]
-        enough = np.bincount(place, minlength=len(numbers)) >= 2
-        number, rows = numbers[enough], np.cumsum(enough) - 1
-        keep = enough[place]
-        place, column = rows[place[keep]], column[keep]
+        nothing = tuple(np.zeros(0, dtype=np.int64) for _ in range(4)) + (np.zeros(0),)
+        if not len(h):
+            return nothing
+        line = line + np.searchsorted(t.offsets, start, side="right")  # rows end blocks as well
+        block = np.cumsum(np.concatenate(([False], np.diff(line) > 1)))
+        cells, firsts, lasts = [], [], []
+        for n in (1, 2, 3):
+            g = h if n == 1 else tx.hash_windows(h, n)
+            at = np.flatnonzero(maybe[g & np.uint64(0xFFFF)] & (block[n - 1 :] == block[: len(g)]))
+            i = np.minimum(np.searchsorted(model.hashes, g[at]), width - 1)
+            hit = model.hashes[i] == g[at]
+            cells.append(i[hit])
+            firsts.append(line[at[hit]])
+            lasts.append(line[at[hit] + n - 1])
+        cells, firsts, lasts = map(np.concatenate, (cells, firsts, lasts))
+        order = np.argsort(firsts, kind="stable")
+        cells, firsts, lasts = cells[order], firsts[order], lasts[order]
+        of = paired[cells]
+        low, high = windows(line, firsts[of], lasts[of])
         found: list[tuple] = []
-        for a in range(0, len(number), 2048):
-            own = (place >= a) & (place < a + 2048)
-            x = np.zeros((min(2048, len(number) - a), width + 1))
-            x[place[own] - a, column[own]] = 1
+        for a in range(0, len(low), 2048):
+            lo, hi = low[a : a + 2048], high[a : a + 2048]
+            begin = np.searchsorted(firsts, lo)
+            size = np.searchsorted(firsts, hi, side="right") - begin
+            at, r = tx.ragged(begin, size), np.repeat(np.arange(len(lo)), size)
+            own = lasts[at] <= hi[r]
+            x = np.zeros((len(lo), width + 1))
+            x[r[own], cells[at[own]]] = 1
             x[:, -1] = 1
-            p = _softmax(x @ model.weights / model.temperature)
+            held = x @ share
+            shown = np.flatnonzero(held.max(axis=1) >= CONFIRM - 1e-9)
+            p = _softmax(x[shown] @ model.weights / model.temperature)
             best = p[:, :-1].argmax(axis=1)
-            for r in np.flatnonzero((p[np.arange(len(p)), best] >= model.least) & (p.argmax(axis=1) < len(FAMILIES))):
-                if max(x[r, cells].mean() for f, cells in model.templates if f == best[r]) >= CONFIRM:
-                    words = slice(*np.searchsorted(line, [number[a + r], number[a + r] + 1]))
-                    found.append((start[words][0], end[words][-1], best[r], p[r, best[r]]))
+            held = np.where(owner == best[:, None], held[shown], 0).max(axis=1)
+            chance = p[np.arange(len(p)), best]
+            for r in np.flatnonzero((chance >= model.least) & (p.argmax(axis=1) < len(FAMILIES)) & (held >= CONFIRM - 1e-9)):
+                found.append((-round(held[r], 9), hi[shown[r]] - lo[shown[r]], -chance[r], lo[shown[r]], hi[shown[r]], best[r]))
         if not found:
-            return tuple(np.zeros(0, dtype=np.int64) for _ in range(4)) + (np.zeros(0),)
-        s, e, f, p = map(np.array, zip(*found))
+            return nothing
+        taken: set[int] = set()
+        kept = []
+        for _, _, p, lo, hi, f in sorted(found):
+            if taken.isdisjoint(range(lo, hi + 1)):
+                taken.update(range(lo, hi + 1))
+                words = slice(*np.searchsorted(line, [lo, hi + 1]))
+                kept.append((start[words][0], end[words][-1], f, -p))
+        s, e, f, p = map(np.array, zip(*sorted(kept)))
         return np.searchsorted(t.offsets, s, side="right") - 1, s, e, f, p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

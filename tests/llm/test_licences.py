@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 import pytest
 
 from tarmac.llm import licences
@@ -52,3 +54,27 @@ def test_templates_are_their_own_family(model):
         x = licences._design(list(licences.TEMPLATES[family]), model.hashes)
         p = licences._softmax(x @ model.weights / model.temperature)
         assert (p.argmax(axis=1) == f).all() and (p[:, f] >= model.least).all()
+
+
+def test_wrapped_notices_are_seen_whole(spark):
+    rows = []
+    for family, texts in licences.TEMPLATES.items():
+        for text in texts:
+            for columns in (20, 40, 60, 80):
+                for mark in ("", "# ", " * "):
+                    for lead in ("", "Prose stands before this. ", "Some more words of plain prose stand in the line before this. "):
+                        lines = textwrap.wrap(lead + text, columns)
+                        rows.append((len(rows), "".join(mark + v + "\n" for v in ["Title", "", *lines, "", "Body of the text."]), family))
+    prose = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").selectExpr("-1L as doc_id", "text")
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").union(prose).repartition(4)
+    got = {r.doc_id: r.families for r in licences.families(df).collect()}
+    assert [(t, got[i]) for i, t, f in rows if got[i] != f] == []
+
+
+def test_windows_end_with_blocks_and_rows(spark):
+    head, tail = "Redistribution and use in source and binary forms, with or without", "modification, are permitted provided that the following conditions are met"
+    rows = [(1, head + "\n" + tail), (2, head), (3, tail), (4, head + "\n\n" + tail), (5, "prose\n" * 500 + head + "\n" + tail + "\nprose" * 500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r.notices for r in licences.scanned(df).collect()}
+    assert {i: [n.family for n in v] for i, v in got.items() if i != 4} == {1: ["bsd"], 2: [], 3: [], 5: ["bsd"]}
+    assert got[1][0].paragraph == got[5][0].paragraph == head + "\n" + tail
