@@ -15,8 +15,8 @@ repeated content.
 3. Paths are glued across buckets by a grouping on the source text, and joined
    with the texts; source coordinates give the covered words.
 
-Windows are identified by 112 bits (64 of the minimizer, 48 of the window),
-texts by 64 bits. Nothing is collected and nothing is capped; a bucket holds
+Windows are identified by 64 bits, into which the 64 of the minimizer and 48 of the
+window are folded; texts by 64 bits. Nothing is collected and nothing is capped; a bucket holds
 the windows of about 16 MB of text at any size of input.
 
 Cases: null text counts as no words and becomes empty; a text of fewer than
