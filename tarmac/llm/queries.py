@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, caps, licences, lm, minhash, packing, repeats, resample, rules, toxicity
+from tarmac.llm import bpe, caps, decreasing, licences, lm, minhash, packing, repair, repeats, resample, residues, rules, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, _table(spark, sf_dir, "labels")).select("doc_id", *toxicity.OUTPUTS)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return residues.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_first_fit_decreasing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decreasing.packed(docs, tokenizer_file("word_bpe_49k.json"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audited(repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_lm_scoring,
@@ -88,8 +103,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_license_scan,
         op10_toxicity,
+        op11_hard_negatives,
+        op12_first_fit_decreasing,
+        op13_conversation_repair,
     )}
 
 
+OP11_SQL = """
+with rows as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as q
+    from embeddings
+    where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+    select a.vec_id as anchor_id, r.vec_id as other_id, r.label = a.label as same,
+           cast(list_sum(list_transform(list_zip(a.q, r.q), lambda z: z[1] * z[2])) as bigint) as score
+    from rows a join rows r on r.vec_id <> a.vec_id and len(r.q) = len(a.q)
+    where a.vec_id % 100 = 0
+), positives as (
+    select anchor_id, other_id as positive_id, score as positive_score from pairs where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+)
+select p.anchor_id, p.positive_id, n.other_id as negative_id, p.positive_score, n.score as negative_score,
+       cast(row_number() over (partition by p.anchor_id, p.positive_id order by n.score desc, n.other_id) as int) as rank
+from positives p join pairs n on n.anchor_id = p.anchor_id and not n.same
+ and 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+qualify rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_hard_negatives": OP11_SQL}
