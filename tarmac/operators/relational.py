@@ -197,3 +197,17 @@ def unreached_from(nodes: DataFrame, node: str, edges: DataFrame, src: str, dst:
     )
     reached = edges.where(F.col(src) == F.lit(origin)).select(F.col(dst).alias(name)).distinct()
     return candidates.join(reached, name, "left_anti")
+
+
+def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
+    """SQL ``left EXCEPT right``: the distinct rows of ``left`` that ``right``
+    does not have, columns by position, NULL equal to NULL.
+
+    Both sides are tagged, united and aggregated once: equal rows collapse before
+    the one shuffle, however many there are."""
+    if len(left.columns) != len(right.columns):
+        raise ValueError(f"{len(left.columns)} columns against {len(right.columns)}")
+    names = [f"_c{i}" for i in range(len(left.columns))]
+    both = left.toDF(*names).withColumn("_right", F.lit(False)).unionByName(right.toDF(*names).withColumn("_right", F.lit(True)))
+    kept = both.groupBy(*names).agg(F.bool_or("_right").alias("_right")).where("not _right")
+    return kept.select(*names).toDF(*left.columns)

@@ -245,6 +245,26 @@ BODIES: dict[str, str] = {
         SELECT *, CAST(actual_departure AS DATE) AS actual_departure_date FROM flights_v""",
 }
 
+BODIES |= {
+    "rank_top_passengers": f"""
+        WITH per_passenger AS (SELECT t.passenger_id, count(*) AS legs FROM {_LEGS} GROUP BY t.passenger_id),
+             placed AS (SELECT rank() OVER (ORDER BY legs DESC) AS rank, passenger_id, legs FROM per_passenger)
+        SELECT * FROM placed WHERE rank <= 100""",
+    "theta_city_pairs": """
+        WITH cities AS (SELECT DISTINCT city FROM airports)
+        SELECT a.city AS c1, b.city AS c2 FROM cities a JOIN cities b ON a.city < b.city""",
+    "band_connecting_flights": """
+        SELECT a.flight_id AS first_flight, d.flight_id AS second_flight,
+               date_diff('second', a.actual_arrival, d.actual_departure) AS wait_seconds
+        FROM flights_v a JOIN flights_v d ON a.arrival_city = d.departure_city
+         AND d.actual_departure BETWEEN a.actual_arrival + INTERVAL 30 MINUTE AND a.actual_arrival + INTERVAL 240 MINUTE
+        WHERE a.status = 'Arrived' AND d.status IN ('Arrived', 'Departed')""",
+    "except_arrival_days": """
+        SELECT arrival_city, CAST(actual_arrival AS DATE) AS arrival_day FROM flights_v
+        EXCEPT
+        SELECT arrival_city, CAST(actual_arrival AS DATE) FROM flights_v WHERE status = 'Departed'""",
+}
+
 BODIES["append_answers"] = "\nUNION ALL\n".join(
     f"SELECT * FROM ({BODIES[k]}) u{i}" for i, k in enumerate(
         ("q01_max_people_per_booking", "q10_cities_multi_airport", "q01_max_people_per_booking")))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.plans import extract_load as el
 from tarmac.plans import questions as q
+from tarmac.plans import reports
 from tarmac.plans.mart import append_answer, build_results, run_mart
 from tarmac.session import storage_root
 from tarmac.sources.binding import from_star_schema
@@ -58,13 +59,21 @@ QUESTION_KEYS = (
 )
 
 
+REPORT_KEYS = (
+    "rank_top_passengers",
+    "theta_city_pairs",
+    "band_connecting_flights",
+    "except_arrival_days",
+)
+
+
 def bound_tables(spark: SparkSession, sf_dir: str) -> BookingTables:
     return from_star_schema(spark, sf_dir)
 
 
-def _question(name: str) -> Callable[[SparkSession, str], DataFrame]:
+def _question(name: str, module=q) -> Callable[[SparkSession, str], DataFrame]:
     """The query key ``name``: its question over the bound driver tables."""
-    fn = getattr(q, name)
+    fn = getattr(module, name)
     params = BOUND_PARAMS.get(name, {})
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: _question(name) for name in QUESTION_KEYS
     }
+    out |= {name: _question(name, reports) for name in REPORT_KEYS}
     out["el_copy_seats"] = el_copy_seats
     out["el_copy_flights_by_day"] = el_copy_flights_by_day
     out["append_answers"] = append_answers
