@@ -2,7 +2,8 @@
 
 ``copy_table`` is a plain overwrite copy; ``copy_by_day`` adds a DATE column
 derived from a timestamp and partitions the copy by it. Readers that filter
-on that column read only the matching day directories.
+on that column read only the matching day directories. ``sync_by_day`` keeps
+such a copy up to date by writing only the days that changed.
 
 The source is any DataFrame: a parallel JDBC read (``tarmac.sources.jdbc``)
 in production, or the bookings views in tests.
@@ -11,8 +12,11 @@ in production, or the bookings views in tests.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.functions import day
+from tarmac.plans.publish import publish, published
+from tarmac.session import ensure_checkpoint_dir, remove_folder
 from tarmac.sources.tables import DAY_PARTITION_COLUMN
 
 
@@ -41,3 +45,55 @@ def copy_by_day(spark: SparkSession, df: DataFrame, timestamp: str, table: str,
         .saveAsTable(table)
     )
     return spark.table(table)
+
+
+def day_fingerprints(dated: DataFrame, day_column: str = DAY_PARTITION_COLUMN) -> DataFrame:
+    """Per day: number of rows, and xor and sum of the rows' 64-bit hashes. NULLs
+    are hashed by place (a hash of values alone would skip them)."""
+    columns = [F.col(f"`{c}`") for c in sorted(dated.columns)]
+    rows = dated.select(day_column, F.xxhash64(*[c.isNull() for c in columns], *columns).alias("_h"))
+    return rows.groupBy(day_column).agg(
+        F.count(F.lit(1)).alias("n"), F.bit_xor("_h").alias("mixed"), F.sum(F.col("_h").cast("decimal(38,0)")).alias("total"))
+
+
+def changed_days(now: DataFrame, before: DataFrame, day_column: str = DAY_PARTITION_COLUMN) -> DataFrame:
+    """Days whose fingerprint differs: (day, ``gone`` if there are no rows now)."""
+    both = now.withColumn("_now", F.lit(True)).unionByName(before.withColumn("_now", F.lit(False)))
+    seen = both.groupBy(day_column).agg(
+        F.count_distinct(F.struct("n", "mixed", "total")).alias("states"), F.count(F.lit(1)).alias("times"), F.bool_or("_now").alias("_there"))
+    return seen.where("states > 1 or times = 1").select(day_column, (~F.col("_there")).alias("gone"))
+
+
+def sync_by_day(spark: SparkSession, df: DataFrame, timestamp: str, path: str,
+                day_column: str = DAY_PARTITION_COLUMN) -> DataFrame:
+    """Make the copy under ``path``, partitioned by the day of ``timestamp``,
+    equal to ``df`` by overwriting only the days that differ from the last time,
+    and return the copy.
+
+    The fingerprints of the copied days are published beside the copy
+    (``<path>_days``). Before anything is written, the changed days are taken out
+    of them, and put in again when all is stored: a run that dies on the way
+    leaves days without a fingerprint, which the next run writes again. Both
+    tables of days have a row per calendar day.
+    """
+    ensure_checkpoint_dir(spark)
+    path = path.rstrip("/")
+    marks = f"{path}_days"
+    dated = df.withColumn(day_column, day(timestamp))
+    now = day_fingerprints(dated, day_column).checkpoint()
+    before = published(spark, marks)
+    before = now.where("false") if before is None else before
+    changed = changed_days(now, before, day_column).checkpoint()
+    settled = before.join(changed, before[day_column].eqNullSafe(changed[day_column]), "left_anti")
+    publish(settled.checkpoint(), marks)
+    rows = dated.join(changed, dated[day_column].eqNullSafe(changed[day_column]), "left_semi")
+    (
+        rows.hint("rebalance", day_column).write.mode("overwrite").format("parquet")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(day_column).save(path)
+    )
+    # days that the source has no rows for any more: at most a row per calendar day
+    for row in changed.where("gone").collect():
+        name = "__HIVE_DEFAULT_PARTITION__" if row[day_column] is None else row[day_column].isoformat()
+        remove_folder(spark, f"{path}/{day_column}={name}")
+    publish(now, marks)
+    return spark.read.schema(dated.schema).parquet(path)

@@ -1,8 +1,9 @@
 """The results mart: every answer in one ``(id INT, response STRING)`` table.
 
-All answers are one ``unionByName`` plan written with a single overwrite,
-so a second run replaces the table instead of appending to it (idempotent);
-re-running after a failure converges to the same table. Task failures
+All answers are one ``unionByName`` plan written as a new version of the table
+(``tarmac.plans.publish``), so a second run replaces the table instead of
+appending to it (idempotent), readers see the old answers until all new ones
+are stored, and a run that dies leaves them in place. Task failures
 inside the write are retried by Spark's commit protocol. Shared sub-plans
 of the questions (the per-ticket leg aggregates, the flight views) appear
 once in the physical plan thanks to exchange reuse.
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tarmac.constants import RESULTS_TABLE
+from tarmac.plans.publish import publish
 from tarmac.plans.questions import CANONICAL, booking_facts, flight_facts, ticket_rows
-from tarmac.session import remove_folder, scratch_root
+from tarmac.session import remove_folder, scratch_root, storage_root
 from tarmac.sources.tables import BookingTables
 
 RESULTS_SCHEMA = StructType([
@@ -67,19 +69,22 @@ def stage_facts(spark: SparkSession, t: BookingTables, folder: str) -> BookingTa
 
 def write_results(df: DataFrame, table: str = RESULTS_TABLE, path: str | None = None,
                   mode: str = "overwrite") -> None:
-    """Write answers to the results table (external when ``path`` is given).
+    """Write answers to the results table.
 
-    ``overwrite`` replaces the table (the mart's single write); ``append``
-    adds rows, for running one question into an existing table. Columns are
-    cast to the table schema ``(id INT, response STRING)`` either way.
+    ``overwrite`` publishes a new version under ``path`` (by default in the
+    warehouse), so the table is never seen half replaced; ``append`` adds rows,
+    for running one question into an existing table. Columns are cast to the
+    table schema ``(id INT, response STRING)`` either way.
     """
     if mode not in ("overwrite", "append"):
         raise ValueError(f"mode must be overwrite or append, not {mode!r}")
     typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RESULTS_SCHEMA.fields])
-    writer = typed.write.mode(mode).format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    spark = df.sparkSession
+    root = path or f"{storage_root(spark)}/tarmac_tables/{table}"
+    if mode == "overwrite" or not spark.catalog.tableExists(table):
+        publish(typed, root, table)
+    else:
+        typed.write.mode("append").insertInto(table)
 
 
 def append_answer(spark: SparkSession, question, t: BookingTables, table: str = RESULTS_TABLE,

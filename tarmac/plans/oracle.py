@@ -245,6 +245,7 @@ BODIES: dict[str, str] = {
         SELECT *, CAST(actual_departure AS DATE) AS actual_departure_date FROM flights_v""",
 }
 
+BODIES["el_sync_flights_by_day"] = BODIES["el_copy_flights_by_day"]
 BODIES |= {
     "rank_top_passengers": f"""
         WITH per_passenger AS (SELECT t.passenger_id, count(*) AS legs FROM {_LEGS} GROUP BY t.passenger_id),

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tarmac.plans import extract_load as el
 from tarmac.plans import questions as q
@@ -117,6 +118,19 @@ def el_copy_flights_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return el.copy_by_day(spark, bound_tables(spark, sf_dir).flights_v, "actual_departure", *_target(spark, "flights_v"))
 
 
+def el_sync_flights_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of an older state (some days not there yet, some with other rows,
+    some gone since), brought up to date."""
+    flights = bound_tables(spark, sf_dir).flights_v
+    _, path = _target(spark, "flights_v_synced")
+    left = F.col("actual_departure")
+    week = F.coalesce(F.weekofyear(left), F.lit(0))
+    older = flights.where(week != 36).withColumn("status", F.when(week == 33, F.lit("Scheduled")).otherwise(F.col("status"))).withColumn(
+        "actual_departure", F.when(week == 34, F.timestamp_add("DAY", F.lit(400), left)).otherwise(left))
+    el.sync_by_day(spark, older, "actual_departure", path)
+    return el.sync_by_day(spark, flights, "actual_departure", path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: _question(name) for name in QUESTION_KEYS
@@ -124,6 +138,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out |= {name: _question(name, reports) for name in REPORT_KEYS}
     out["el_copy_seats"] = el_copy_seats
     out["el_copy_flights_by_day"] = el_copy_flights_by_day
+    out["el_sync_flights_by_day"] = el_sync_flights_by_day
     out["append_answers"] = append_answers
     out["mart_results"] = mart_results
     return out
