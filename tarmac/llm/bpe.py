@@ -7,7 +7,8 @@ and then none), and no look-ahead there sees anything but the same two
 characters, so parts can be encoded alone, however long the text is. Distinct
 parts of a slice are encoded once. Decoding joins the raw bytes of the ids.
 
-Both directions are one pass over the rows without a shuffle.
+Each direction, and both together (:func:`round_trip`), is one pass over the
+rows without a shuffle.
 
 Cases: null and empty text give no ids and decode to no bytes; an empty table
 gives an empty result; repeated rows are encoded alike; other columns pass
@@ -85,19 +86,38 @@ def _encode(ranks, pattern: str, text_at: int, names: list[str]):
     return run
 
 
+def decode_rows(ids: np.ndarray, bounds: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    """The raw bytes of each row's ids."""
+    body, off = table
+    ids = ids.astype(np.int64)
+    size = off[ids + 1] - off[ids]
+    total = np.concatenate(([0], np.cumsum(size)))[bounds]
+    raw = body[tx.ragged(off[ids], size)]
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(total.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
 def _decode(ranks, ids_at: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        body, off = tokens.byte_table(ranks.value)
+        table = tokens.byte_table(ranks.value)
         for batch in batches:
             for t in tx.slices(batch.column(ids_at)):
-                ids = np.ascontiguousarray(t.data).view("<u4").astype(np.int64)
-                size = off[ids + 1] - off[ids]
-                total = np.concatenate(([0], np.cumsum(size)))[t.offsets // 4]
-                raw = body[tx.ragged(off[ids], size)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(i).slice(t.start, t.stop - t.start) for i in range(batch.num_columns)]
-                    + [pa.Array.from_buffers(pa.binary(), t.stop - t.start, [None, pa.py_buffer(total.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])],
-                    names=names)
+                    + [decode_rows(np.ascontiguousarray(t.data).view("<u4"), t.offsets // 4, table)], names=names)
+
+    return run
+
+
+def _both_ways(ranks, pattern: str, text_at: int, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache = tokens.rank_cache(ranks.value, pattern)
+        table = tokens.byte_table(ranks.value)
+        for batch in batches:
+            for t in tx.slices(batch.column(text_at)):
+                ids, bounds = encode_rows(t, cache)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(i).slice(t.start, t.stop - t.start) for i in range(batch.num_columns) if i != text_at]
+                    + [pa.array(np.diff(bounds)), id_bytes(ids, bounds), decode_rows(ids, bounds, table)], names=names)
 
     return run
 
@@ -125,3 +145,15 @@ def decoded(df: DataFrame, rank_file: str) -> DataFrame:
     """``df`` with ``decoded``, the raw bytes of its ``ids``."""
     ranks = _content(df, rank_file)
     return _with(df, lambda at, names: _decode(ranks, at, names), "ids", StructField("decoded", BinaryType()))
+
+
+def round_trip(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
+    """``docs`` without its text, with ``n_tokens``, ``ids`` and ``decoded``: both
+    directions in one pass, so a task has one Python worker and neither texts
+    nor ids go there and back between two."""
+    prepared(docs)
+    ranks = _content(docs, rank_file)
+    made = [StructField("n_tokens", LongType()), StructField("ids", BinaryType()), StructField("decoded", BinaryType())]
+    keep = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in {f.name for f in made}])
+    schema = StructType([StructField(f.name, f.dataType, True) for f in keep.schema.fields if f.name != "text"] + made)
+    return keep.mapInArrow(_both_ways(ranks, pattern, keep.columns.index("text"), schema.names), schema)

@@ -37,7 +37,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken")
-    return bpe.decoded(bpe.encoded(docs, ranks, PATTERN), ranks).select(
+    return bpe.round_trip(docs, ranks, PATTERN).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

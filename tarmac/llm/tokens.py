@@ -19,7 +19,8 @@ import numpy as np
 
 from tarmac.llm import text as tx
 
-CACHED_PARTS = 1 << 20
+CACHED_PARTS = 1 << 18
+CACHED_IDS = 1 << 22     # ids of the cached parts together: 16 MB
 TOGETHER = 4096  # plain parts encoded in one call
 LONG_PART = 20_000
 # The characters of Unicode's White_Space property.
@@ -43,7 +44,7 @@ class PartCache:
     def lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Concatenated ids of the spans, and the number of ids of each."""
         keys, at, inverse = np.unique(h, return_index=True, return_inverse=True)
-        if len(self.keys) > CACHED_PARTS:
+        if len(self.keys) > CACHED_PARTS or len(self.ids) > CACHED_IDS:
             self._clear()
         place = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), dtype=bool)

@@ -51,6 +51,9 @@ def test_bpe_like_the_library_and_back(docs, encoding):
         ids = encoding.encode_ordinary(t or "")
         want.append((i or 0, len(ids), hashlib.sha256(np.array(ids, dtype="<u4").tobytes()).hexdigest(), (t or "").encode()))
     assert got == sorted(want)
+    both = bpe.round_trip(df, RANKS, vocabularies.PATTERN)
+    assert both.columns == ["doc_id", "n_tokens", "ids", "decoded"]
+    assert sorted((r.doc_id or 0, r.n_tokens, hashlib.sha256(r.ids).hexdigest(), bytes(r.decoded)) for r in both.collect()) == sorted(want)
 
 
 def test_white_space_beyond_the_librarys_stack(spark, encoding):
@@ -66,6 +69,7 @@ def test_white_space_beyond_the_librarys_stack(spark, encoding):
 
 def test_empty_table(no_docs):
     assert bpe.decoded(bpe.encoded(no_docs, RANKS, vocabularies.PATTERN), RANKS).count() == 0
+    assert bpe.round_trip(no_docs, RANKS, vocabularies.PATTERN).count() == 0
     assert packing.packed(packing.pieces(no_docs, WORDS)).count() == 0
 
 
