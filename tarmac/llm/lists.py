@@ -53,19 +53,24 @@ def groups(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.T
 
 
 def meets_before(names: list[np.ndarray], i: np.ndarray, j: np.ndarray, here: int) -> np.ndarray:
-    """Whether members i and j share a list with a name less than ``here``."""
+    """Whether members i and j share a list with a name less than ``here``: by
+    bits for the lists that at least two members have."""
     out = np.zeros(len(i), dtype=bool)
     if not len(i):
         return out
-    width = max(len(x) for x in names)
-    table = np.zeros((len(names), width), dtype=np.int64)
-    real = np.zeros((len(names), width), dtype=bool)
-    for r, x in enumerate(names):
-        x = x[x < here]
-        table[r, : len(x)] = x
-        real[r, : len(x)] = True
-    for at in range(0, len(i), 4096):
-        a, b = i[at : at + 4096], j[at : at + 4096]
-        for c in range(width):
-            out[at : at + 4096] |= ((table[a] == table[b][:, c : c + 1]) & real[a] & real[b][:, c : c + 1]).any(axis=1)
+    member = np.repeat(np.arange(len(names)), [len(x) for x in names])
+    lists_of, place, times = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)
+    shared = (lists_of < here) & (times > 1)
+    if not shared.any():
+        return out
+    column = np.cumsum(shared) - 1
+    keep = shared[place]
+    bits = np.zeros((len(names), int(shared.sum())), dtype=bool)
+    bits[member[keep], column[place[keep]]] = True
+    packed = np.packbits(bits, axis=1)
+    packed = np.pad(packed, ((0, 0), (0, -packed.shape[1] % 8))).view(np.uint64)
+    for at in range(0, len(i), 1 << 16):
+        a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+        for c in range(packed.shape[1]):
+            out[at : at + len(a)] |= (packed[a, c] & packed[b, c]) != 0
     return out

@@ -93,3 +93,33 @@ def test_threshold_in_bounded_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 200e6
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_dense_groups_are_counted_by_cluster(spark, monkeypatch, block):
+    """Most vectors lie near two centres, some at the edge of the linking angle."""
+    monkeypatch.setattr(caps, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(21)
+    centre = rng.standard_normal((3, 24))
+    near = [c + s * rng.standard_normal((n, 24)) for c, s, n in ((centre[0], 0.05, 150), (centre[0], 0.25, 60), (centre[1], 0.04, 90), (centre[2], 0.3, 60))]
+    x = np.concatenate([*near, rng.standard_normal((60, 24))]).astype(np.float32)
+    df = spark.createDataFrame([(i + 1, v.tolist(), "x") for i, v in enumerate(x)], SCHEMA).repartition(3)
+    want, got = brute(list(range(1, len(x) + 1)), list(x.astype(float))), result(df)
+    assert all(g[1] <= w[1] for g, w in zip(got, want))
+    assert sum(g[1] for g in got) >= 0.99 * sum(w[1] for w in want)
+    assert sum(w[1] for w in want) > 20_000
+
+
+def test_sure_links_reach_the_threshold():
+    for cosine in (0.95, 0.5, 0.999):
+        half = np.arccos(caps.sure_cosine(cosine))
+        assert np.cos(2 * half) > cosine
+
+
+def test_meets_before_like_sets():
+    rng = np.random.default_rng(2)
+    names = [np.unique(rng.integers(0, 300, rng.integers(0, 20))) for _ in range(80)]
+    i, j = np.triu_indices(80, 1)
+    for here in (0, 40, 299, 1000):
+        want = [bool({n for n in names[a] if n < here} & set(names[b].tolist())) for a, b in zip(i, j)]
+        assert caps.meets_before(names, i, j, here).tolist() == want
