@@ -40,6 +40,7 @@ from tarmac.llm.jobs import prepared, stored
 PREFIXES = (4, 5, 6)
 FEATURES = 4096
 LEAST_DOCS = 5       # documents of the sample that must have a feature
+GAP = 1e-2
 ROUNDS = 300
 RATE = 0.3
 RIDGE = 1e-4
@@ -106,18 +107,16 @@ def _values(row: np.ndarray, index: np.ndarray, width: int) -> tuple[np.ndarray,
 
 
 def _sparse(hashes: np.ndarray):
-    """Per document: its label and chosen features, as lists."""
+    """Per document: its label and chosen features (32-bit places and values), packed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maybe = _maybe(hashes)
         for batch in batches:
             for t in tx.slices(batch.column(0)):
                 row, index, value = _values(*_found(t, hashes, maybe), len(hashes))
-                off = np.searchsorted(row, np.arange(t.stop - t.start + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(1).slice(t.start, t.stop - t.start),
-                    pa.ListArray.from_arrays(off, pa.array(index.astype(np.int32))),
-                    pa.ListArray.from_arrays(off, pa.array(value)),
-                ], names=["y", "index", "value"])
+                off = pa.py_buffer(4 * np.searchsorted(row, np.arange(t.stop - t.start + 1)).astype(np.int32))
+                packed = [pa.Array.from_buffers(pa.binary(), t.stop - t.start, [None, off, pa.py_buffer(x)])
+                          for x in (index.astype("<i4"), value.astype("<f4"))]
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(t.start, t.stop - t.start), *packed], names=["y", "index", "value"])
 
     return run
 
@@ -126,26 +125,38 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
+def likelihood_slopes(z: np.ndarray, cuts: np.ndarray, grade: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slopes of each row's -log P(grade) by its score and by every threshold."""
+    n, at = len(z), np.arange(len(z))
+    reach = np.column_stack([np.ones(n), _sigmoid(z[:, None] - cuts), np.zeros(n)])  # P(grade >= 0, 1, ..)
+    low, high = reach[at, grade], reach[at, grade + 1]
+    chance = np.maximum(low - high, 1e-12)
+    steep = np.zeros((n, len(cuts) + 2))
+    steep[at, grade] = low * (1 - low) / chance
+    steep[at, grade + 1] -= high * (1 - high) / chance
+    return low + high - 1, steep[:, 1:-1]
+
+
 def fit_ordinal(row: np.ndarray, index: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int,
                 lowest: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
-    """Shared weights and ordered thresholds (``lowest`` or more) of a
-    proportional-odds model by gradient descent with momentum on the sum of its
-    binary log losses."""
+    """Shared weights and ordered thresholds (``lowest`` or more, at least
+    ``GAP`` apart) of a cumulative-link model, by gradient descent with momentum
+    on its negative log-likelihood: a grade's probability is the difference of
+    the two cumulative ones around it."""
     levels, n = int(grade.max()), len(grade)
-    y = grade[:, None] >= np.arange(1, levels + 1)
-    share = np.clip(y.mean(axis=0), 1e-3, 1 - 1e-3)
+    share = np.clip((grade[:, None] >= np.arange(1, levels + 1)).mean(axis=0), 1e-3, 1 - 1e-3)
     cuts = -np.log(share / (1 - share))
     w = np.zeros(width)
     scale = 1 / np.sqrt(np.bincount(index, value**2, width) / n + 1e-3)  # rare features learn as fast
     mw, mc = np.zeros(width), np.zeros(levels)
     for _ in range(ROUNDS):
         z = np.bincount(row, value * w[index], n)
-        err = _sigmoid(z[:, None] - cuts) - y
-        g = np.bincount(index, value * err.sum(axis=1)[row], width) / n + RIDGE * w
+        slope, steep = likelihood_slopes(z, cuts, grade)
+        g = np.bincount(index, value * slope[row], width) / n + RIDGE * w
         mw = 0.9 * mw - RATE * scale**2 * g
-        mc = 0.9 * mc + RATE * err.mean(axis=0)
+        mc = 0.9 * mc - RATE * steep.mean(axis=0)
         w += mw
-        cuts = np.maximum.accumulate(np.maximum(cuts + mc, lowest))
+        cuts = np.maximum.accumulate(np.maximum(cuts + mc, lowest) - GAP * np.arange(levels)) + GAP * np.arange(levels)
     return w, cuts
 
 
@@ -169,12 +180,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = samples.SAMPLE_ROWS) ->
     hashes = hashes[order]
     telling = ((top["odds"] > 3) & (top["told"] > 3)).to_numpy()[order]
 
-    x = sample.mapInArrow(_sparse(hashes), "y int, index array<int>, value array<double>").toPandas()
-    size = x["index"].map(len).to_numpy()
-    row = np.repeat(np.arange(len(x)), size)
-    index = np.concatenate([np.asarray(v, dtype=np.int64) for v in x["index"]])
-    value = np.concatenate([np.asarray(v, dtype=float) for v in x["value"]])
-    y = x["y"].to_numpy() > 0
+    x = sample.mapInArrow(_sparse(hashes), "y int, index binary, value binary").collect()
+    row = np.repeat(np.arange(len(x)), [len(r["index"]) // 4 for r in x])
+    index = np.frombuffer(b"".join(r["index"] for r in x), dtype="<i4")
+    value = np.frombuffer(b"".join(r["value"] for r in x), dtype="<f4").astype(float)
+    y = np.array([r.y for r in x]) > 0
     amount = np.bincount(row, np.where(telling[index], 2**value - 1, 0), len(x))
     grade = np.where(y, np.where(amount >= max(np.median(amount[y]), 2), 2, 1), 0)
     if not (grade == 2).any():

@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from tarmac.llm import components
+
+from .plain import groups
+
+
+def plain(links):
+    names = sorted({x for a, b in links if a is not None and b is not None and a != b for x in (a, b)})
+    at = {x: i for i, x in enumerate(names)}
+    root = groups(len(names), [(at[a], at[b]) for a, b in links if a in at and b in at and a != b])
+    return {x: names[r] for x, r in zip(names, root)}
+
+
+CASES = {
+    "none": [(1, None), (None, None), (5, 5)],
+    "chain": [(i, i + 1) for i in range(300)],
+    "chain of mixed names": [((i * 7919) % 1009, ((i + 1) * 7919) % 1009) for i in range(600)],
+    "star": [(7, i) for i in range(8, 500)],
+    "random": [(random.Random(i).randrange(400), random.Random(-i).randrange(400)) for i in range(350)],
+    "copies": [(3, 9), (9, 3), (3, 9), (2, 9), (-4, 2)] * 30,
+}
+
+
+@pytest.mark.parametrize("task_links", [40, 100_000])
+@pytest.mark.parametrize("case", CASES)
+def test_components_like_union_find(spark, monkeypatch, case, task_links):
+    monkeypatch.setattr(components, "TASK_LINKS", task_links)
+    links = spark.createDataFrame(CASES[case], "a long, b long").repartition(4)
+    rows = components.components(links).collect()
+    assert {r.id: r.root for r in rows} == plain(CASES[case])
+    assert len(rows) == len({r.id for r in rows})
+
+
+def test_forest_has_a_link_for_all_but_the_least():
+    rng = np.random.default_rng(1)
+    u, v = rng.integers(0, 200, 150), rng.integers(0, 200, 150)
+    node, root = components.forest(u, v)
+    want = plain(list(zip(u.tolist(), v.tolist())))
+    assert dict(zip(node.tolist(), root.tolist())) == {k: r for k, r in want.items() if k != r}

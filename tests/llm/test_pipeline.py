@@ -82,3 +82,38 @@ def test_empty_documents(spark, corpus, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_names_nulls_ties_and_repeated_rows(spark, corpus, tmp_path):
+    """User columns named like outputs come through every stage as they were."""
+    folder, rows = corpus
+    clash = ["toxic", "grade", "severity", "p_toxic", "n_words", "kept", "base_failed", "n_shingles", "component_id", "key", "text_key",
+             "n_removed", "_column_2", "a.b"]
+    more = [*rows, (None, rows[5][1]), (None, None), (rows[12][0], rows[12][1])]
+    docs = spark.createDataFrame([(i, t, *[f"{c} of {i}" for c in clash]) for i, t in more],
+                                 "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in clash))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.dtypes == docs.dtypes, name
+        path = f"{tmp_path}/{name}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        for r in docs.collect():
+            assert all(r[c] == f"{c} of {r.doc_id}" for c in clash), (name, r)
+    ids = [r.doc_id for r in docs.collect()]
+    assert len(ids) == len(set(ids)) and None not in ids  # copies of rows and of texts under null ids are gone
+
+
+def test_stage_folders_go(spark, corpus):
+    import os
+    from urllib.parse import urlparse
+
+    from tarmac.session import ensure_checkpoint_dir
+
+    folder, _ = corpus
+    top = urlparse(ensure_checkpoint_dir(spark)).path
+    before = {d for d in os.listdir(top) if d.startswith("corpus_pipeline_")}
+    out = corpus_pipeline.run(spark, folder)
+    mine, = {d for d in os.listdir(top) if d.startswith("corpus_pipeline_")} - before
+    assert os.listdir(f"{top}/{mine}") == ["substring_dedup"]
+    assert out.count() > 100
