@@ -4,8 +4,16 @@ packed into training sequences.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 writes each result as Parquet under the checkpoint folder and reads it again for
-the next stage. All but the last return the columns of ``documents``. Labels for
-the two learned stages come from ``labels`` in ``sf_dir``.
+the next stage; a result goes when the next one is written. All but the last
+return the columns of ``documents``. Labels for the two learned stages come from
+``labels`` in ``sf_dir``.
+
+Cases: null and empty texts are never toxic and go with the quality rules, as
+do all with fewer than 50 words; a null id is a document like others; of documents
+with equal or near texts the one with the least id stays (an id beats a null),
+and of repeated rows one; extra columns pass through whatever their names are,
+also those named like an operator's outputs; ``n_chars``, if there, follows the
+cut text; empty tables give an empty result.
 
 No stage can be stated in SQL (models are fitted, links are transitive), so
 ``ORACLE_SQL`` is None; ``tests/llm`` holds the pipeline against a plain version.
@@ -14,13 +22,14 @@ No stage can be stated in SQL (models are fitted, links are transitive), so
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.llm import minhash, packing, repeats, rules, toxicity
 from tarmac.llm.queries import tokenizer_file
-from tarmac.session import ensure_checkpoint_dir
+from tarmac.session import ensure_checkpoint_dir, remove_folder
 
 ORACLE_SQL = None
 
@@ -29,27 +38,32 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in like.columns])
+def _kept(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stage's rows with the columns of ``docs``. Columns other than the id
+    and text go through under names of their own, so that no operator's outputs
+    replace them."""
+    names = {c: c if c in ("doc_id", "text") else f"_column_{i}" for i, c in enumerate(docs.columns)}
+    out = stage(docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]))
+    return out.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(toxicity.scored(docs, _labels(spark, sf_dir)).where("not toxic"), docs)
+    return _kept(docs, lambda d: toxicity.scored(d, _labels(spark, sf_dir)).where("not toxic"))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(rules.judged(docs, _labels(spark, sf_dir)).where("kept"), docs)
+    return _kept(docs, lambda d: rules.judged(d, _labels(spark, sf_dir)).where("kept"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(minhash.deduplicated(docs), docs)
+    return _kept(docs, minhash.deduplicated)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = repeats.remove_repeats(docs)
+    cut = _kept(docs, repeats.remove_repeats)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return _columns(cut, docs)
+    return cut
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +83,11 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/corpus_pipeline_{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove_folder(spark, before)
+        before = f"{folder}/{name}"
     return STAGES[-1][1](spark, docs, sf_dir)
