@@ -24,7 +24,7 @@ from tarmac.plans import questions
 from tarmac.plans.extract_load import copy_by_day, copy_table
 from tarmac.plans.mart import run_mart
 from tarmac.session import apply_job_conf, storage_root
-from tarmac.sources.jdbc import JdbcSource, ModuloSplit, read_table, split_bounds
+from tarmac.sources.jdbc import JdbcSource, ModuloSplit, read_table, split_bounds, split_depths
 from tarmac.sources.tables import BookingTables, from_catalog, from_parquet
 
 
@@ -55,7 +55,7 @@ def run_extract_load(spark: SparkSession, source: JdbcSource, schema: str | None
                      target_db: str | None, target_root: str,
                      splits: dict[str, str] | None = None, partitions: int = 1,
                      copies: tuple[CopySpec, ...] = DEFAULT_COPIES,
-                     modulo: bool = False) -> dict[str, DataFrame]:
+                     modulo: bool = False, equi_depth: bool = False) -> dict[str, DataFrame]:
     apply_job_conf(spark)
     splits = splits or {}
     out = {}
@@ -65,7 +65,7 @@ def run_extract_load(spark: SparkSession, source: JdbcSource, schema: str | None
         if spec.source in splits and partitions > 1:
             column = splits[spec.source]
             split = (ModuloSplit(column, partitions) if modulo
-                     else split_bounds(spark, source, qualified, column, partitions))
+                     else (split_depths if equi_depth else split_bounds)(spark, source, qualified, column, partitions))
         df = read_table(spark, source, qualified, split)
         name = f"{target_db}.{spec.target}" if target_db else spec.target
         path = f"{target_root.rstrip('/')}/{spec.target}"
@@ -100,8 +100,11 @@ def _parse(argv=None):
     e.add_argument("--partitions", type=int, default=0, help="parallel reads of a split table (2 or more)")
     e.add_argument("--one-task", action="append", default=[], metavar="TABLE",
                    help="read this table in one task although it is large")
-    e.add_argument("--modulo", action="store_true",
-                   help="split integer keys by residue classes instead of range strides")
+    how = e.add_mutually_exclusive_group()
+    how.add_argument("--modulo", action="store_true",
+                     help="split integer keys by residue classes instead of range strides")
+    how.add_argument("--equi-depth", action="store_true",
+                     help="split integer keys into ranges of about equal row counts (asks for histograms)")
     args = p.parse_args(argv)
     if args.job == "extract-load":
         split = {s.split("=", 1)[0] for s in args.split}
@@ -146,7 +149,7 @@ def main(argv=None) -> None:
         source = JdbcSource(args.url, args.user, password, args.driver)
         splits = dict(s.split("=", 1) for s in args.split)
         run_extract_load(spark, source, args.schema, args.target_db, args.target_root, splits,
-                         max(1, args.partitions), modulo=args.modulo)
+                         max(1, args.partitions), modulo=args.modulo, equi_depth=args.equi_depth)
 
 
 if __name__ == "__main__":

@@ -70,8 +70,9 @@ def splittable(df: DataFrame, key: str, /, **aggregates: Column) -> DataFrame:
 
 
 def per_ticket(legs: DataFrame, /, **aggregates: Column) -> DataFrame:
-    """Aggregate the fact table per ticket before any dimension join."""
-    return legs.groupBy("ticket_no").agg(*[v.alias(k) for k, v in aggregates.items()])
+    """Aggregate the fact table per ticket before any dimension join; the result
+    is shuffled once more for the ticket join (see :func:`splittable`)."""
+    return splittable(legs, "ticket_no", **aggregates)
 
 
 def per_flight(legs: DataFrame, /, **aggregates: Column) -> DataFrame:
@@ -83,28 +84,21 @@ COPIES = "_copies"
 
 
 def with_ticket(tickets: DataFrame, ticket_values: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Attach per-ticket aggregates to ticket rows (inner join on ticket_no).
-
-    Rows are grouped by ticket_no, which identifies a ticket, into one row with
-    a ``_copies`` count: copies collapse map-side, and the grouping's shuffle
-    serves the join too, so ticket rows are shuffled once. Together with
-    :func:`roll_up`, which weights by ``_copies``, this is an exact rewrite of
+    """Attach per-ticket aggregates (of :func:`per_ticket`) to ticket rows, an
+    inner join on ticket_no: together with :func:`roll_up` an exact rewrite of
     ``SELECT keys, count/sum(..) FROM tickets JOIN legs GROUP BY keys``.
-    Rows that differ under one ticket_no raise an error.
+
+    Rows that repeat a ticket_no, equal or not, count each as in that flat join.
+    Ticket rows cross one shuffle, without a sort of their own or grouping; both
+    sides are plain shuffles, so AQE splits a ticket_no that many rows repeat.
     """
     cols = [c for c in dict.fromkeys(columns) if c != "ticket_no"]
-    row = F.struct(*cols)
-    one = tickets.where(F.col("ticket_no").isNotNull()).groupBy("ticket_no").agg(
-        F.count(F.lit(1)).alias(COPIES), F.min(row).alias("_least"), F.max(row).alias("_most"))
-    checked = F.when(F.col("_least").eqNullSafe(F.col("_most")), F.col("_least")).otherwise(
-        F.raise_error(F.concat(F.lit("rows differ under ticket_no "), F.col("ticket_no").cast("string"))))
-    rows = one.select("ticket_no", COPIES, checked.alias("_row")).select("ticket_no", COPIES, "_row.*")
-    return rows.join(ticket_values, "ticket_no")
+    return tickets.select("ticket_no", *cols).join(ticket_values, "ticket_no")
 
 
 def roll_up(rows: DataFrame, keys: Sequence[str], /, **sums: str) -> DataFrame:
     """Sum pre-aggregated columns up to ``keys`` (``name=column``), each
-    weighted by ``_copies`` when the rows carry it (see :func:`with_ticket`)."""
+    weighted by ``_copies`` when the rows carry it."""
     def term(c: str) -> Column:
         return F.col(c) * F.col(COPIES) if COPIES in rows.columns else F.col(c)
 

@@ -3,7 +3,8 @@
 ``copy_table`` is a plain overwrite copy; ``copy_by_day`` adds a DATE column
 derived from a timestamp and partitions the copy by it. Readers that filter
 on that column read only the matching day directories. ``sync_by_day`` keeps
-such a copy up to date by writing only the days that changed.
+such a copy up to date by writing only the days that changed. ``copy_bucketed``
+stores a table by a join key.
 
 The source is any DataFrame: a parallel JDBC read (``tarmac.sources.jdbc``)
 in production, or the bookings views in tests.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tarmac.functions import day
 from tarmac.plans.publish import publish, published
 from tarmac.session import ensure_checkpoint_dir, remove_folder
-from tarmac.sources.tables import DAY_PARTITION_COLUMN
+from tarmac.sources.tables import DAY_PARTITION_COLUMN, BookingTables
 
 
 def copy_table(spark: SparkSession, df: DataFrame, table: str, path: str) -> DataFrame:
@@ -47,6 +48,28 @@ def copy_by_day(spark: SparkSession, df: DataFrame, timestamp: str, table: str,
     return spark.table(table)
 
 
+BUCKETED = ("tickets", "ticket_flights")
+
+
+def copy_bucketed(spark: SparkSession, df: DataFrame, key: str, table: str, path: str, buckets: int | None = None) -> DataFrame:
+    """Overwrite ``table`` stored in ``buckets`` hash buckets of ``key`` (by default
+    as many as the session's shuffle partitions), sorted by it. Joins and aggregations on ``key`` between tables of as many buckets
+    read them without an exchange. A bucket's rows are gathered into few tasks and
+    files; AQE splits a bucket that holds a large share of all rows over several."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.hint("rebalance", key)
+    rows.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def bucketed_tables(spark: SparkSession, t: BookingTables, prefix: str, root: str, buckets: int | None = None) -> BookingTables:
+    """``t`` with ``tickets`` and ``ticket_flights`` read from copies bucketed by
+    ticket_no (tables ``prefix + name`` under ``root``)."""
+    copies = {name: copy_bucketed(spark, getattr(t, name), "ticket_no", prefix + name, f"{root.rstrip('/')}/{name}", buckets)
+              for name in BUCKETED}
+    return t.replace(**copies)
+
+
 def day_fingerprints(dated: DataFrame, day_column: str = DAY_PARTITION_COLUMN) -> DataFrame:
     """Per day: number of rows, and xor and sum of the rows' 64-bit hashes. NULLs
     are hashed by place (a hash of values alone would skip them)."""

@@ -246,6 +246,8 @@ BODIES: dict[str, str] = {
 }
 
 BODIES["el_sync_flights_by_day"] = BODIES["el_copy_flights_by_day"]
+BODIES["bucketed_airtime"] = BODIES["sql_airtime_passengers"] = BODIES["q09_max_airtime_passengers"]
+BODIES["interval_long_flights"] = BODIES["q21_top5_long_flight_cities"]
 BODIES |= {
     "rank_top_passengers": f"""
         WITH per_passenger AS (SELECT t.passenger_id, count(*) AS legs FROM {_LEGS} GROUP BY t.passenger_id),

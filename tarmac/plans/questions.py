@@ -141,8 +141,8 @@ def q04_contacts_bookings_of_three(t: BookingTables, size: int = K.Q04_BOOKING_S
 # Shared facts. The questions below read the fact table (ticket_flights)
 # only through two aggregates: per ticket (q05-q09) and per flight (q15,
 # q18). A question run alone computes them on the fly, pruned to the columns
-# it needs; the mart writes both once and every question reads the stored
-# copy (see tarmac.plans.mart.stage_facts).
+# it needs; the mart writes the totals of q05-q09 and the flight facts once and
+# every question reads the stored copy (see tarmac.plans.mart.stage_facts).
 
 PASSENGER = ["passenger_id", "passenger_name", "contact_data"]
 TICKET_COLUMNS = ["book_ref", "ticket_no", *PASSENGER]
@@ -184,17 +184,47 @@ def ticket_facts(t: BookingTables) -> DataFrame:
 
 
 def ticket_rows(t: BookingTables) -> DataFrame:
-    """Ticket rows with their per-ticket facts (shared by q05-q09); read
-    from the stored copy when a multi-question job has written one."""
-    if "ticket_rows" in t.derived:
-        return t.derived["ticket_rows"]
+    """Ticket rows with their per-ticket facts (shared by q05-q09)."""
     return with_ticket(t.tickets, ticket_facts(t), TICKET_COLUMNS)
 
 
+# The grouping sets of q05-q09, by name.
+TICKET_SETS = {
+    "booking": ["book_ref"],
+    "ticket": ["book_ref", "ticket_no"],
+    "passenger_id": ["passenger_id"],
+    "passenger": PASSENGER,
+}
+
+
+def ticket_totals(t: BookingTables) -> DataFrame:
+    """``legs``, ``spend`` and ``airtime`` summed for every grouping set of
+    q05-q09 at once (``GROUPING SETS``: the ticket rows are made and read once,
+    expanded and aggregated with one shuffle), with the set's name in ``set``."""
+    columns = list(dict.fromkeys(c for keys in TICKET_SETS.values() for c in keys))
+    sums = ticket_rows(t).groupingSets([[F.col(c) for c in keys] for keys in TICKET_SETS.values()], *[F.col(c) for c in columns]).agg(
+        F.grouping_id(*columns).alias("_set"), *[F.sum(c).alias(c) for c in ("legs", "spend", "airtime")])
+    name = F.lit(None).cast("string")
+    for n, keys in TICKET_SETS.items():  # a set's number has a bit for each column it leaves out, the first highest
+        number = sum(1 << i for i, c in enumerate(reversed(columns)) if c not in keys)
+        name = F.when(F.col("_set") == number, F.lit(n)).otherwise(name)
+    return sums.withColumn("set", name).drop("_set")
+
+
+def totals_by(t: BookingTables, name: str, /, **sums: str) -> DataFrame:
+    """The ticket facts summed up to the grouping set ``name``: read from the
+    totals of all sets when the mart has stored them."""
+    keys = TICKET_SETS[name]
+    if "ticket_totals" in t.derived:
+        rows = t.derived["ticket_totals"].where(F.col("set") == name)
+        return rows.select(*keys, *[F.col(c).alias(n) for n, c in sums.items()])
+    return roll_up(ticket_rows(t), keys, **sums)
+
+
 def passenger_totals(t: BookingTables) -> DataFrame:
     """Per passenger (id, name, contact): total ``spend`` and ``airtime``
     (q08 and q09; each keeps only the column it reads)."""
-    return roll_up(ticket_rows(t), PASSENGER, spend="spend", airtime="airtime")
+    return totals_by(t, "passenger", spend="spend", airtime="airtime")
 
 
 def flight_facts(t: BookingTables) -> DataFrame:
@@ -206,14 +236,14 @@ def flight_facts(t: BookingTables) -> DataFrame:
     return per_flight(t.ticket_flights, legs=F.count(F.lit(1)), revenue=F.sum("amount"))
 
 
-def _max_legs(t: BookingTables, keys: list[str], qid: int) -> DataFrame:
-    per_key = roll_up(ticket_rows(t), keys, n="legs")
+def _max_legs(t: BookingTables, name: str, qid: int) -> DataFrame:
+    per_key = totals_by(t, name, n="legs")
     return answer(top_value(per_key, "n", "max_n"), qid, "max_n")
 
 
 def q05_max_flights_per_booking(t: BookingTables) -> DataFrame:
     """Largest number of flight legs in one booking (legs of known flights)."""
-    return _max_legs(t, ["book_ref"], 5)
+    return _max_legs(t, "booking", 5)
 
 
 def q05_max_legs_no_flight_check(t: BookingTables) -> DataFrame:
@@ -225,12 +255,12 @@ def q05_max_legs_no_flight_check(t: BookingTables) -> DataFrame:
 
 def q06_max_flights_per_ticket(t: BookingTables) -> DataFrame:
     """Largest number of flight legs on one ticket of a booking."""
-    return _max_legs(t, ["book_ref", "ticket_no"], 6)
+    return _max_legs(t, "ticket", 6)
 
 
 def q07_max_flights_per_passenger(t: BookingTables) -> DataFrame:
     """Largest number of flight legs of one passenger."""
-    return _max_legs(t, ["passenger_id"], 7)
+    return _max_legs(t, "passenger_id", 7)
 
 
 def q08_min_spend_passengers(t: BookingTables) -> DataFrame:

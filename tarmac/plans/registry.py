@@ -131,6 +131,23 @@ def el_sync_flights_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return el.sync_by_day(spark, flights, "actual_departure", path)
 
 
+def bucketed_airtime(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q09 on copies of the tickets and their legs bucketed by ticket_no."""
+    table, path = _target(spark, "bucketed")
+    return q.q09_max_airtime_passengers(el.bucketed_tables(spark, bound_tables(spark, sf_dir), f"{table}_", path))
+
+
+def interval_long_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q21 on a flights view that gives an interval column, stored as such."""
+    t = bound_tables(spark, sf_dir)
+    copy = el.copy_table(spark, reports.with_duration(t.flights_v), *_target(spark, "durations"))
+    return reports.interval_long_flight_cities(t.replace(flights_v=copy))
+
+
+def sql_airtime_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.sql_airtime_passengers(spark, bound_tables(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: _question(name) for name in QUESTION_KEYS
@@ -139,6 +156,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["el_copy_seats"] = el_copy_seats
     out["el_copy_flights_by_day"] = el_copy_flights_by_day
     out["el_sync_flights_by_day"] = el_sync_flights_by_day
+    out["bucketed_airtime"] = bucketed_airtime
+    out["interval_long_flights"] = interval_long_flights
+    out["sql_airtime_passengers"] = sql_airtime_passengers
     out["append_answers"] = append_answers
     out["mart_results"] = mart_results
     return out

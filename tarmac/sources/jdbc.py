@@ -5,12 +5,16 @@ connection. Here a numeric (or date/timestamp) column splits the table into
 ``num_partitions`` range strides, one connection and one task each; rows
 outside [lower, upper] still land in the first/last stride, so nothing is lost.
 When values cluster (one dense range would make one huge stride), an integer
-key can instead be split by residue classes (:class:`ModuloSplit`).
+key can be split by a histogram of its values into ranges of about equal row
+counts (:class:`EquiDepthSplit`, which still can use an index), or by residue
+classes (:class:`ModuloSplit`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -82,11 +86,91 @@ class ModuloSplit:
         return preds + [f"{c} IS NULL"]
 
 
+@dataclass(frozen=True)
+class EquiDepthSplit:
+    """Split a JDBC read on ``column`` at ``bounds`` (in order): a task each for
+    the rows below the first, between two and from the last on, and for NULL keys."""
+
+    column: str
+    bounds: tuple[int, ...]
+
+    def predicates(self) -> list[str]:
+        c, b = self.column, self.bounds
+        if not b:
+            return [f"{c} IS NOT NULL", f"{c} IS NULL"]
+        between = [f"{c} >= {x} AND {c} < {y}" for x, y in zip(b, b[1:])]
+        return [f"{c} < {b[0]}", *between, f"{c} >= {b[-1]}", f"{c} IS NULL"]
+
+
+CELLS = 1000  # of one histogram query: the rows it returns to the driver
+
+
+class Cell(NamedTuple):
+    """``rows`` rows with keys from ``low`` to ``high``, both included."""
+
+    low: int
+    high: int
+    rows: int
+
+
+def equi_depth_bounds(count: Callable[[int, int, int], list[Cell]], low: int, high: int, parts: int,
+                      cells: int = CELLS) -> tuple[int, ...]:
+    """Bounds between ``parts`` ranges of about equal row counts.
+
+    ``count(low, high, cells)`` gives a histogram of the keys in equal steps. Cells
+    that hold more than a quarter of a part are counted again in finer steps until they
+    do not, or are a single key; so a part differs from its share by a quarter of
+    it at most, but for keys that hold more rows alone."""
+    if parts < 1:
+        raise ValueError("parts must be >= 1")
+    todo, done = sorted(c for c in count(low, high, cells) if c.rows), []
+    most = sum(c.rows for c in todo) / parts / 4
+    while todo:
+        cell = todo.pop()
+        if cell.rows > most and cell.high > cell.low:
+            todo += [c for c in count(cell.low, cell.high, cells) if c.rows]
+        else:
+            done.append(cell)
+    done.sort()
+    total, before, bounds = sum(c.rows for c in done), 0, []
+    for cell in done:  # a bound goes before the cell whose beginning is nearest to the next share
+        share = total * (len(bounds) + 1) / parts
+        if bounds and cell.low == bounds[-1]:
+            pass
+        elif before and len(bounds) < parts - 1 and abs(before - share) <= abs(before + cell.rows - share):
+            bounds.append(cell.low)
+        before += cell.rows
+    return tuple(bounds)
+
+
+def histogram_query(table: str, column: str, low: int, high: int, cells: int) -> tuple[str, int]:
+    """SQL that counts the keys of each step of the returned width."""
+    width = -(-(high - low + 1) // cells)
+    cell = f"FLOOR(({column} - ({low})) * 1.0 / {width})"
+    return f"SELECT {cell} AS cell, COUNT(*) AS n FROM {table} WHERE {column} >= {low} AND {column} <= {high} GROUP BY {cell}", width
+
+
+def split_depths(spark: SparkSession, source: JdbcSource, table: str, column: str,
+                 num_partitions: int) -> EquiDepthSplit | None:
+    """An :class:`EquiDepthSplit` of an integer ``column`` by histograms that the
+    database computes (``CELLS`` rows a query); None if it has no value."""
+    whole = split_bounds(spark, source, table, column, num_partitions)
+    if whole is None:
+        return None
+
+    def count(low: int, high: int, cells: int) -> list[Cell]:
+        query, width = histogram_query(table, column, low, high, cells)
+        found = spark.read.format("jdbc").options(**source.options()).option("query", query).load().collect()
+        return [Cell(low + int(cell) * width, min(high, low + (int(cell) + 1) * width - 1), int(n)) for cell, n in found]
+
+    return EquiDepthSplit(column, equi_depth_bounds(count, int(whole.lower), int(whole.upper), num_partitions))
+
+
 def read_table(spark: SparkSession, source: JdbcSource, table: str,
-               split: Split | ModuloSplit | None = None) -> DataFrame:
+               split: Split | ModuloSplit | EquiDepthSplit | None = None) -> DataFrame:
     """Lazy DataFrame over ``table``; filters and projections are pushed
     into the generated SELECT by Spark's JDBC source."""
-    if isinstance(split, ModuloSplit):
+    if isinstance(split, (ModuloSplit, EquiDepthSplit)):
         opts = source.options()
         url = opts.pop("url")
         return spark.read.jdbc(url, table, predicates=split.predicates(), properties=opts)

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field, fields
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DayTimeIntervalType
 
 from tarmac.functions import duration_seconds
 
@@ -85,6 +86,13 @@ class BookingTables:
                 names.append(prefix + name)
         return names
 
+    def register_functions(self, spark: SparkSession) -> list[str]:
+        """PostgreSQL's span functions for SQL over the views (see
+        :func:`tarmac.functions.sql.register`). Returns their names."""
+        from tarmac.functions.sql import register
+
+        return register(spark)
+
     def replace(self, **frames) -> "BookingTables":
         """A copy with some tables replaced. Stored derived tables are dropped
         (they may no longer match) unless ``derived`` is given explicitly."""
@@ -95,10 +103,12 @@ class BookingTables:
 
 
 def with_actual_arrival(flights_v: DataFrame) -> DataFrame:
-    """A view that gives ``actual_duration`` (``hh:mm:ss`` text) instead of
-    ``actual_arrival`` gets the arrival, counted from the departure."""
+    """A view that gives ``actual_duration`` (an interval, or ``hh:mm:ss`` text)
+    instead of ``actual_arrival`` gets the arrival, counted from the departure."""
     if "actual_arrival" in flights_v.columns or not {"actual_duration", "actual_departure"} <= set(flights_v.columns):
         return flights_v
+    if isinstance(flights_v.schema["actual_duration"].dataType, DayTimeIntervalType):
+        return flights_v.withColumn("actual_arrival", F.col("actual_departure") + F.col("actual_duration"))
     return flights_v.withColumn(
         "actual_arrival", F.timestamp_add("SECOND", duration_seconds("actual_duration"), F.col("actual_departure")))
 
