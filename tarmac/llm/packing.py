@@ -3,8 +3,9 @@
 Documents become ids and pieces of at most ``LENGTH``
 ids; only longer documents are cut. The tokenizer drops white space, folds case
 and merges letters, digits and other characters apart, so words, and runs of
-one kind in plain words, are encoded alone and once. Pieces, without their ids, are dealt by a
-hash to tasks of about ``TASK_PIECES`` pieces each, and each task packs its own
+one kind in plain words, are encoded alone and once. Pieces, without their ids, are numbered and
+dealt by a hash of the number (equal rows are spread like others) to tasks of
+about ``TASK_PIECES`` pieces each, and each task packs its own
 by bounded-space best fit: up to ``OPEN_BINS`` open bins, found through a bitset
 keyed by free space (the lowest set bit at or above the piece's length is the
 best fit); when there are too many, the fullest closes first. Pieces come
@@ -116,7 +117,8 @@ def _pack(capacity: int, open_bins: int, length_at: int, order_by: list[int], na
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        table = table.sort_by([(table.column_names[length_at], "descending")] + [(table.column_names[i], "ascending") for i in order_by]).combine_chunks()
+        order = [(table.column_names[length_at], "descending"), *((table.column_names[i], "ascending") for i in order_by)]
+        table = table.sort_by(order).drop_columns([table.column_names[-1]]).combine_chunks()
         bins, offsets = best_fit(table.column(length_at).to_pylist(), capacity, open_bins)
         first = TaskContext.get().partitionId() << 32
         out = [*table.columns, pa.array(bins, type=pa.int64()), pa.array(offsets, type=pa.int64())]
@@ -132,8 +134,9 @@ def packed(parts: DataFrame, length: int = LENGTH, open_bins: int = OPEN_BINS) -
     prepared(parts)
     rows = stored(parts.select(*[F.col(f"`{c}`") for c in parts.columns if c not in ("sequence_id", "offset")]))
     tasks = max(1, -(-rows.count() // TASK_PIECES))
-    dealt = rows.repartition(tasks, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
+    # stored rows keep their order, so a number stays the same when a task runs again
+    dealt = rows.withColumn("_number", F.monotonically_increasing_id()).repartition(tasks, "_number")
     schema = StructType([StructField(f.name, f.dataType, True) for f in rows.schema.fields]
                         + [StructField("sequence_id", LongType()), StructField("offset", LongType())])
-    order = [rows.columns.index("doc_id"), rows.columns.index("piece")]
+    order = [rows.columns.index("doc_id"), rows.columns.index("piece"), len(rows.columns)]
     return dealt.mapInArrow(_pack(length, open_bins, rows.columns.index("length"), order, schema.names), schema)

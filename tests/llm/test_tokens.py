@@ -107,3 +107,24 @@ def test_best_fit_with_few_open_bins_closes_the_fullest():
     # 50 opens a third bin, so the bin with 70 closes and 30 must go elsewhere
     assert bins == [0, 1, 2, 0, 2]
     assert offsets == [0, 0, 0, 60, 50]
+
+
+def test_equal_rows_are_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "TASK_PIECES", 100)
+    rows = [(7, 0, 0, 40)] * 400 + [(i, 0, 0, 1 + i % 90) for i in range(1000, 1800)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long").repartition(3)
+    got = packing.packed(df, 256).collect()
+    assert len(got) == len(rows)
+    tasks = defaultdict(int)
+    for r in got:
+        tasks[r.sequence_id >> 32] += 1
+    assert len(tasks) >= 10 and max(tasks.values()) < 170
+    bins = defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for parts in bins.values():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at <= 256
