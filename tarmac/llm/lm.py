@@ -1,35 +1,36 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counts of all words and bigrams are gathered over all training texts (combined in
-tasks, dealt to buckets by hash, summed and kept there, packed). An n-gram goes
-into the filter if it occurs at least ``threshold`` times, a fixed share of the
-bytes of text, so at most 1 / (2 * EPSILON) n-grams of each order can, however
-large the corpus is; the threshold decides only what is broadcast. Counts are
-quantised to levels: every count while they are small, then steps by ``STEP``.
-The filter holds a key for each level up to the n-gram's, so reading a count means
-probing level 1, 2, ... until a probe fails. Levels get rarer by ``STEP``, which
-bounds the keys as well; the filter has ``BITS_PER_KEY`` bits for each and is
-broadcast with the table of frequent words (at least ``threshold`` occurrences, so
-bounded the same way).
+Texts become *chunks* of about ``CHUNK_TOKENS`` tokens: distinct words, the
+numbers of the tokens' words, and the texts' bounds, written once. A chunk asks
+for each of its distinct words and bigrams once, in the bucket that the key's
+hash names; what it asks with, an eight-byte key and its own training count, is what the
+bucket counts, so counting and asking are one shuffle, and the answers go back in
+the order of the keys.
+
+Bigram counts are quantised to levels: every count while they are small, then
+steps by ``STEP``. A Bloom filter holds a key for each level up to the n-gram's, so
+reading a count means probing level after level until a probe fails. Bigrams with at
+least ``threshold`` occurrences, a fixed share of the bytes of text, so at most 1 / (2 *
+EPSILON) however large the corpus is, are in the filter that is broadcast to the
+workers; all others are in filter segments, one for each bucket, which answers
+with levels read by the same probes. Levels do not depend on where a count is
+held, so the threshold decides what is broadcast and, but for false positives (about
+0.1 % of absent n-grams), no score.
 
 Bigram probabilities are interpolated with absolute discounting:
 
     P(w | h) = max(c(hw) - DISCOUNT, 0) / c(h) + left(h) * P(w)
     P(w)     = (1 - u) * c(w) / N,  u for an unknown word
 
-left(h) is what all bigrams of h leave over, summed in Spark by the 32-bit half of
-h that a bigram's key holds; u is the share of words seen once (Good-Turing), the
-probability of the event that the next word is an unknown one. Counts that no
-broadcast may hold are exact: tokens with a word that is not frequent join the
-word table (each word of them rare, so no key is hot), and every bigram that the
-filter does not hold is asked for in the bucket that counted it. A text asks for
-each of its bigrams once, copies of a text in a task ask once.
+c(hw) is the count that a bigram's level stands for, held to c(h) and c(w), which
+are exact. left(h) is what all bigrams of h leave over, summed by the 32-bit half
+of h that a bigram's key holds; u is the share of words seen once (Good-Turing),
+the probability of the event that the next word is an unknown one. The model sees
+each text through words and one end token, the first word after a start that is
+not counted.
 
-The model sees each text through words and one end token, the first word after
-a start that is not counted.
-
-False positives of the filter (about 0.1 %) can only raise a count to the
-lowest levels; a bigram's count is also held to those of its words.
+Buckets grow in number with the text. A key comes to its bucket once a chunk, so
+a word or bigram that makes up a third of all tokens is as cheap as others.
 
 Cases: null text is empty and has the end token alone; a null doc_id counts as
 empty text for the split; an empty table gives an empty result; without training
@@ -39,6 +40,7 @@ columns are not carried.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -46,172 +48,53 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
 from tarmac.llm import text as tx
 from tarmac.llm.jobs import bucket_count, prepared, stored, text_bytes
+from tarmac.session import ensure_checkpoint_dir, remove_folder
 
-EPSILON = 2.0**-25      # least count of an n-gram in the filter, by bytes of text
+EPSILON = 2.0**-23      # least count of a bigram in the broadcast filter, by bytes of text
 STEP = 1.25
 DISCOUNT = 0.75
 BITS_PER_KEY = 16
 PROBES = 6
-SEGMENT_BITS = 1 << 20  # an n-gram's probes stay in one segment
-FLUSH_TOKENS = 1 << 21
-RARE_BYTES = 32         # of a token in a text's list of those with a rare word
+SEGMENT_BITS = 1 << 20  # of the broadcast filter; an n-gram's probes stay in one segment
+CHUNK_TOKENS = 1 << 21
+BROADCAST = 255         # answer for a bigram that the broadcast filter holds
 FOLDS, HELD_OUT = 7, 2
 
 START = np.uint64(0x5BF03635D1E2A7C9)
 END = np.uint64(0xA24BAED4963EE407)
 _HIGH = np.uint64(0xFFFFFFFF00000000)
-_WORD_SALT, _PAIR_SALT = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x6A09E667F3BCC908)
 
-_MAPPED = pa.schema([("bucket", pa.int32()), ("payload", pa.binary())])
+_ASKED = "chunk long, bucket int, payload binary"
+_PAIRS, _WORDS, _HISTORIES, _FREQUENT, _TOTALS = range(5)  # kinds of rows that buckets put out
 
 
-def levels(threshold: int, most: int) -> np.ndarray:
-    """Least count of each level."""
-    out = [threshold]
-    while out[-1] <= most:
+def levels() -> np.ndarray:
+    """Least count of each level, up to the greatest that can occur; fewer than ``BROADCAST``."""
+    out = [1]
+    while out[-1] < 1 << 61:
         out.append(max(out[-1] + 1, int(np.ceil(out[-1] * STEP))))
-    return np.array(out[:-1] or [threshold], dtype=np.int64)
-
-
-def level_values(least: np.ndarray) -> np.ndarray:
-    """The count a level stands for: the middle of its counts, by ratio."""
-    above = np.append(least[1:], max(least[-1] + 1, np.ceil(least[-1] * STEP))) - 1
-    return np.sqrt(least * above.astype(float))
-
-
-def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return (first & _HIGH) | (second >> np.uint64(32))
-
-
-def tokens_of(t: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all tokens (words and one end for each row), and their bounds."""
-    w = tx.words_of(t, lower=True)
-    h = np.insert(w.hash, w.first[1:], END)
-    return h, w.first + np.arange(len(w.first))
+    return np.array(out, dtype=np.int64)
 
 
-def histories(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    out = np.empty_like(h)
-    out[1:] = h[:-1]
-    out[first[:-1]] = START
-    return out
-
+LEVELS = levels()
 
-def _count(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, ...]] = []
-        size = 0
-        for batch in batches:
-            train = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for t in tx.slices(batch.column(0)):
-                h, first = tokens_of(t)
-                own = np.repeat(train[t.start : t.stop], np.diff(first))
-                parts.append((h, own.astype(np.int64), pair_keys(histories(h, first), h)[own]))
-                size += len(h)
-                if size >= FLUSH_TOKENS:
-                    yield _emit(parts, buckets)
-                    parts, size = [], 0
-        if parts:
-            yield _emit(parts, buckets)
 
-    return run
+def level_values() -> np.ndarray:
+    """The count a level stands for, from level 0 (none): the middle of its counts, by ratio."""
+    above = np.append(LEVELS[1:], np.ceil(LEVELS[-1] * STEP)) - 1
+    return np.append(0.0, np.sqrt(LEVELS * above.astype(float)))
 
 
-def _emit(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
-    h, own, pairs = (np.concatenate(x) for x in zip(*parts))
-    words, n, total = tx.count_pairs(h, own, np.ones(len(h), dtype=np.int64))
-    pairs, m = tx.count_pairs(tx.mix(pairs), np.ones(len(pairs), dtype=np.int64))  # mixed: evenly dealt
-    many = m > 1
-    once, pairs, m = pairs[~many], pairs[many], m[many]
-    edges = np.arange(buckets + 1)
-    cuts = [np.searchsorted(tx.bucket_of(k, buckets), edges) for k in (words, once, pairs)]
-    ids, payloads = [], []
-    for b in range(buckets):
-        (a, z), (c, d), (e, f) = ((x[b], x[b + 1]) for x in cuts)
-        if z > a or d > c or f > e:
-            ids.append(b)
-            payloads.append(b"".join(x.tobytes() for x in (
-                np.array([z - a, d - c, f - e], dtype=np.int64),
-                words[a:z], n[a:z].astype(np.uint32), total[a:z].astype(np.uint32),
-                once[c:d], pairs[e:f], m[e:f].astype(np.uint32))))
-    return tx.rows(_MAPPED, (ids, payloads))
-
-
-def _summed(table: pa.Table) -> pa.Table:
-    """A bucket's counts, packed: all words, and all bigrams by their mixed keys."""
-    got: list[list[np.ndarray]] = [[] for _ in range(6)]
-    for payload in table.column("payload").to_pylist():
-        a, b, c = np.frombuffer(payload, dtype=np.int64, count=3)
-        at = 24
-        for store, kind, count in zip(got, (np.uint64, np.uint32, np.uint32, np.uint64, np.uint64, np.uint32), (a, a, a, b, c, c)):
-            store.append(np.frombuffer(payload, dtype=kind, count=count, offset=at))
-            at += count * np.dtype(kind).itemsize
-    words, n, total, once, pairs, m = (np.concatenate(x) for x in got)
-    words, n, total = tx.count_pairs(words, n.astype(np.int64), total.astype(np.int64))
-    pairs, m = tx.count_pairs(np.concatenate((once, pairs)), np.concatenate((np.ones(len(once), dtype=np.int64), m.astype(np.int64))))
-    many = m > 1
-    return pa.table({
-        "bucket": table.column("bucket").slice(0, 1),
-        "words": pa.array([b"".join(x.tobytes() for x in (words, n, total))], type=pa.binary()),
-        "pairs": pa.array([b"".join(x.tobytes() for x in (np.array([many.sum()]), m[many], pairs[many], pairs[~many]))], type=pa.binary())})
-
-
-def _words_in(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    words, n, total = np.frombuffer(body, dtype=np.int64).reshape(3, -1)
-    return words.view(np.uint64), n, total
-
-
-def _pairs_in(body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Mixed keys of bigrams seen more than once, their counts, and the keys of the others."""
-    many = int(np.frombuffer(body, dtype=np.int64, count=1)[0])
-    x = np.frombuffer(body, dtype=np.int64, offset=8)
-    return x[many : 2 * many].view(np.uint64), x[:many], x[2 * many :].view(np.uint64)
-
-
-def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for body in batch.column(0).to_pylist():
-            words, n, total = _words_in(body)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n), pa.array(total)], names=["key", "n", "total"])
+def level_of(count: np.ndarray) -> np.ndarray:
+    return np.searchsorted(LEVELS, count, side="right")
 
 
-def _frequent(threshold: int):
-    """(pair, key, n) of the n-grams that go into the filter."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key, n, _ = _words_in(words)
-                many, m, once = _pairs_in(pairs)
-                many, m = np.concatenate((many, once)), np.concatenate((m, np.ones(len(once), dtype=np.int64)))
-                key, n, many, m = key[n >= threshold], n[n >= threshold], many[m >= threshold], m[m >= threshold]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(len(key) + len(many)) >= len(key)),
-                    pa.array(np.concatenate((key, unmix(many))).view(np.int64)), pa.array(np.concatenate((n, m)))], names=["pair", "key", "n"])
-
-    return run
-
-
-def _taken(least: np.ndarray):
-    """(history, n, taken): occurrences of words, and what all bigrams take, by history."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values = level_values(least)
-        for batch in batches:
-            for words, pairs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key, n, _ = _words_in(words)
-                many, m, once = _pairs_in(pairs)
-                level = np.searchsorted(least, m, side="right")
-                single = values[0] if least[0] == 1 else 1.0
-                taken = np.concatenate((np.where(level > 0, values[level - 1], m), np.full(len(once), single)))
-                history = np.concatenate((key, unmix(many), unmix(once))) >> np.uint64(32)
-                history, n, taken = tx.count_pairs(history, np.append(n, np.zeros(len(taken), dtype=np.int64)),
-                                                   np.append(np.zeros(len(n)), np.maximum(taken - DISCOUNT, 0)))
-                yield pa.RecordBatch.from_arrays([pa.array(history.view(np.int64)), pa.array(n), pa.array(taken)], names=["history", "n", "taken"])
-
-    return run
+def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return (first & _HIGH) | (second >> np.uint64(32))
 
 
 def unmix(x: np.ndarray) -> np.ndarray:
@@ -227,389 +110,371 @@ def unmix(x: np.ndarray) -> np.ndarray:
     return back(x, 30)
 
 
-class Model(NamedTuple):
-    threshold: int
-    tokens: int                 # N
-    types: int                  # V
-    unknown: float              # u
-    least: np.ndarray           # least count of each level
-    keys: np.ndarray            # frequent words, in order
-    counts: np.ndarray          # their training counts
-    left: np.ndarray            # left(h)
-    filter: np.ndarray          # bytes of all segments
-    segments: int
-
-
-def _positions(keys: np.ndarray, level: np.ndarray, segments: int) -> np.ndarray:
-    """Probes x keys: bit numbers in the filter."""
-    home = tx.bucket_of(tx.mix(keys), segments).astype(np.int64) * SEGMENT_BITS
-    out = []
-    x = tx.mix(keys ^ (level.astype(np.uint64) * np.uint64(tx.WORD_BASE)))
-    for i in range(PROBES):
-        if i and i % 3 == 0:
-            x = tx.mix(x + np.uint64(tx.BYTE_BASE))
-        out.append(home + ((x >> np.uint64(20 * (i % 3))) & np.uint64(SEGMENT_BITS - 1)).astype(np.int64))
-    return np.stack(out)
-
-
-def probe(filter: np.ndarray, segments: int, keys: np.ndarray, most: int) -> np.ndarray:
-    """Level of each key: probes level 1, 2, ... until one fails."""
-    out = np.zeros(len(keys), dtype=np.int64)
-    live = np.arange(len(keys))
-    for level in range(1, most + 1):
-        at = _positions(keys[live], np.full(len(live), level), segments)
-        held = ((filter[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
-        live = live[held]
-        if not len(live):
-            break
+# ------------------------------------------------------------------ the filter
+
+def _positions(keys: np.ndarray, level, segments: int, bits: int) -> Iterator[np.ndarray]:
+    """Bit numbers of each probe, in ``segments`` segments of ``bits`` bits."""
+    home = tx.bucket_of(tx.mix(keys), segments).astype(np.uint64) * np.uint64(bits)
+    x = tx.mix(keys ^ (np.asarray(level, dtype=np.uint64) * np.uint64(tx.WORD_BASE)))
+    at, step = x >> np.uint64(32), x | np.uint64(1)
+    for _ in range(PROBES):
+        yield home + ((at & np.uint64(0xFFFFFFFF)) * np.uint64(bits) >> np.uint64(32))
+        at = at + step
+
+
+def filled(keys: np.ndarray, low: int, high: np.ndarray, segments: int, bits: int) -> np.ndarray:
+    """The bits that hold, for each key, its levels from ``low`` to ``high``."""
+    held = np.zeros(segments * bits, dtype=bool)
+    live = high >= low
+    keys, high, level = keys[live], high[live], low
+    while len(keys):
+        for at in _positions(keys, level, segments, bits):
+            held[at] = True
+        level += 1
+        keys, high = keys[high >= level], high[high >= level]
+    return held
+
+
+def probe(held: np.ndarray, low: int, keys: np.ndarray, segments: int, bits: int) -> np.ndarray:
+    """Level of each key: probes level ``low`` and on until one fails (``low`` - 1 if the first does)."""
+    out = np.full(len(keys), low - 1, dtype=np.int64)
+    live, level = np.arange(len(keys)), low
+    while len(live):
+        found = np.ones(len(live), dtype=bool)
+        for at in _positions(keys[live], level, segments, bits):
+            found &= held[at]
+        live = live[found]
         out[live] = level
+        level += 1
     return out
 
 
-def filter_keys(pair: np.ndarray, key: np.ndarray) -> np.ndarray:
-    return tx.mix(key ^ np.where(pair, _PAIR_SALT, _WORD_SALT))
+# ------------------------------------------------------------------ chunks
+
+def tokens_of(t: tx.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens (words and one end for each row), and their number by row."""
+    w = tx.words_of(t, lower=True)
+    return np.insert(w.hash, w.first[1:], END), np.diff(w.first) + 1
+
+
+def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each chunk: ids, held_out, tokens by row, distinct words, words of the tokens."""
+    parts: list[tuple] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        ids, held, hashes, sizes = zip(*parts)
+        types, of_token = np.unique(np.concatenate([*hashes, [START]]), return_inverse=True)
+        rows = pa.array([0, sum(map(len, ids))], type=pa.int32())
+        return pa.RecordBatch.from_arrays([
+            pa.ListArray.from_arrays(rows, pa.concat_arrays(ids)), pa.ListArray.from_arrays(rows, pa.concat_arrays(held)),
+            *(pa.array([x.tobytes()], type=pa.binary()) for x in (np.concatenate(sizes).astype(np.uint32), types, of_token[:-1].astype(np.uint32))),
+        ], names=["ids", "held_out", "sizes", "types", "tokens"])
+
+    for batch in batches:
+        for t in tx.slices(batch.column(2)):
+            h, n = tokens_of(t)
+            parts.append((batch.column(0).slice(t.start, t.stop - t.start), batch.column(1).slice(t.start, t.stop - t.start), h, n))
+            size += len(h)
+            if size >= CHUNK_TOKENS:
+                yield flush()
+                parts, size = [], 0
+    if parts:
+        yield flush()
+
+
+class Chunk(NamedTuple):
+    row: np.ndarray      # of each token
+    rows: int
+    train: np.ndarray    # by token
+    types: np.ndarray    # distinct word hashes, in order, the start among them
+    of_token: np.ndarray
+    start: int           # its place among the types
+    trained: int         # training rows
+
+
+def _chunk(held_out, sizes, types, tokens) -> Chunk:
+    held = held_out.values.to_numpy(zero_copy_only=False).astype(bool)
+    sizes, types, tokens = (np.frombuffer(x.as_buffer(), dtype=k) for x, k in ((sizes, np.uint32), (types, np.uint64), (tokens, np.uint32)))
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    return Chunk(row, len(sizes), ~held[row], types, tokens.astype(np.int64), int(np.searchsorted(types, START)), int((~held).sum()))
 
 
-def _levelled(least: np.ndarray):
-    """(key, level) of frequent n-grams, by their key in the filter."""
+def _pairs_of(c: Chunk) -> tuple[np.ndarray, ...]:
+    """History and word of each distinct bigram (places among the types), their
+    mixed keys, the bigrams in the order of the keys, and the bigram of each token."""
+    before = np.empty_like(c.of_token)
+    before[1:] = c.of_token[:-1]
+    before[np.flatnonzero(np.concatenate(([True], c.row[1:] != c.row[:-1])))] = c.start
+    code, of_token = np.unique(before * len(c.types) + c.of_token, return_inverse=True)
+    a, b = code // len(c.types), code % len(c.types)
+    keys = tx.mix(pair_keys(c.types[a], c.types[b]))
+    return a, b, keys, np.argsort(keys, kind="stable"), of_token
+
+
+def _asks(chunk: int, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket: the keys, sorted, and their training counts in the chunk."""
+    numbers, cuts = tx.cut_by_bucket(keys, buckets)
+    few = np.minimum(counts, 255).astype(np.uint8)
+    payloads = []
+    for x, y in zip(cuts[:-1], cuts[1:]):
+        many = x + np.flatnonzero(few[x:y] == 255)  # their counts follow in full
+        payloads.append(b"".join((np.int64(y - x).tobytes(), keys[x:y].tobytes(), few[x:y].tobytes(), counts[many].astype(np.int64).tobytes())))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(len(numbers), chunk, dtype=np.int64)), pa.array(numbers), pa.array(payloads, type=pa.binary())], names=["chunk", "bucket", "payload"])
+
+
+def _asked(payloads: pa.ChunkedArray) -> tuple[list[np.ndarray], np.ndarray]:
+    """Keys of each payload, and the counts of all of them."""
+    keys, counts = [], []
+    for payload in payloads:
+        body = payload.as_buffer()
+        n = int(np.frombuffer(body, dtype=np.int64, count=1)[0])
+        keys.append(np.frombuffer(body, dtype=np.uint64, count=n, offset=8))
+        count = np.frombuffer(body, dtype=np.uint8, count=n, offset=8 + 8 * n).astype(np.int64)
+        count[count == 255] = np.frombuffer(bytes(body[8 + 9 * n :]), dtype=np.int64)
+        counts.append(count)
+    return keys, np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
+
+
+def _ask_pairs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pair = batch.column(0).to_numpy(zero_copy_only=False)
-            key = batch.column(1).to_numpy().view(np.uint64)
-            level = np.searchsorted(least, batch.column(2).to_numpy(), side="right")
-            yield pa.RecordBatch.from_arrays([pa.array(filter_keys(pair, key).view(np.int64)), pa.array(level)], names=["key", "level"])
+            for chunk, *state in zip(*batch.columns):
+                c = _chunk(*state)
+                _, _, keys, order, of_token = _pairs_of(c)
+                yield _asks(chunk.as_py(), keys[order], np.bincount(of_token, c.train, len(keys)).astype(np.int64)[order], buckets)
 
     return run
 
 
-def _segment_of(segments: int):
+def _ask_words(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = batch.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(tx.bucket_of(tx.mix(key), segments)), batch.column(0), batch.column(1)], names=["segment", "key", "level"])
+            for chunk, *state in zip(*batch.columns):
+                c = _chunk(*state)
+                counts = np.bincount(c.of_token, c.train, len(c.types)).astype(np.int64)
+                counts[c.start] = c.trained
+                yield _asks(chunk.as_py(), c.types, counts, buckets)
 
     return run
 
 
-def _segment(segments: int):
-    def run(table: pa.Table) -> pa.Table:
-        segment = table.column("segment")[0].as_py()
-        level = table.column("level").to_numpy()
-        keys = np.repeat(table.column("key").to_numpy().view(np.uint64), level)
-        each = tx.ragged(np.ones(len(level), dtype=np.int64), level)
-        bits = np.zeros(SEGMENT_BITS, dtype=bool)
-        bits[(_positions(keys, each, segments) - segment * SEGMENT_BITS).ravel()] = True
-        return pa.table({"segment": pa.array([segment], type=pa.int32()), "body": pa.array([np.packbits(bits, bitorder="little").tobytes()], type=pa.binary())})
+# ------------------------------------------------------------------ buckets
+
+def _rows(kind: np.ndarray, chunk, bucket, bodies: list[bytes]) -> pa.Table:
+    return pa.table({"kind": pa.array(kind, type=pa.int32()), "chunk": pa.array(chunk, type=pa.int64()),
+                     "bucket": pa.array(bucket, type=pa.int32()), "body": pa.array(bodies, type=pa.binary())})
+
+
+_PUT_OUT = "kind int, chunk long, bucket int, body binary"
+
+
+def _answer_pairs(threshold: int, buckets: int):
+    """What a bucket of bigrams puts out: a level for each ask, what its bigrams
+    take of their histories (for the word buckets), and its frequent ones."""
+    def run(asks: pa.Table) -> pa.Table:
+        asked, counts = _asked(asks.column("payload"))
+        keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+        counts = np.bincount(inverse, counts, len(keys)).astype(np.int64)
+        level = level_of(counts)
+        often = counts >= threshold
+        own = ~often & (level > 0)
+        bits = max(64, int(level[own].sum()) * BITS_PER_KEY)
+        answer = np.full(len(keys), BROADCAST, dtype=np.uint8)
+        answer[~often] = probe(filled(keys[own], 1, level[own], 1, bits), 1, keys[~often], 1, bits)
+        answer = answer[inverse]
+        ends = np.cumsum([len(x) for x in asked])
+        bodies = [answer[e - len(x) : e].tobytes() for x, e in zip(asked, ends.tolist())]
+        chunk, bucket = asks.column("chunk").to_numpy(), asks.column("bucket").to_numpy()
+        kind = np.full(len(bodies), _PAIRS)
+
+        seen = level > 0
+        half, taken = tx.count_pairs(unmix(keys[seen]) >> np.uint64(32), np.maximum(level_values()[level[seen]] - DISCOUNT, 0))
+        numbers, cuts = tx.cut_by_bucket(half << np.uint64(32), buckets)
+        bodies += [half[x:y].astype(np.uint32).tobytes() + taken[x:y].astype(np.float32).tobytes() for x, y in zip(cuts[:-1], cuts[1:])]
+        bodies.append(keys[often].tobytes() + level[often].astype(np.uint8).tobytes())
+        here = bucket[:1]
+        kind = np.concatenate((kind, np.full(len(numbers), _HISTORIES), [_FREQUENT]))
+        chunk = np.concatenate((chunk, np.full(len(numbers) + 1, -1)))
+        return _rows(kind, chunk, np.concatenate((bucket, numbers, here)), bodies)
 
     return run
 
 
-class Counts(NamedTuple):
-    buckets: int
-    packed: DataFrame           # bucket, words, pairs: all counts
-    words: DataFrame            # key, n, total
-    histories: DataFrame        # history, n, taken
-
+def _answer_words(asks: pa.Table, takers: pa.Table) -> pa.Table:
+    """What a bucket of words puts out: count and left(h) for each ask, and the
+    totals of its words (tokens, types, types seen once)."""
+    asked, counts = _asked(asks.column("payload"))
+    if not asked:
+        return _rows(np.zeros(0), [], [], [])
+    words, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+    n = np.bincount(inverse, counts, len(words)).astype(np.int64)
+    halves, taken = [np.zeros(0, dtype=np.uint64)], [np.zeros(0)]
+    for body in takers.column("body"):
+        body = body.as_buffer()
+        k = body.size // 8
+        halves.append(np.frombuffer(body, dtype=np.uint32, count=k).astype(np.uint64))
+        taken.append(np.frombuffer(body, dtype=np.float32, count=k, offset=4 * k).astype(float))
+    half, taken = tx.count_pairs(np.concatenate(halves), np.concatenate(taken))
+    own, of_word = np.unique(words >> np.uint64(32), return_inverse=True)
+    total = np.bincount(of_word, n, len(own))
+    at = np.minimum(np.searchsorted(half, own), max(len(half) - 1, 0))
+    took = np.where(half[at] == own, taken[at], 0.0) if len(half) else np.zeros(len(own))
+    left = np.clip(1 - took / np.maximum(total, 1), 1e-3, 1)[of_word]
+    left[n == 0] = 1
+    ends = np.cumsum([len(x) for x in asked]).tolist()
+    bodies = [n[p].tobytes() + left[p].astype(np.float32).tobytes() for p in (inverse[e - len(x) : e] for x, e in zip(asked, ends))]
+    real = n[words != START]
+    bodies.append(np.array([real.sum(), (real > 0).sum(), (real == 1).sum()], dtype=np.int64).tobytes())
+    chunk, bucket = asks.column("chunk").to_numpy(), asks.column("bucket").to_numpy()
+    return _rows(np.append(np.full(len(asked), _WORDS), _TOTALS), np.append(chunk, -1), np.append(bucket, bucket[0]), bodies)
+
+
+# ------------------------------------------------------------------ the model
 
-def train(docs: DataFrame) -> tuple[Model, DataFrame]:
-    """The model, and the table of all words (key, n, total). ``docs`` has
-    ``text`` and the boolean ``train``."""
-    model, counts = _trained(docs)
-    return model, counts.words
+class Model(NamedTuple):
+    tokens: int          # N
+    types: int           # V
+    unknown: float       # u
+    low: int             # the broadcast filter's least level
+    held: np.ndarray     # its bits
+    segments: int
 
 
-def _trained(docs: DataFrame) -> tuple[Model, Counts]:
-    size = text_bytes(docs)
-    threshold = max(1, int(np.ceil(size * EPSILON)))
-    buckets = bucket_count(size)
-    mapped = docs.select("text", "train").mapInArrow(_count(buckets), "bucket int, payload binary")
-    packed = stored(mapped.groupBy("bucket").applyInArrow(_summed, "bucket int, words binary, pairs binary"))
-    words = packed.select("words").mapInArrow(_word_rows, "key long, n long, total long")
-    tokens, types, once, most = words.agg(
-        F.sum("n"), F.count_if(F.col("n") > 0), F.count_if(F.col("n") == 1), F.max("n")).first()
-    tokens, types, once = tokens or 0, types or 0, once or 0
-
-    least = levels(threshold, most or 0)
-    kept = stored(packed.select("words", "pairs").mapInArrow(_frequent(threshold), "pair boolean, key long, n long")
-                  .mapInArrow(_levelled(least), "key long, level long"))
-    keys = kept.agg(F.sum("level")).first()[0] or 0
-    segments = max(1, 1 << int(np.ceil(np.log2(max(1, keys * BITS_PER_KEY / SEGMENT_BITS)))))
-    body = np.zeros(segments * SEGMENT_BITS // 8, dtype=np.uint8)
-    dealt = kept.mapInArrow(_segment_of(segments), "segment int, key long, level long")
-    for segment, part in dealt.groupBy("segment").applyInArrow(_segment(segments), "segment int, body binary").toLocalIterator():
-        body[segment * SEGMENT_BITS // 8 : (segment + 1) * SEGMENT_BITS // 8] = np.frombuffer(part, dtype=np.uint8)
-
-    histories = stored(packed.select("words", "pairs").mapInArrow(_taken(least), "history long, n long, taken double")
-                       .groupBy("history").agg(F.sum("n").alias("n"), F.sum("taken").alias("taken")))
-    end = int(END.astype(np.int64))
-    frequent = words.where((F.col("total") >= threshold) | (F.col("key") == end))
-    table = _with_left(frequent, histories).toPandas()
-    start = histories.where(F.col("history") == int(START >> np.uint64(32))).first()
-    ends = int(table["n"][table["key"] == end].sum())  # the start is a history as often as the end is a word
-    first = 1 - (start["taken"] if start else 0.0) / max(ends + (start["n"] if start else 0), 1)
-    all_keys = np.append(table["key"].to_numpy(dtype=np.int64).view(np.uint64), START)
-    n = np.append(table["n"].to_numpy(dtype=np.int64), ends)
-    left = np.append(table["left"].to_numpy(dtype=float), np.clip(first, 1e-3, 1))
-    order = np.argsort(all_keys)
-    unknown = min(0.5, max(once, 1) / (tokens + 1))
-    model = Model(threshold, tokens, types, unknown, least, all_keys[order], n[order], left[order], body, segments)
-    return model, Counts(buckets, packed, words, histories)
-
-
-def _with_left(words: DataFrame, histories: DataFrame) -> DataFrame:
-    """(key, n, left) of the words."""
-    own = histories.select("history", F.greatest(F.lit(1e-3), F.least(F.lit(1.0), 1 - F.col("taken") / F.greatest("n", F.lit(1)))).alias("left"))
-    return (words.select("key", "n", F.shiftrightunsigned("key", 32).alias("history"))
-            .join(own, "history", "left").select("key", "n", F.coalesce("left", F.lit(1.0)).alias("left")))
-
-
-class Seen(NamedTuple):
-    """Some texts as the broadcast model sees them."""
-
-    h: np.ndarray           # token hashes
-    first: np.ndarray       # bounds of the rows' tokens
-    row: np.ndarray         # of each token
-    types: np.ndarray       # distinct hashes
-    of_type: np.ndarray     # of each token
-    hot: np.ndarray         # of each type: in the table
-    exact: np.ndarray
-    left: np.ndarray
-    alone: np.ndarray
-    of_pair: np.ndarray     # of each token
-    a: np.ndarray           # types of each pair
-    b: np.ndarray
-    both: np.ndarray        # count in the filter, 0 if it is not there
-
-
-def _seen(m: Model, t: tx.Texts) -> Seen:
-    values = np.append(0.0, level_values(m.least))
-    most = len(m.least)
-    h, first = tokens_of(t)
-    row = np.repeat(np.arange(t.stop - t.start), np.diff(first))
-    types, inverse = np.unique(np.append(h, START), return_inverse=True)
-    inverse, start = inverse[:-1], inverse[-1]
-    place = np.minimum(np.searchsorted(m.keys, types), len(m.keys) - 1)
-    hot = m.keys[place] == types
-    exact = np.where(hot, m.counts[place], 0)
-    left = np.where(hot, m.left[place], 1.0)
-    count = np.zeros(len(types))
-    known = np.flatnonzero(hot & (exact >= m.threshold))
-    count[known] = values[probe(m.filter, m.segments, filter_keys(np.zeros(len(known), dtype=bool), types[known]), most)]
-    count[hot & (exact < m.threshold)] = exact[hot & (exact < m.threshold)]
-    alone = np.where(count > 0, (1 - m.unknown) * count / max(m.tokens, 1), m.unknown)
-
-    before = np.empty_like(inverse)
-    before[1:] = inverse[:-1]
-    before[first[:-1]] = start
-    pair, of_pair = np.unique(before * len(types) + inverse, return_inverse=True)
-    a, b = pair // len(types), pair % len(types)
-    likely = np.flatnonzero((exact[a] >= m.threshold) & (exact[b] >= m.threshold))
-    both = np.zeros(len(pair))
-    both[likely] = values[probe(m.filter, m.segments, filter_keys(
-        np.ones(len(likely), dtype=bool), pair_keys(types[a[likely]], types[b[likely]])), most)]
-    both = np.minimum(both, np.minimum(exact[a], exact[b]))
-    return Seen(h, first, row, types, inverse, hot, exact, left, alone, of_pair, a, b, both)
-
-
-def text_ids(t: tx.Texts) -> np.ndarray:
-    """A negative number for each row's text."""
-    return (tx.hash_spans(t.data, t.offsets[:-1], t.offsets[1:]) | np.uint64(1 << 63)).view(np.int64)
-
-
-def _packed_rare(s: Seen, pair: np.ndarray) -> np.ndarray:
-    """Pairs with a word that is not in the table: key, the words' other halves,
-    c(h) (-1 if h is not there, less 1 if w is not), and what is known of the rest."""
-    a, b = s.a[pair], s.b[pair]
-    out = np.empty((len(pair), 4), dtype=np.uint64)
-    out[:, 0] = pair_keys(s.types[a], s.types[b])
-    out[:, 1] = (s.types[a] << np.uint64(32)) | (s.types[b] & ~_HIGH)
-    out[:, 2] = np.where(s.hot[a], s.exact[a], np.where(s.hot[b], -1.0, -2.0)).view(np.uint64)
-    out[:, 3] = (np.where(s.hot[a], s.left[a], 1.0) * np.where(s.hot[b], s.alone[b], 1.0)).view(np.uint64)
-    return out
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        x = np.array([np.frombuffer(b.as_buffer(), dtype=np.int64) for b in batch.column(0)], dtype=np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([pa.array(x[:, i]) for i in range(3)], names=["n", "v", "once"])
 
 
-def _rare_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, pair, h, w, c, rest): the pairs again; h or w is null if it is in the table."""
+def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, off = tx.byte_view(batch.column(1))
-        x = np.frombuffer(data.tobytes(), dtype=np.uint64).reshape(-1, 4)
-        c = x[:, 2].copy().view(np.float64)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.repeat(batch.column(0).to_numpy(), np.diff(off) // RARE_BYTES)), pa.array(x[:, 0].copy().view(np.int64)),
-            pa.array(((x[:, 0] & _HIGH) | (x[:, 1] >> np.uint64(32))).view(np.int64), mask=c >= 0),
-            pa.array(((x[:, 0] << np.uint64(32)) | (x[:, 1] & ~_HIGH)).view(np.int64), mask=c == -1),
-            pa.array(c), pa.array(x[:, 3].copy().view(np.float64))], names=["row", "pair", "h", "w", "c", "rest"])
+        for body in batch.column(0):
+            body = body.as_buffer()
+            k = body.size // 9
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(body, dtype=np.int64, count=k)),
+                                              pa.array(np.frombuffer(body, dtype=np.uint8, count=k, offset=8 * k).astype(np.int64))], names=["key", "level"])
 
 
-def _score(model):
+def _in_segments(segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*model.value)
-        z = float(m.tokens + m.types + 1)
         for batch in batches:
-            for t in tx.slices(batch.column(2)):
-                s = _seen(m, t)
-                rows = t.stop - t.start
-                hot, exact, inverse = s.hot, s.exact, s.of_type
-                p = np.maximum(s.both - DISCOUNT, 0) / np.maximum(exact[s.a], 1) + s.left[s.a] * s.alone[s.b]
-                rare = ~(hot[s.a] & hot[s.b])
-                logs = np.where(rare, 0.0, np.log10(np.minimum(p, 1.0)))
-                base = np.where(hot, np.log10((exact + 1) / z), 0.0)
-                others = rare[s.of_pair]
-                off = np.concatenate(([0], np.cumsum(np.bincount(s.row[others], minlength=rows)))) * RARE_BYTES
-                told = _packed_rare(s, s.of_pair[others])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(t.start, rows), batch.column(1).slice(t.start, rows), pa.array(text_ids(t)),
-                    pa.array(np.diff(s.first)), pa.array(np.bincount(s.row, hot[inverse] & (exact[inverse] > 0), rows).astype(np.int64)),
-                    pa.array(np.bincount(s.row, base[inverse], rows)), pa.array(np.bincount(s.row, logs[s.of_pair], rows)),
-                    pa.Array.from_buffers(pa.large_binary(), rows, [None, pa.py_buffer(off), pa.py_buffer(told)]).cast(pa.binary()),
-                ], names=["doc_id", "held_out", "text_id", "n_tokens", "n_known", "base_score", "score", "rare"])
+            key = batch.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(tx.bucket_of(tx.mix(key), segments)), *batch.columns], names=["segment", "key", "level"])
 
     return run
 
 
-def _asked(model, buckets: int):
-    """(bucket, payload): the bigrams of frequent words that the filter does not hold."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Model(*model.value)
-        parts: list[tuple[np.ndarray, ...]] = []
-        size = 0
-        for batch in batches:
-            for t in tx.slices(batch.column(0)):
-                s = _seen(m, t)
-                ids, rows = np.unique(text_ids(t), return_index=True)
-                own = np.zeros(t.stop - t.start, dtype=bool)
-                own[rows] = True
-                asks = (s.both == 0) & (s.exact[s.a] > 0) & (s.exact[s.b] > 0)
-                at = np.flatnonzero(asks[s.of_pair] & own[s.row])
-                code, weight = np.unique(s.row[at] * len(s.a) + s.of_pair[at], return_counts=True)
-                row, pair = code // max(len(s.a), 1), code % max(len(s.a), 1)
-                a, b = s.a[pair], s.b[pair]
-                place = np.zeros(len(own), dtype=np.int64)
-                place[rows] = np.arange(len(ids))
-                parts.append((tx.mix(pair_keys(s.types[a], s.types[b])), ids[place[row]], weight,
-                              s.exact[a].astype(float), s.left[a] * s.alone[b], np.full(len(a), len(parts))))
-                size += len(a)
-                if size >= FLUSH_TOKENS:
-                    yield _dealt(parts, buckets)
-                    parts, size = [], 0
-        if size:
-            yield _dealt(parts, buckets)
+def _segment(low: int, segments: int):
+    def run(table: pa.Table) -> pa.Table:
+        segment = table.column("segment")[0].as_py()
+        keys, level = table.column("key").to_numpy().view(np.uint64), table.column("level").to_numpy()
+        bits = np.zeros(SEGMENT_BITS, dtype=bool)
+        level_now = low
+        while len(keys):
+            for at in _positions(keys, level_now, segments, SEGMENT_BITS):
+                bits[(at - np.uint64(segment * SEGMENT_BITS)).astype(np.int64)] = True
+            level_now += 1
+            keys, level = keys[level >= level_now], level[level >= level_now]
+        return pa.table({"segment": pa.array([segment], type=pa.int32()), "body": pa.array([np.packbits(bits, bitorder="little").tobytes()], type=pa.binary())})
 
     return run
 
 
-def _asked_rows(buckets: int):
-    """The same for rows of (row, pair, c, rest)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[tuple[np.ndarray, ...]] = []
-        size = 0
-        for batch in batches:
-            row, pair, c, rest = (x.to_numpy() for x in batch.columns)
-            parts.append((tx.mix(pair.view(np.uint64)), row, np.ones(len(row), dtype=np.int64), c, rest, np.zeros(len(row), dtype=np.int64)))
-            size += len(row)
-            if size >= FLUSH_TOKENS:
-                yield _dealt(parts, buckets)
-                parts, size = [], 0
-        if size:
-            yield _dealt(parts, buckets)
+def _broadcast_filter(frequent: DataFrame, low: int) -> tuple[np.ndarray, int]:
+    """Bits (packed) and segments of the filter of frequent bigrams."""
+    kept = frequent.select("body").mapInArrow(_frequent, "key long, level long")
+    keys = kept.agg(F.sum(F.col("level") - low + 1)).first()[0] or 0
+    segments = max(1, -(-keys * BITS_PER_KEY // SEGMENT_BITS))
+    held = np.zeros(segments * SEGMENT_BITS // 8, dtype=np.uint8)
+    dealt = kept.mapInArrow(_in_segments(segments), "segment int, key long, level long")
+    for segment, body in dealt.groupBy("segment").applyInArrow(_segment(low, segments), "segment int, body binary").toLocalIterator():
+        held[segment * SEGMENT_BITS // 8 : (segment + 1) * SEGMENT_BITS // 8] = np.frombuffer(body, dtype=np.uint8)
+    return held, segments
 
-    return run
 
+def _scores(model, schema_of_ids: pa.DataType):
+    def run(state: pa.Table, answers: pa.Table) -> pa.Table:
+        if not len(state):
+            return pa.table({"doc_id": pa.array([], type=schema_of_ids), "held_out": pa.array([], type=pa.bool_()),
+                             **{k: pa.array([], type=pa.int64()) for k in ("n_tokens", "n_known")}, **{k: pa.array([], type=pa.float64()) for k in ("base_score", "score")}})
+        m = Model(*model.value)
+        held = tx.worker_cache().setdefault(f"lm{id(model)}", None)
+        if held is None:
+            held = tx.worker_cache()[f"lm{id(model)}"] = np.unpackbits(m.held, bitorder="little").view(bool)
+        c = _chunk(*(state.column(k)[0] for k in ("held_out", "sizes", "types", "tokens")))
+        answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        kind = answers.column("kind").to_numpy()
+        bodies = answers.column("body").to_pylist()
+        split = int(np.searchsorted(kind, _WORDS))
+        level = np.frombuffer(b"".join(bodies[:split]), dtype=np.uint8).astype(np.int64)
+        n, left = [], []
+        for body in bodies[split:]:
+            k = len(body) // 12
+            n.append(np.frombuffer(body, dtype=np.int64, count=k))
+            left.append(np.frombuffer(body, dtype=np.float32, count=k, offset=8 * k).astype(float))
+        n, left = np.concatenate(n), np.concatenate(left)
+
+        a, b, keys, order, of_token = _pairs_of(c)
+        found = np.zeros(len(keys), dtype=np.int64)
+        found[order] = level
+        often = np.flatnonzero(found == BROADCAST)
+        found[often] = probe(held, m.low, keys[often], m.segments, SEGMENT_BITS)
+        both = np.minimum(level_values()[found], np.minimum(n[a], n[b]))
+        alone = np.where(n > 0, (1 - m.unknown) * n / max(m.tokens, 1), m.unknown)
+        logs = np.log10(np.minimum(np.maximum(both - DISCOUNT, 0) / np.maximum(n[a], 1) + left[a] * alone[b], 1.0))
+        base = np.log10((n + 1) / float(m.tokens + m.types + 1))
+        by_row = lambda x: np.bincount(c.row, x, c.rows)
+        return pa.table({
+            "doc_id": state.column("ids")[0].values, "held_out": state.column("held_out")[0].values,
+            "n_tokens": np.bincount(c.row, minlength=c.rows), "n_known": by_row(n[c.of_token] > 0).astype(np.int64),
+            "base_score": by_row(base[c.of_token]), "score": by_row(logs[of_token])})
 
-def _of_first(ids: np.ndarray, part: np.ndarray) -> np.ndarray:
-    """Whether each ask counts: a text's asks do in the first part that has them."""
-    _, inverse = np.unique(ids, return_inverse=True)
-    least = np.full(len(ids), np.iinfo(np.int64).max)
-    np.minimum.at(least, inverse, part)
-    return (ids >= 0) | (part == least[inverse])
+    return run
 
 
-def _dealt(parts: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
-    keys, ids, weight, c, rest, part = (np.concatenate(x) for x in zip(*parts))
-    at = np.flatnonzero(_of_first(ids, part))
-    at = at[np.argsort(keys[at])]
-    keys, ids, weight, c, rest = (x[at] for x in (keys, ids, weight, c, rest))
-    numbers, cuts = tx.cut_by_bucket(keys, buckets)
-    payloads = []
-    for x, y in zip(cuts[:-1], cuts[1:]):
-        own, place = np.unique(ids[x:y], return_inverse=True)
-        payloads.append(b"".join(v.tobytes() for v in (
-            np.array([y - x, len(own)]), keys[x:y], c[x:y], rest[x:y], own, place.astype(np.uint32), weight[x:y].astype(np.uint32))))
-    return tx.rows(_MAPPED, (numbers, payloads))
-
-
-def _answered(asks: pa.Table, counts: pa.Table) -> pa.Table:
-    """(id, more): what exact counts of a bucket's bigrams add to the scores."""
-    out: list[tuple[np.ndarray, ...]] = []
-    many, m, once = _pairs_in(counts.column("pairs")[0].as_py()) if len(counts) else (np.zeros(0, dtype=np.uint64),) * 3
-    for i, payload in enumerate(asks.column("payload")):
-        payload = payload.as_buffer()
-        n, k = np.frombuffer(payload, dtype=np.int64, count=2)
-        keys = np.frombuffer(payload, dtype=np.uint64, count=n, offset=16)
-        c, rest = np.frombuffer(payload, dtype=np.float64, count=2 * n, offset=16 + 8 * n).reshape(2, -1)
-        own = np.frombuffer(payload, dtype=np.int64, count=k, offset=16 + 24 * n)
-        place, weight = np.frombuffer(payload, dtype=np.uint32, count=2 * n, offset=16 + 24 * n + 8 * k).reshape(2, -1)
-        both = np.zeros(n)
-        for table, number in ((once, np.ones(len(once))), (many, m)):
-            if len(table):
-                at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-                both = np.where(table[at] == keys, number[at], both)
-        p = np.maximum(both - DISCOUNT, 0) / np.maximum(c, 1) + rest
-        # a text has the rest in its score, a row's token with a rare word has nothing yet
-        more = weight * (np.log10(np.minimum(p, 1.0)) - np.where(own[place] < 0, np.log10(np.minimum(rest, 1.0)), 0.0))
-        out.append((own, np.bincount(place, more, k), np.full(k, i)))
-    if not out:
-        return pa.table({"id": pa.array([], type=pa.int64()), "more": pa.array([], type=pa.float64())})
-    ids, more, part = (np.concatenate(x) for x in zip(*out))
-    keep = _of_first(ids, part)
-    ids, more = tx.count_pairs(ids[keep], more[keep])
-    return pa.table({"id": ids, "more": more})
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def scored(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score. The model learns from documents that are not held out
-    (crc32 of the id as text, modulo ``FOLDS``, is ``HELD_OUT``)."""
+    (crc32 of the id as text, modulo ``FOLDS``, is ``HELD_OUT``). What is written
+    on the way is removed; the result is stored."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
     spark = prepared(docs)
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
-    split = docs.select("doc_id", (fold == HELD_OUT).alias("held_out"), "text").withColumn("train", ~F.col("held_out"))
-    model, counts = _trained(split)
-    shared = spark.sparkContext.broadcast(tuple(model))  # a plain tuple: broadcasts are pickled by reference
-    told = split.select("doc_id", "held_out", "text").mapInArrow(_score(shared), StructType([
-        StructField("doc_id", docs.schema["doc_id"].dataType), StructField("held_out", BooleanType()),
-        StructField("text_id", LongType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()),
-        StructField("base_score", DoubleType()), StructField("score", DoubleType()),
-        StructField("rare", BinaryType())]))
-    told = stored(told.withColumn("row", F.monotonically_increasing_id()))
-    out = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"]
-    if model.threshold == 1:  # the filter and the table hold all that was counted
-        return told.select(*out)
-
-    z = float(model.tokens + model.types + 1)
-    rare = counts.words.where((F.col("total") < model.threshold) & (F.col("key") != int(END.astype(np.int64))))
-    tokens = told.select("row", "rare").mapInArrow(_rare_rows, "row long, pair long, h long, w long, c double, rest double")
-    w = rare.select(F.col("key").alias("w"), "n")
-    h = _with_left(rare, counts.histories).withColumnsRenamed({"key": "h"})
-    n = F.col("n")
-    alone = F.when(n > 0, (1 - model.unknown) * n / max(model.tokens, 1)).otherwise(model.unknown)
-    by_w = lambda t: t.join(w, "w").withColumn("rest", F.col("rest") * alone).drop("n")
-    before = tokens.where("h is not null")
-    after = before.where("w is null").unionByName(by_w(before.where("w is not null")))
-    after = after.join(h, "h").select("row", "pair", F.col("n").cast("double").alias("c"), (F.col("rest") * F.col("left")).alias("rest"))
-    resolved = by_w(tokens.where("h is null")).select("row", "pair", "c", "rest").union(after)
-    rest = tokens.where("w is not null").select("row", "w").join(w, "w").groupBy("row").agg(
-        F.count_if(n > 0).alias("more_known"), F.sum(F.log10((n + 1) / z)).alias("more_base"))
-    kind = "bucket int, payload binary"
-    asks = split.select("text").mapInArrow(_asked(shared, counts.buckets), kind).union(
-        resolved.mapInArrow(_asked_rows(counts.buckets), kind))
-    answers = stored(asks.groupBy("bucket").cogroup(counts.packed.select("bucket", "pairs").groupBy("bucket"))
-                     .applyInArrow(_answered, "id long, more double").groupBy("id").agg(F.sum("more").alias("more")))
-    of_row = answers.where("id >= 0").select(F.col("id").alias("row"), F.col("more").alias("row_more"))
-    of_text = answers.where("id < 0").select(F.col("id").alias("text_id"), F.col("more").alias("text_more"))
-
-    zero = F.lit(0)
-    return told.join(rest, "row", "left").join(of_row, "row", "left").join(of_text, "text_id", "left").withColumns({
-        "n_known": F.col("n_known") + F.coalesce("more_known", zero),
-        "base_score": F.col("base_score") + F.coalesce("more_base", zero),
-        "score": F.col("score") + F.coalesce("row_more", zero) + F.coalesce("text_more", zero)}).select(*out)
+    split = docs.select("doc_id", (fold == HELD_OUT).alias("held_out"), "text")
+    size = text_bytes(docs)
+    threshold = max(1, int(np.ceil(size * EPSILON)))
+    low = int(level_of(np.array([threshold]))[0])
+    threshold = int(LEVELS[low - 1])  # whole levels are broadcast
+    buckets = bucket_count(size)
+    kind = docs.schema["doc_id"].dataType
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lm_{uuid.uuid4().hex}"
+    try:
+        chunks = split.mapInArrow(_chunk_rows, StructType([
+            StructField("ids", ArrayType(kind)), StructField("held_out", ArrayType(BooleanType())),
+            *(StructField(c, BinaryType()) for c in ("sizes", "types", "tokens"))]))
+        state = _written(chunks.withColumn("chunk", F.monotonically_increasing_id()), f"{folder}/chunks")
+        seen = state.select("chunk", "held_out", "sizes", "types", "tokens")
+        pairs = _written(seen.mapInArrow(_ask_pairs(buckets), _ASKED).groupBy("bucket")
+                         .applyInArrow(_answer_pairs(threshold, buckets), _PUT_OUT), f"{folder}/pairs")
+        takers = pairs.where(F.col("kind") == _HISTORIES).select("bucket", "body")
+        words = _written(seen.mapInArrow(_ask_words(buckets), _ASKED).groupBy("bucket").cogroup(takers.groupBy("bucket"))
+                         .applyInArrow(_answer_words, _PUT_OUT), f"{folder}/words")
+        tokens, types, once = (x or 0 for x in words.where(F.col("kind") == _TOTALS).select("body").mapInArrow(
+            _totals, "n long, v long, once long").agg(F.sum("n"), F.sum("v"), F.sum("once")).first())
+        held, segments = _broadcast_filter(pairs.where(F.col("kind") == _FREQUENT), low)
+        model = spark.sparkContext.broadcast(tuple(Model(tokens, types, min(0.5, max(once, 1) / (tokens + 1)), low, held, segments)))
+        answers = pairs.where(F.col("kind") == _PAIRS).unionByName(words.where(F.col("kind") == _WORDS))
+        out = state.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(model, to_arrow_type(kind)), StructType([
+            StructField("doc_id", kind), StructField("held_out", BooleanType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()),
+            StructField("base_score", DoubleType()), StructField("score", DoubleType())]))
+        return stored(out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"))
+    finally:
+        remove_folder(spark, folder)

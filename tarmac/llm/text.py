@@ -26,8 +26,8 @@ LOWER[65:91] += 32
 NOT_LETTER = np.ones(256, dtype=bool)
 NOT_LETTER[[39, *range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
-SLICE_BYTES = 1 << 22   # texts handled together in a task
-BLOCK = 1 << 20         # bytes or words hashed together
+SLICE_BYTES = 1 << 21   # texts handled together in a task
+BLOCK = 1 << 18         # bytes or words hashed together
 
 
 def worker_cache() -> dict:
@@ -51,7 +51,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     cache = worker_cache()
     key = f"powers{base}"
     if key not in cache or len(cache[key][0]) <= n:
-        size = 1 << max(21, int(n).bit_length())
+        size = 1 << max(19, int(n).bit_length())
         tables = []
         for b in (base, pow(base, -1, 1 << 64)):
             t = np.full(size, b, dtype=np.uint64)
