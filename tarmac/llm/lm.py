@@ -334,6 +334,7 @@ def _answer_words(asks: pa.Table, takers: pa.Table) -> pa.Table:
 # ------------------------------------------------------------------ the model
 
 class Model(NamedTuple):
+    name: str            # of this run
     tokens: int          # N
     types: int           # V
     unknown: float       # u
@@ -400,9 +401,10 @@ def _scores(model, schema_of_ids: pa.DataType):
             return pa.table({"doc_id": pa.array([], type=schema_of_ids), "held_out": pa.array([], type=pa.bool_()),
                              **{k: pa.array([], type=pa.int64()) for k in ("n_tokens", "n_known")}, **{k: pa.array([], type=pa.float64()) for k in ("base_score", "score")}})
         m = Model(*model.value)
-        held = tx.worker_cache().setdefault(f"lm{id(model)}", None)
-        if held is None:
-            held = tx.worker_cache()[f"lm{id(model)}"] = np.unpackbits(m.held, bitorder="little").view(bool)
+        name, held = tx.worker_cache().get("lm filter", (None, None))
+        if name != m.name:
+            held = np.unpackbits(m.held, bitorder="little").view(bool)
+            tx.worker_cache()["lm filter"] = m.name, held
         c = _chunk(*(state.column(k)[0] for k in ("held_out", "sizes", "types", "tokens")))
         answers = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
         kind = answers.column("kind").to_numpy()
@@ -470,7 +472,7 @@ def scored(docs: DataFrame) -> DataFrame:
         tokens, types, once = (x or 0 for x in words.where(F.col("kind") == _TOTALS).select("body").mapInArrow(
             _totals, "n long, v long, once long").agg(F.sum("n"), F.sum("v"), F.sum("once")).first())
         held, segments = _broadcast_filter(pairs.where(F.col("kind") == _FREQUENT), low)
-        model = spark.sparkContext.broadcast(tuple(Model(tokens, types, min(0.5, max(once, 1) / (tokens + 1)), low, held, segments)))
+        model = spark.sparkContext.broadcast(tuple(Model(folder, tokens, types, min(0.5, max(once, 1) / (tokens + 1)), low, held, segments)))
         answers = pairs.where(F.col("kind") == _PAIRS).unionByName(words.where(F.col("kind") == _WORDS))
         out = state.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_scores(model, to_arrow_type(kind)), StructType([
             StructField("doc_id", kind), StructField("held_out", BooleanType()), StructField("n_tokens", LongType()), StructField("n_known", LongType()),
