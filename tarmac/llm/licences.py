@@ -7,10 +7,11 @@ a notice is seen whole however it is wrapped. Its features are word unigrams,
 bigrams and trigrams (lower-cased A-Z, runs of letters and digits, across line
 breaks) that occur in the notice templates below. A softmax regression over these sparse features gives a
 licence family or ``unknown``; it is trained on the templates, varied by lost
-and added words, and on ``NEGATIVES`` lines of the documents (a bounded sample,
-by hash) as the unknown class. Probabilities are calibrated on a part held out:
+and added words, and on ``NEGATIVES`` windows of the documents (a bounded sample
+of all windows of all whole texts, by hash; only their template n-grams leave the
+tasks) as the unknown class. Probabilities are calibrated on a part held out:
 a temperature, and the probability that a family must reach so that at most
-``FALSE_SHARE`` of unknown lines do. A prediction counts only if a template of
+``FALSE_SHARE`` of unknown windows do. A prediction counts only if a template of
 that family confirms it: ``CONFIRM`` of the template's bigrams, weighted equally,
 stand in the paragraph. Of windows that share lines the one whose template stands
 in it most fully counts, then the one with fewer lines, then the more probable one.
@@ -42,6 +43,7 @@ VARIANTS = 60
 FALSE_SHARE = 0.001
 CONFIRM = 0.6
 WINDOW = 2           # words of a window after its first line, by the longest template's
+WORD_BYTES = 20      # of a sampled window's first word, used to vary templates
 ROUNDS = 300
 SEED = 9
 
@@ -157,8 +159,8 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z / z.sum(axis=1, keepdims=True)
 
 
-def train(negatives: list[str]) -> Model:
-    rng = np.random.default_rng(SEED)
+def vocabulary() -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """The templates' n-grams, in order, and each one's family and bigrams (places)."""
     grams, templates = [], []
     for f, family in enumerate(FAMILIES):
         for text in TEMPLATES[family]:
@@ -167,9 +169,20 @@ def train(negatives: list[str]) -> Model:
             grams.append(g)
             templates.append((f, np.unique(g[n == 2]) if (n == 2).any() else np.unique(g)))
     hashes = np.unique(np.concatenate(grams))
-    templates = [(f, np.searchsorted(hashes, g)) for f, g in templates]
+    return hashes, [(f, np.searchsorted(hashes, g)) for f, g in templates]
+
+
+class Negatives(NamedTuple):
+    """Windows of the documents that show no template."""
+
+    cells: list[np.ndarray]  # their template n-grams
+    words: list[str]         # some words of theirs
+
 
-    fillers = [w for v in negatives[:200] for w in v.split()[:5]] or ["the"]
+def train(negatives: Negatives) -> Model:
+    rng = np.random.default_rng(SEED)
+    hashes, templates = vocabulary()
+    fillers = negatives.words or ["the"]
     texts, y = [], []
     for f, family in enumerate(FAMILIES):
         for text in TEMPLATES[family]:
@@ -178,10 +191,16 @@ def train(negatives: list[str]) -> Model:
     # words of the notices alone, out of order, are no notice
     pool = [w for texts_of in TEMPLATES.values() for v in texts_of for w in v.split()]
     mixed = [" ".join(rng.choice(pool, size=int(rng.integers(1, 6)))) for _ in range(400)]
-    x_neg = _design([*negatives, *mixed], hashes)
+    plain = np.zeros((len(negatives.cells), len(hashes) + 1))
+    plain[:, -1] = 1
+    for r, cells in enumerate(negatives.cells):
+        plain[r, cells] = 1
+    x_neg = np.concatenate((plain, _design(mixed, hashes)))
     own = np.array([max(x_neg[r, g].mean() for _, g in templates) for r in range(len(x_neg))])
-    x_neg = x_neg[own < CONFIRM]  # a line that shows a template is not a negative
+    real = np.arange(len(x_neg)) < len(plain)
+    x_neg, real = x_neg[own < CONFIRM], real[own < CONFIRM]  # a window that shows a template is not a negative
     x = np.concatenate((_design(texts, hashes), x_neg))
+    real = np.concatenate((np.zeros(len(y), dtype=bool), real))  # windows of the documents
     y = np.concatenate((y, np.full(len(x_neg), len(FAMILIES))))
 
     held = rng.random(len(y)) < 0.3
@@ -196,49 +215,131 @@ def train(negatives: list[str]) -> Model:
     temps = np.geomspace(0.25, 4, 17)
     loss = [-np.log(_softmax(z / t)[np.arange(len(z)), y[held]] + 1e-12).mean() for t in temps]
     temperature = float(temps[int(np.argmin(loss))])
-    p = _softmax(z / temperature)[y[held] == len(FAMILIES), :-1].max(axis=1, initial=0)
+    p = _softmax(z / temperature)[real[held], :-1].max(axis=1, initial=0)
     least = max(0.5, float(np.quantile(p, 1 - FALSE_SHARE))) if len(p) else 0.5
     return Model(hashes, w, temperature, min(least, 0.99), templates)
 
 
-def _shown(values: list[str]) -> np.ndarray:
-    """Whether each value shows a template, so that no part of it is a negative."""
-    own = []
-    for texts in TEMPLATES.values():
-        for text in texts:
-            _, _, h, line = paragraphs(_texts([text]))
-            g, _, n = ngrams(h, line)
-            g = np.unique(g[n == 2])
-            own.append(_design(values, g)[:, :-1].mean(axis=1))
-    return np.max(own, axis=0) >= CONFIRM
-
-
-def _sample_lines(docs: DataFrame, rows: int) -> list[str]:
-    """Lines of the documents with the least hash of their text, without those of
-    blocks that show a template: a part of a wrapped notice is no negative."""
-    chosen = docs.where("text is not null").select("text", F.xxhash64("text").alias("h")).orderBy("h").limit(rows // 4)
-    cut = F.transform(F.slice(F.split("text", "\n"), 1, 8 + WINDOW * LONGEST), lambda v: F.substring(v, 1, 400))
-    blocks: list[str] = []
-    lines: list[tuple[str, int]] = []
-    worded = False
-    for (head,) in chosen.select(cut).collect():
-        for i, line in enumerate(head):
-            if not tx.NOT_LETTER[list(line.encode())].all():
-                if not i or not worded:
-                    blocks.append("")
-                blocks[-1] += " " + line
-                if i < 8:
-                    lines.append((line, len(blocks) - 1))
-                worded = True
-            else:
-                worded = False
-    notice = np.concatenate([_shown(blocks[i : i + 1000]) for i in range(0, len(blocks), 1000)]) if blocks else []
-    return [line for line, block in lines if not notice[block]][:rows]
+class Lines(NamedTuple):
+    """Lines with a word, of some texts."""
+
+    number: np.ndarray   # of each, counted over all rows; a gap ends a block
+    before: np.ndarray   # words before each, and all
+    block: np.ndarray
+
+    def longer(self, live: np.ndarray, more: int) -> np.ndarray:
+        """Those of the lines ``live`` from which a window of ``more`` more lines begins."""
+        live = live[live + more < len(self.number)]
+        return live[(self.block[live + more] == self.block[live]) & (self.before[live + more] - self.before[live + 1] < WINDOW * LONGEST)]
+
+
+def _lines(line: np.ndarray) -> Lines:
+    numbers, words = np.unique(line, return_counts=True)
+    return Lines(numbers, np.concatenate(([0], np.cumsum(words))), np.cumsum(np.concatenate(([True], np.diff(numbers) > 1))))
+
+
+def _hits(h: np.ndarray, line: np.ndarray, hashes: np.ndarray, maybe: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Template n-grams within blocks: place, first and last line, by first line."""
+    block = np.cumsum(np.concatenate(([False], np.diff(line) > 1)))
+    cells, firsts, lasts = [], [], []
+    for n in (1, 2, 3):
+        g = h if n == 1 else tx.hash_windows(h, n)
+        at = np.flatnonzero(maybe[g & np.uint64(0xFFFF)] & (block[n - 1 :] == block[: len(g)]))
+        i = np.minimum(np.searchsorted(hashes, g[at]), len(hashes) - 1)
+        hit = hashes[i] == g[at]
+        cells.append(i[hit])
+        firsts.append(line[at[hit]])
+        lasts.append(line[at[hit] + n - 1])
+    cells, firsts, lasts = map(np.concatenate, (cells, firsts, lasts))
+    order = np.argsort(firsts, kind="stable")
+    return cells[order], firsts[order], lasts[order]
+
+
+def _maybe(hashes: np.ndarray) -> np.ndarray:
+    out = np.zeros(1 << 16, dtype=bool)
+    out[hashes & np.uint64(0xFFFF)] = True
+    return out
+
+
+def _sampled(rows: int, hashes: np.ndarray, templates: list[tuple[int, np.ndarray]]):
+    """The windows with the least hashes of a task's texts, by their template
+    n-grams, from anywhere in the texts: of the windows that begin at a line,
+    one by its hash. Windows of blocks that show a template are left out."""
+    maybe = _maybe(hashes)
+    owner = [np.asarray(cells) for _, cells in templates]
+
+    def notices(cells: np.ndarray, block: np.ndarray) -> np.ndarray:
+        """Blocks that hold ``CONFIRM`` of a template's bigrams."""
+        own, row = np.unique(block, return_inverse=True)
+        out = []
+        for at in range(0, len(own), 1024):
+            here = (row >= at) & (row < at + 1024)
+            held = np.zeros((min(1024, len(own) - at), len(hashes)), dtype=bool)
+            held[row[here] - at, cells[here]] = True
+            out.append(np.max([held[:, c].mean(axis=1) for c in owner], axis=0) >= CONFIRM)
+        return own[np.concatenate(out)] if out else own
+
+    def sample(t: tx.Texts, least: np.uint64) -> list[tuple[int, bytes, str]]:
+        start, end, h, line = paragraphs(t)
+        if not len(h):
+            return []
+        line = line + np.searchsorted(t.offsets, start, side="right")  # rows end blocks as well
+        lines = _lines(line)
+        longest = np.zeros(len(lines.number), dtype=np.int64)
+        live, more = np.arange(len(longest)), 1
+        while len(live := lines.longer(live, more)):
+            longest[live] = more
+            more += 1
+        first = lines.before[:-1]
+        begin = tx.mix(tx._span_sums(h, tx.WORD_BASE, first, lines.before[1:]))
+        last = np.arange(len(longest)) + (begin % (longest + 1).astype(np.uint64)).astype(np.int64)
+        name = tx.mix(tx._span_sums(h, tx.WORD_BASE, first, lines.before[last + 1]) + last.astype(np.uint64) - np.arange(len(last), dtype=np.uint64))
+        chosen = np.flatnonzero(name < least)
+        if not len(chosen):
+            return []
+        cells, firsts, lasts = _hits(h, line, hashes, maybe)
+        of_line = np.searchsorted(lines.number, firsts)
+        chosen = chosen[~np.isin(lines.block[chosen], notices(cells, lines.block[of_line]))]
+        _, one = np.unique(name[chosen], return_index=True)
+        chosen = chosen[one][:rows]
+        low, high = np.searchsorted(firsts, lines.number[chosen]), np.searchsorted(firsts, lines.number[last[chosen]], side="right")
+        out = []
+        for k, a, b in zip(chosen.tolist(), low.tolist(), high.tolist()):
+            inside = np.unique(cells[a:b][lasts[a:b] <= lines.number[last[k]]]).astype(np.uint16)
+            word = lines.before[k]
+            out.append((int(name[k]), inside.tobytes(), bytes(t.data[start[word] : min(end[word], start[word] + WORD_BYTES)]).decode("utf-8", "replace")))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, tuple[bytes, str]] = {}
+        least = np.uint64((1 << 64) - 1)
+        for batch in batches:
+            for t in tx.slices(batch.column(0)):
+                best |= {name: rest for name, *rest in sample(t, least)}
+                if len(best) > rows:
+                    best = dict(sorted(best.items())[:rows])
+                    least = np.uint64(max(best))
+        names = np.array(sorted(best), dtype=np.uint64)
+        yield pa.RecordBatch.from_arrays([
+            pa.array((names ^ np.uint64(1 << 63)).view(np.int64)), pa.array([best[int(n)][0] for n in names], type=pa.binary()),
+            pa.array([best[int(n)][1] for n in names], type=pa.string())], names=["name", "cells", "word"])
+
+    return run
+
+
+def sample_windows(docs: DataFrame, rows: int = NEGATIVES) -> Negatives:
+    """``rows`` distinct windows of all documents with the least hashes. What
+    comes to the driver is a window's n-grams of the templates and a word of at
+    most ``WORD_BYTES`` bytes, however long its text is."""
+    hashes, templates = vocabulary()
+    found = docs.select("text").mapInArrow(_sampled(rows, hashes, templates), "name long, cells binary, word string")
+    chosen = found.orderBy("name").limit(2 * rows).collect()  # a window may come from several tasks
+    distinct = list({r.name: r for r in chosen}.values())[:rows]
+    return Negatives([np.frombuffer(r.cells, dtype=np.uint16).astype(np.int64) for r in distinct], [r.word for r in distinct[:200]])
 
 
 def _scan(model: Model):
-    maybe = np.zeros(1 << 16, dtype=bool)
-    maybe[model.hashes & np.uint64(0xFFFF)] = True
+    maybe = _maybe(model.hashes)
     width = len(model.hashes)
 
     owner = np.array([f for f, _ in model.templates])
@@ -250,10 +351,8 @@ def _scan(model: Model):
 
     def windows(line: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last line of all windows from a line in ``begins`` to one in ``ends``."""
-        numbers, words = np.unique(line, return_counts=True)
-        before = np.concatenate(([0], np.cumsum(words)))
-        block = np.cumsum(np.concatenate(([True], np.diff(numbers) > 1)))
-        last = np.isin(numbers, ends)
+        lines = _lines(line)
+        numbers, last = lines.number, np.isin(lines.number, ends)
         live = np.flatnonzero(np.isin(numbers, begins))
         firsts, lasts = [], []
         more = 0
@@ -262,8 +361,7 @@ def _scan(model: Model):
             firsts.append(numbers[here])
             lasts.append(numbers[here + more])
             more += 1
-            live = live[live + more < len(numbers)]
-            live = live[(block[live + more] == block[live]) & (before[live + more] - before[live + 1] < WINDOW * LONGEST)]
+            live = lines.longer(live, more)
         return np.concatenate(firsts or [line[:0]]), np.concatenate(lasts or [line[:0]])
 
     def classify(t: tx.Texts) -> tuple[np.ndarray, ...]:
@@ -273,19 +371,7 @@ def _scan(model: Model):
         if not len(h):
             return nothing
         line = line + np.searchsorted(t.offsets, start, side="right")  # rows end blocks as well
-        block = np.cumsum(np.concatenate(([False], np.diff(line) > 1)))
-        cells, firsts, lasts = [], [], []
-        for n in (1, 2, 3):
-            g = h if n == 1 else tx.hash_windows(h, n)
-            at = np.flatnonzero(maybe[g & np.uint64(0xFFFF)] & (block[n - 1 :] == block[: len(g)]))
-            i = np.minimum(np.searchsorted(model.hashes, g[at]), width - 1)
-            hit = model.hashes[i] == g[at]
-            cells.append(i[hit])
-            firsts.append(line[at[hit]])
-            lasts.append(line[at[hit] + n - 1])
-        cells, firsts, lasts = map(np.concatenate, (cells, firsts, lasts))
-        order = np.argsort(firsts, kind="stable")
-        cells, firsts, lasts = cells[order], firsts[order], lasts[order]
+        cells, firsts, lasts = _hits(h, line, model.hashes, maybe)
         of = paired[cells]
         low, high = windows(line, firsts[of], lasts[of])
         found: list[tuple] = []
@@ -338,7 +424,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, and ``notices``, a list of (family,
     probability, paragraph) in the order of the text."""
     prepared(docs)
-    model = train(_sample_lines(docs, NEGATIVES))
+    model = train(sample_windows(docs))
     notice = StructType([StructField("family", StringType()), StructField("probability", DoubleType()), StructField("paragraph", StringType())])
     return docs.select("doc_id", "text").mapInArrow(_scan(model), StructType([
         StructField("doc_id", docs.schema["doc_id"].dataType), StructField("notices", ArrayType(notice))]))

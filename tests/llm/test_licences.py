@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import textwrap
 
+import numpy as np
 import pytest
 
 from tarmac.llm import licences
@@ -46,7 +47,10 @@ def test_all_lines_of_the_test_data(spark):
 
 @pytest.fixture(scope="module")
 def model():
-    return licences.train(["plain prose about nothing at all", "the terms of the weather"] * 50)
+    hashes, _ = licences.vocabulary()
+    lines = ["plain prose about nothing at all", "the terms of the weather"] * 50
+    cells = [np.flatnonzero(x[:-1]) for x in licences._design(lines, hashes)]
+    return licences.train(licences.Negatives(cells, [w for v in lines for w in v.split()]))
 
 
 def test_templates_are_their_own_family(model):
@@ -78,3 +82,73 @@ def test_windows_end_with_blocks_and_rows(spark):
     got = {r.doc_id: r.notices for r in licences.scanned(df).collect()}
     assert {i: [n.family for n in v] for i, v in got.items() if i != 4} == {1: ["bsd"], 2: [], 3: [], 5: ["bsd"]}
     assert got[1][0].paragraph == got[5][0].paragraph == head + "\n" + tail
+
+
+def _plain_windows(text):
+    """All windows of a text's blocks, as lists of lines, with their block."""
+    blocks = [[]]
+    for line in (text or "").split("\n"):
+        if licences.paragraphs(licences._texts([line]))[0].size:
+            blocks[-1].append(line)
+        elif blocks[-1]:
+            blocks.append([])
+    count = lambda v: licences.paragraphs(licences._texts([v]))[0].size
+    for block in blocks:
+        for i in range(len(block)):
+            words = 0
+            for j in range(i, len(block)):
+                if j > i and words >= licences.WINDOW * licences.LONGEST:
+                    break
+                words += count(block[j]) if j > i else 0
+                yield block[i : j + 1], block
+
+
+def test_sampled_windows_are_windows_from_anywhere(spark):
+    """Every sampled window's n-grams are those of a window of some text, none from
+    a block with a notice; ends of long texts are reached, and the bound holds."""
+    hashes, _ = licences.vocabulary()
+    tail = "\n".join(f"this work number {i} of the author is under the terms" for i in range(40))
+    texts = ["the license of a\nversion\n\nnotice of the public", "x " * 50_000 + "\n" + tail,
+             "Released under the MIT License.\nwith more of the terms", None, "", "  \n", "copyright and\n" * 30]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "doc_id long, text string").repartition(3)
+    got = licences.sample_windows(df, 5000)
+    want = set()
+    for t in texts:
+        for window, block in _plain_windows(t):
+            if "MIT" not in " ".join(block):
+                want.add(tuple(np.flatnonzero(licences._design([" ".join(window)], hashes)[0][:-1]).tolist()))
+    cells = [tuple(c.tolist()) for c in got.cells]
+    assert set(cells) <= want
+    assert any(w.startswith("this") for w in got.words) and not any("Released" in w for w in got.words)
+    assert len(cells) >= 40
+    few = licences.sample_windows(df, 7)
+    assert [tuple(c.tolist()) for c in few.cells] == cells[:7]
+    assert all(len(w.encode()) <= 3 * licences.WORD_BYTES for w in got.words)
+
+
+def test_held_out_precision_and_recall(spark):
+    """On documents not used for the sample: planted, reworded notices among prose."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = licences.train(licences.sample_windows(docs.where("doc_id % 2 = 0").select("text")))
+    rng = np.random.default_rng(5)
+    texts, truth = [], []
+    for family, templates in licences.TEMPLATES.items():
+        for text in templates:
+            for _ in range(20):
+                texts.append(licences._varied(text, ["here", "und", "x1"], rng))
+                truth.append(licences.FAMILIES.index(family))
+    x = licences._design(texts, model.hashes)
+    p = licences._softmax(x @ model.weights / model.temperature)
+    said = np.where(p[:, :-1].max(axis=1) >= model.least, p.argmax(axis=1), -1)
+    truth = np.array(truth)
+    recall = (said == truth).mean()
+    precision = (said == truth).sum() / max((said >= 0).sum(), 1)
+    assert recall >= 0.9 and precision >= 0.97, (recall, precision)
+    other = licences.sample_windows(docs.where("doc_id % 2 = 1").select("text"))
+    x = np.zeros((len(other.cells), len(model.hashes) + 1))
+    x[:, -1] = 1
+    for r, cells in enumerate(other.cells):
+        x[r, cells] = 1
+    p = licences._softmax(x @ model.weights / model.temperature)
+    wrong = ((p.argmax(axis=1) < len(licences.FAMILIES)) & (p[:, :-1].max(axis=1) >= model.least)).mean()
+    assert wrong <= 0.01, wrong
