@@ -183,14 +183,14 @@ def unreached_from(nodes: DataFrame, node: str, edges: DataFrame, src: str, dst:
     """Distinct non-NULL nodes other than ``origin`` with no edge
     ``origin -> node``; empty when ``origin`` is not itself a node.
     A filtered anti join: linear, no pairs."""
-    known = nodes.where(F.col(node) == F.lit(origin)).exists()
-    candidates = (
-        nodes.select(F.col(node).alias(name))
-        .where(F.col(name).isNotNull() & (F.col(name) != F.lit(origin)) & known)
-        .distinct()
-    )
-    reached = edges.where(F.col(src) == F.lit(origin)).select(F.col(dst).alias(name)).distinct()
-    return candidates.join(reached, name, "left_anti")
+    # one aggregate over the nodes serves the candidates and the question whether
+    # the origin is among them (its shuffle is read twice, its scan once)
+    cities = nodes.where(F.col(node).isNotNull()).groupBy(F.col(node).alias(name)).agg(F.count(F.lit(1)).alias("_rows"))
+    known = cities.agg(F.bool_or((F.col(name) == F.lit(origin)) & (F.col("_rows") > 0)).alias("known")).scalar()
+    # the origin is taken out by the anti join: a filter on it would make two aggregates of the one
+    itself = nodes.sparkSession.range(1).select(F.lit(origin).alias(name))
+    reached = edges.where(F.col(src) == F.lit(origin)).select(F.col(dst).alias(name)).unionByName(itself).distinct()
+    return cities.join(reached, name, "left_anti").where((F.col("_rows") > 0) & known).select(name)
 
 
 def except_rows(left: DataFrame, right: DataFrame) -> DataFrame:
