@@ -1,9 +1,16 @@
 from __future__ import annotations
 
+import collections
+import math
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from tarmac.llm import resample
+from tarmac.llm import text as tx
+
+from .plain import ascii_lower, words
 
 
 def test_top_k_of_the_keys(spark):
@@ -45,3 +52,47 @@ def test_odd_texts_and_empty_tables(spark, odd_docs, no_docs):
     out = resample.resampled(odd_docs, none).collect()
     assert len(out) == odd_docs.count() and all(r.kept for r in out)
     assert resample.resampled(no_docs, none).count() == 0
+
+
+M = 1 << 64
+
+
+def _mix(x):
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) % M
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) % M
+    return x ^ (x >> 31)
+
+
+def _polynomial(values, base):
+    return _mix(sum(v * pow(base, i, M) for i, v in enumerate(values)) % M)
+
+
+def _plain_grams(text):
+    """Buckets of a text's unigrams and bigrams, in Python integers."""
+    parts = [p for w in words(ascii_lower(text or "")) for p in re.findall(r"[0-9A-Za-z'\u0080-\U0010ffff]+|[^0-9A-Za-z'\u0080-\U0010ffff]+", w)]
+    h = [_polynomial([b + 1 for b in p.encode()], tx.BYTE_BASE) for p in parts]
+    two = [_polynomial(pair, tx.WORD_BASE) for pair in zip(h, h[1:])]
+    return [(x >> 32) * resample.BUCKETS >> 32 for x in h + two]
+
+
+def test_weights_equal_a_plain_model(spark, odd_docs, odd_texts):
+    """log(target / raw), summed over n-grams, from counts made one by one."""
+    good = {7, 8, 12, 16, 17}
+    labels = spark.createDataFrame([(i, int(i in good)) for i in range(1, 20)], "doc_id long, quality int")
+    short = [(i, t) for i, t in odd_texts if len(t or "") < 60_000]
+    docs = odd_docs.where(F.coalesce(F.length("text"), F.lit(0)) < 60_000)
+    grams = [(i, _plain_grams(t)) for i, t in short]
+    raw, target = collections.Counter(), collections.Counter()
+    for i, g in grams:
+        raw.update(g)
+        if i in good:
+            target.update(g)
+    n_raw, n_target = sum(raw.values()) + resample.BUCKETS, sum(target.values())
+    prior = resample.PRIOR
+    ratio = {b: math.log((target[b] + prior * (raw[b] + 1) / n_raw) / (n_target + prior) / ((raw[b] + 1) / n_raw)) for b in raw}
+    want = sorted((i is None, i or 0, len(g), sum(ratio[b] for b in g)) for i, g in grams)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_grams, r.log_weight) for r in resample.resampled(docs, labels, share=1.0).collect())
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:2] == w[:2]
+        assert abs(g[3] - w[3]) <= 1e-6 * (1 + abs(w[3])), w[:3]
