@@ -333,9 +333,11 @@ def sample_windows(docs: DataFrame, rows: int = NEGATIVES) -> Negatives:
     most ``WORD_BYTES`` bytes, however long its text is."""
     hashes, templates = vocabulary()
     found = docs.select("text").mapInArrow(_sampled(rows, hashes, templates), "name long, cells binary, word string")
-    chosen = found.orderBy("name").limit(2 * rows).collect()  # a window may come from several tasks
-    distinct = list({r.name: r for r in chosen}.values())[:rows]
-    return Negatives([np.frombuffer(r.cells, dtype=np.uint16).astype(np.int64) for r in distinct], [r.word for r in distinct[:200]])
+    # a window may come from several tasks; after this shuffle the driver gets at
+    # most ``rows`` from each of its partitions, not from each task of the scan
+    distinct = found.groupBy("name").agg(F.first("cells").alias("cells"), F.first("word").alias("word"))
+    chosen = distinct.orderBy("name").limit(rows).collect()
+    return Negatives([np.frombuffer(r.cells, dtype=np.uint16).astype(np.int64) for r in chosen], [r.word for r in chosen[:200]])
 
 
 def _scan(model: Model):
