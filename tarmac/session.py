@@ -2,11 +2,14 @@
 
 Written tables go to the catalog's warehouse; checkpoints and staged facts go to
 the folder in ``spark.checkpoint.dir``. On a cluster both must be shared: a
-machine-local folder is refused.
+folder that tasks do not see is refused.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings every job of the mart relies on. AQE re-plans joins from runtime
@@ -46,14 +49,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _seen_by_tasks(spark: SparkSession, folder: str) -> bool:
+    """Whether tasks see a file that the driver puts into the local ``folder``, as
+    they do where the machines mount one file system. A few tasks for every core."""
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return False
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/_seen_{uuid.uuid4().hex}")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.create(path, False).close()
+    try:
+        name, tasks = path.toUri().getPath(), 4 * sc.defaultParallelism
+        return all(sc.parallelize(range(tasks), tasks).map(lambda _: os.path.exists(name)).collect())
+    finally:
+        fs.delete(path, False)
+
+
 def _shared(spark: SparkSession, folder: str) -> str:
     """``folder``, which other machines must reach: a local folder is refused
-    unless the whole session runs on this machine."""
+    unless the whole session runs on this machine or all tasks see the folder."""
     scheme = folder.split(":", 1)[0] if "://" in folder or folder.startswith("file:") else ""
     named = spark.conf.get("fs.defaultFS", None) or spark.conf.get("spark.hadoop.fs.defaultFS", "file:///")
     local = scheme == "file" or (not scheme and named.startswith("file:"))
     master = spark.conf.get("spark.master", "local")
-    if local and not master.startswith("local"):
+    if local and not master.startswith("local") and not _seen_by_tasks(spark, folder):
         raise ValueError(f"{folder} is a folder of one machine, but the master is {master}: "
                          "set spark.checkpoint.dir and spark.sql.warehouse.dir to shared storage")
     return folder.rstrip("/")

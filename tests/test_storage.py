@@ -65,5 +65,33 @@ def test_local_folders_are_refused_on_a_cluster():
     assert session.storage_root(shared) == "hdfs://nn/warehouse"
 
 
+@pytest.fixture
+def on_a_cluster(spark):
+    """The session with the master's name of a cluster; its tasks run here."""
+    master = spark.conf.get("spark.master")
+    spark.conf.set("spark.master", "spark://host:7077")
+    yield spark
+    spark.conf.set("spark.master", master)
+
+
+WRITING = ["append_answers", "bucketed_airtime", "el_copy_flights_by_day", "el_copy_seats", "el_sync_flights_by_day",
+           "interval_long_flights", "mart_results"]
+
+
+@pytest.mark.parametrize("key", WRITING)
+def test_a_local_folder_that_all_tasks_see_is_written(on_a_cluster, key):
+    for folder in (session.storage_root(on_a_cluster), session.scratch_root(on_a_cluster)):
+        assert not [f for f in os.listdir(urlparse(folder).path) if f.startswith(("_seen_", "._seen_"))]
+    assert registry.queries()[key](on_a_cluster, SF001).count() > 0
+
+
+def test_a_local_folder_that_tasks_do_not_see_is_refused(on_a_cluster, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "_seen_by_tasks", lambda spark, folder: False)
+    with pytest.raises(ValueError, match="folder of one machine"):
+        session.storage_root(on_a_cluster)
+    monkeypatch.undo()
+    assert session._seen_by_tasks(on_a_cluster, f"file:{tmp_path}/a b")
+
+
 def test_tables_are_never_under_the_checkpoint_folder(spark):
     assert not session.storage_root(spark).startswith(session.scratch_root(spark))
