@@ -4,7 +4,9 @@ rows in one partition, no nested-loop join.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +16,7 @@ from tarmac.session import ensure_checkpoint_dir
 
 SAMPLE_ROWS = 4096  # values that set the bounds of an inequality join
 BUCKETS = 64
+BLOCK_ROWS = 2048   # rows of each side that a band join compares with each other at a time
 
 
 class By(NamedTuple):
@@ -156,13 +159,46 @@ def inequality_join(left: DataFrame, right: DataFrame, left_on: str, right_on: s
     return l_rows.join(r_rows, "_bucket").where((F.col("_own") < F.col("_bucket")) | compared).select(*left.columns, *right.columns)
 
 
-def band_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, low, high, on: Sequence[str] = ()) -> DataFrame:
+def _dealt(left: DataFrame, right: DataFrame, keys: Sequence[str], block: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of an equi-join on ``keys`` dealt over tasks by the pairs that they
+    make, and the columns to join on. A task gets about ``block`` squared pairs:
+    adaptive plans count bytes, of which many pairs may come from few.
+
+    A key with more than ``block`` rows on a side is a grid: a left row belongs to
+    a line of it and is copied along that, a right row to a column, so each pair
+    meets in one square. There is at most a copy for every ``block`` / 2 pairs."""
+    ensure_checkpoint_dir(left.sparkSession)
+    one = lambda df, l, r: df.select(*keys, F.lit(l).alias("_l"), F.lit(r).alias("_r"))
+    sizes = (one(left, 1, 0).unionByName(one(right, 0, 1)).groupBy(*keys)
+             .agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r")).checkpoint())
+    work = sizes.agg(F.sum(F.col("_l").cast("double") * F.col("_r") + F.col("_l") + F.col("_r"))).first()[0] or 0
+    tasks = math.ceil(work / block**2)
+    if tasks <= 1:
+        return left, right, list(keys)
+    cuts = lambda c: F.ceil(F.col(c) / block)
+    # at most a row for every `block` rows of both sides
+    grids = F.broadcast(sizes.where((F.greatest("_l", "_r") > block) & (F.least("_l", "_r") > 0))
+                        .select(*keys, cuts("_l").alias("_lines"), cuts("_r").alias("_columns")))
+
+    def placed(df: DataFrame, own: str, across: str) -> DataFrame:
+        row = F.xxhash64(F.monotonically_increasing_id())
+        count = lambda c: F.coalesce(F.col(f"{c}s"), F.lit(1).cast("bigint"))
+        return (df.join(grids, list(keys), "left").withColumn(own, F.pmod(row, count(own)))
+                .withColumn(across, F.explode(F.sequence(F.lit(0).cast("bigint"), count(across) - 1)))
+                .repartition(tasks, *keys, "_line", "_column").drop("_lines", "_columns"))
+
+    return placed(left, "_line", "_column"), placed(right, "_column", "_line"), [*keys, "_line", "_column"]
+
+
+def band_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, low, high, on: Sequence[str] = (),
+              block: int = BLOCK_ROWS) -> DataFrame:
     """Pairs with ``low <= right_on - left_on <= high`` (numbers) and equal
     ``on`` columns; NULLs match nothing.
 
     Values are cut into cells as wide as the band, so a left row's band lies in at
     most two cells: it is copied to them and meets right rows in an equi-join on
-    the cell (and ``on``), which adaptive skew handling may split.
+    the cell (and ``on``). Tasks are as many as the pairs in the cells ask for, and
+    a cell with more than ``block`` rows of a side is compared in several.
     """
     _disjoint(left, right, on)
     if high < low:
@@ -170,8 +206,10 @@ def band_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, lo
     width = (high - low) or 1
     cell = lambda x: F.floor(x / F.lit(width)).cast("bigint")
     at = F.col(left_on)
-    l_rows = left.where(at.isNotNull()).withColumn("_cell", F.explode(F.sequence(cell(at + F.lit(low)), cell(at + F.lit(high)))))
-    r_rows = right.where(F.col(right_on).isNotNull()).withColumn("_cell", cell(F.col(right_on)))
+    known = lambda df, *names: reduce(lambda x, c: x.where(F.col(c).isNotNull()), names, df)
+    l_rows = known(left, left_on, *on).withColumn("_cell", F.explode(F.sequence(cell(at + F.lit(low)), cell(at + F.lit(high)))))
+    r_rows = known(right, right_on, *on).withColumn("_cell", cell(F.col(right_on)))
+    l_rows, r_rows, keys = _dealt(l_rows, r_rows, ["_cell", *on], block)
     apart = F.col(right_on) - F.col(left_on)
-    out = l_rows.join(r_rows, ["_cell", *on]).where(apart.between(F.lit(low), F.lit(high)))
+    out = l_rows.join(r_rows, keys).where(apart.between(F.lit(low), F.lit(high)))
     return out.select(*left.columns, *[c for c in right.columns if c not in on])

@@ -126,6 +126,36 @@ def test_band_join(spark, low, high):
     assert free.count() == sum(x is not None and y is not None and low <= y - x <= high for _, x, _ in left for _, y, _ in right)
 
 
+@pytest.mark.parametrize("hot", ["left", "right", "both"])
+def test_band_join_in_blocks(spark, hot):
+    """Cells of many rows, on one side or both, equal rows among them, against brute force."""
+    rnd = random.Random(11)
+    make = lambda n: [(i, rnd.randrange(90) if rnd.random() > 0.1 else None, rnd.choice(["p", "q", None])) for i in range(n)]
+    left, right = make(80), make(80)
+    left += [(500, 40, "p")] * (70 if hot != "right" else 1)
+    right += [(700, 44, "p")] * (70 if hot != "left" else 1)
+    a, b = spark.createDataFrame(left, "i int, x int, k string"), spark.createDataFrame(right, "j int, y int, k string")
+    want = sorted(((i, x, k, j, y) for i, x, k in left for j, y, m in right
+                   if k is not None and k == m and x is not None and y is not None and -2 <= y - x <= 9), key=str)
+    for block in (4, 25):
+        assert rows_of(band_join(a, b, "x", "y", -2, 9, on=["k"], block=block)) == want
+
+
+def test_band_join_tasks_follow_the_pairs(spark):
+    """Few bytes that make many pairs, half of them of one value: no task puts out a large share."""
+    n = 12_000
+    left = spark.range(n).select(F.col("id").alias("i"), F.when(F.col("id") % 2 == 0, 500).otherwise(F.col("id") % 2000).alias("x"))
+    right = left.toDF("j", "y")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = band_join(left, right, "x", "y", 0, 0)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == (n // 2) ** 2 + 1000 * 6**2  # the odd ones: 1,000 values, six rows each
+    assert max(sizes) < sum(sizes) / 3
+
+
 def test_band_join_of_an_empty_band(spark):
     a = spark.createDataFrame([(1,)], "x int")
     with pytest.raises(ValueError):
