@@ -164,11 +164,11 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> pa.RecordBatch:
         ids, held, hashes, sizes = zip(*parts)
-        types, of_token = np.unique(np.concatenate([*hashes, [START]]), return_inverse=True)
+        types, of_token = tx.numbered(np.concatenate([*hashes, [START]]))
         rows = pa.array([0, sum(map(len, ids))], type=pa.int32())
         return pa.RecordBatch.from_arrays([
             pa.ListArray.from_arrays(rows, pa.concat_arrays(ids)), pa.ListArray.from_arrays(rows, pa.concat_arrays(held)),
-            *(pa.array([x.tobytes()], type=pa.binary()) for x in (np.concatenate(sizes).astype(np.uint32), types, of_token[:-1].astype(np.uint32))),
+            *(pa.array([x.tobytes()], type=pa.binary()) for x in (np.concatenate(sizes).astype(np.uint32), types, of_token[:-1])),
         ], names=["ids", "held_out", "sizes", "types", "tokens"])
 
     for batch in batches:
@@ -184,8 +184,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Chunk(NamedTuple):
-    row: np.ndarray      # of each token
-    rows: int
+    sizes: np.ndarray    # tokens by row
     train: np.ndarray    # by token
     types: np.ndarray    # distinct word hashes, in order, the start among them
     of_token: np.ndarray
@@ -196,18 +195,24 @@ class Chunk(NamedTuple):
 def _chunk(held_out, sizes, types, tokens) -> Chunk:
     held = held_out.values.to_numpy(zero_copy_only=False).astype(bool)
     sizes, types, tokens = (np.frombuffer(x.as_buffer(), dtype=k) for x, k in ((sizes, np.uint32), (types, np.uint64), (tokens, np.uint32)))
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    return Chunk(row, len(sizes), ~held[row], types, tokens.astype(np.int64), int(np.searchsorted(types, START)), int((~held).sum()))
+    return Chunk(sizes.astype(np.int64), np.repeat(~held, sizes), types, tokens, int(np.searchsorted(types, START)), int((~held).sum()))
+
+
+def _codes(c: Chunk) -> np.ndarray:
+    """A number for the bigram of each token."""
+    out = np.empty(len(c.of_token), dtype=np.int64)
+    out[1:] = c.of_token[:-1]
+    out[np.cumsum(c.sizes) - c.sizes] = c.start
+    out *= len(c.types)
+    out += c.of_token
+    return out
 
 
 def _pairs_of(c: Chunk) -> tuple[np.ndarray, ...]:
     """History and word of each distinct bigram (places among the types), their
     mixed keys, the bigrams in the order of the keys, and the bigram of each token."""
-    before = np.empty_like(c.of_token)
-    before[1:] = c.of_token[:-1]
-    before[np.flatnonzero(np.concatenate(([True], c.row[1:] != c.row[:-1])))] = c.start
-    code, of_token = np.unique(before * len(c.types) + c.of_token, return_inverse=True)
-    a, b = code // len(c.types), code % len(c.types)
+    code, of_token = tx.numbered(_codes(c))
+    a, b = (x.astype(np.uint32) for x in np.divmod(code, len(c.types)))
     keys = tx.mix(pair_keys(c.types[a], c.types[b]))
     return a, b, keys, np.argsort(keys, kind="stable"), of_token
 
@@ -238,24 +243,30 @@ def _asked(payloads: pa.ChunkedArray) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def _ask_pairs(buckets: int):
+    def asks(chunk: int, state: list) -> pa.RecordBatch:
+        c = _chunk(*state)
+        _, _, keys, order, of_token = _pairs_of(c)
+        return _asks(chunk, keys[order], np.bincount(of_token[c.train], minlength=len(keys))[order], buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, *state in zip(*batch.columns):
-                c = _chunk(*state)
-                _, _, keys, order, of_token = _pairs_of(c)
-                yield _asks(chunk.as_py(), keys[order], np.bincount(of_token, c.train, len(keys)).astype(np.int64)[order], buckets)
+                yield asks(chunk.as_py(), state)
 
     return run
 
 
 def _ask_words(buckets: int):
+    def asks(chunk: int, state: list) -> pa.RecordBatch:
+        c = _chunk(*state)
+        counts = np.bincount(c.of_token[c.train], minlength=len(c.types))
+        counts[c.start] = c.trained
+        return _asks(chunk, c.types, counts, buckets)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, *state in zip(*batch.columns):
-                c = _chunk(*state)
-                counts = np.bincount(c.of_token, c.train, len(c.types)).astype(np.int64)
-                counts[c.start] = c.trained
-                yield _asks(chunk.as_py(), c.types, counts, buckets)
+                yield asks(chunk.as_py(), state)
 
     return run
 
@@ -410,7 +421,7 @@ def _scores(model, schema_of_ids: pa.DataType):
         kind = answers.column("kind").to_numpy()
         bodies = answers.column("body").to_pylist()
         split = int(np.searchsorted(kind, _WORDS))
-        level = np.frombuffer(b"".join(bodies[:split]), dtype=np.uint8).astype(np.int64)
+        level = np.frombuffer(b"".join(bodies[:split]), dtype=np.uint8)
         n, left = [], []
         for body in bodies[split:]:
             k = len(body) // 12
@@ -419,18 +430,27 @@ def _scores(model, schema_of_ids: pa.DataType):
         n, left = np.concatenate(n), np.concatenate(left)
 
         a, b, keys, order, of_token = _pairs_of(c)
-        found = np.zeros(len(keys), dtype=np.int64)
+        found = np.empty(len(keys), dtype=np.uint8)
         found[order] = level
         often = np.flatnonzero(found == BROADCAST)
         found[often] = probe(held, m.low, keys[often], m.segments, SEGMENT_BITS)
-        both = np.minimum(level_values()[found], np.minimum(n[a], n[b]))
+        del keys, order, often  # what the bigrams no longer need goes, as each array is many megabytes
         alone = np.where(n > 0, (1 - m.unknown) * n / max(m.tokens, 1), m.unknown)
-        logs = np.log10(np.minimum(np.maximum(both - DISCOUNT, 0) / np.maximum(n[a], 1) + left[a] * alone[b], 1.0))
+        logs = np.minimum(level_values()[found], np.minimum(n[a], n[b]))
+        logs -= DISCOUNT
+        np.maximum(logs, 0, out=logs)
+        logs /= np.maximum(n[a], 1)
+        rest = left[a]
+        rest *= alone[b]
+        logs += rest
+        del a, b, found, rest
+        np.log10(np.minimum(logs, 1.0, out=logs), out=logs)
         base = np.log10((n + 1) / float(m.tokens + m.types + 1))
-        by_row = lambda x: np.bincount(c.row, x, c.rows)
+        row = np.repeat(np.arange(len(c.sizes)), c.sizes)
+        by_row = lambda x: np.bincount(row, x, len(c.sizes))
         return pa.table({
             "doc_id": state.column("ids")[0].values, "held_out": state.column("held_out")[0].values,
-            "n_tokens": np.bincount(c.row, minlength=c.rows), "n_known": by_row(n[c.of_token] > 0).astype(np.int64),
+            "n_tokens": c.sizes, "n_known": by_row(n[c.of_token] > 0).astype(np.int64),
             "base_score": by_row(base[c.of_token]), "score": by_row(logs[of_token])})
 
     return run

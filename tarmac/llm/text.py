@@ -202,6 +202,21 @@ def count_pairs(keys: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, ...]
     return (k[at], *(np.add.reduceat(c[order], at) for c in counts))
 
 
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, in order, and the number among them of each value (uint32),
+    with half the memory that ``np.unique`` takes if the caller keeps no ``values``."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    values = values[new]
+    number = np.cumsum(new, dtype=np.uint32)
+    number -= np.uint32(1)
+    out = np.empty_like(number)
+    out[order] = number
+    return values, out
+
+
 def cut_by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Bucket numbers that occur and the bounds of each in ``keys``, which are
     sorted; a bucket is an equal range of the 64-bit keys."""

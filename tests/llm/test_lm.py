@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import collections
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tarmac.llm import lm
@@ -123,3 +125,24 @@ def test_levels():
     counts = np.arange(1, 100_000)
     assert (np.abs(np.log(lm.level_values()[lm.level_of(counts)] / counts)) <= np.log(lm.STEP) + 1e-9).all()
     assert lm.level_values()[lm.level_of(np.arange(5))].tolist() == [0, 1, 2, 3, 4]
+
+
+def test_a_chunk_takes_little_memory():
+    """Peak of making a chunk and of its bigrams' asks, in bytes a token, asks included."""
+    rnd = np.random.default_rng(5)
+    words = [" ".join(f"w{x}" for x in rnd.zipf(1.3, 2000) % 50_000) for _ in range(150)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(150)), pa.array([i % 7 == 2 for i in range(150)]), pa.array(words)], names=["doc_id", "held_out", "text"])
+
+    def peak(run):
+        tracemalloc.start()
+        out = run()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    chunk = next(lm._chunk_rows(iter([batch])))
+    state = pa.RecordBatch.from_arrays([pa.array([0]), *chunk.columns[1:]], names=["chunk", "held_out", "sizes", "types", "tokens"])
+    asks, most = peak(lambda: list(lm._ask_pairs(64)(iter([state]))))
+    tokens = 150 * 2001
+    assert sum(len(x) for x in lm._asked(pa.chunked_array([asks[0].column(2)]))[0]) > tokens / 10
+    assert most < 55 * tokens
